@@ -1,0 +1,37 @@
+"""Run every registered query against its SQL: ``python tests/check_all.py [sf_dir] [name ...]``."""
+
+import sys
+import time
+from pathlib import Path
+
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from oracle import connect, differences  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+import __spark_entry__ as entry  # noqa: E402
+
+
+def main() -> int:
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = (
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "12g").getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    queries, sql, con, bad = entry.queries(), entry.oracle_sql(), connect(sf_dir), 0
+    for name in sys.argv[2:] or queries:
+        t = time.time()
+        try:
+            found = differences(queries[name](spark, sf_dir), con, sql[name]) if name in sql else ["no SQL"]
+        except Exception as e:
+            found = [f"{type(e).__name__}: {str(e)[:700]}"]
+        bad += bool(found)
+        print(f"{'ok ' if not found else 'BAD'} {name} {time.time() - t:.1f}s", *found, flush=True)
+    print(f"{len(sys.argv[2:] or queries)} queries, {bad} bad")
+    return bad
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
