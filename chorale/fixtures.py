@@ -32,7 +32,7 @@ def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
     doc, text = F.col("doc_id"), F.col("text")
-    video, slot = doc % VIDEOS, F.floor(doc / VIDEOS)
+    video, slot = doc % VIDEOS, F.expr(f"doc_id div {VIDEOS}")
     is_reply = slot % 3 != 0
     video_id = F.concat(F.lit("vid"), video.cast("string"))
     return d.join(e, d["doc_id"] == e["event_id"]).select(
@@ -62,7 +62,7 @@ def thread_pages(spark: SparkSession, sf_dir: str, threads_per_page: int = THREA
 
     Groups are bounded: a thread has three rows, a page ``threads_per_page`` threads.
     """
-    c = landed_comments(spark, sf_dir).withColumn("thread", F.floor(F.col("slot") / 3))
+    c = landed_comments(spark, sf_dir).withColumn("thread", F.expr("slot div 3"))
     body = F.struct(
         F.col("author_name").alias("authorDisplayName"), F.col("text").alias("textOriginal"),
         F.col("like_count").alias("likeCount"), F.col("published_at").alias("publishedAt"),

@@ -71,23 +71,22 @@ def model_scorer(predict: Callable[[pd.Series], pd.Series]) -> Scorer:
 
 
 def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame, max_words: int = MAX_LEXICON_WORDS) -> DataFrame:
-    """The same rule for long or weighted lists: ``lexicon(word, weight)`` joined to exploded tokens.
+    """The same rule for long or weighted lists: ``comment_id, sentiment`` from ``lexicon(word, weight)``.
 
-    Only tokens found in the lexicon leave the join, and their weights are summed per row inside the
-    same stage before the shuffle.  The lexicon is broadcast when its row count is proven to be at most
-    ``max_words``; a longer one is joined by hash of the word.  Needs a unique, non-NULL ``comment_id``.
+    Tokens are joined to the lexicon and their weights summed per comment before the shuffle, which
+    carries one narrow row per comment and no text.  The lexicon is broadcast when its row count is
+    proven to be at most ``max_words``; a longer one is joined by hash of the word.  Words of the
+    lexicon and comment ids must be unique.
     """
     if lexicon.limit(max_words + 1).count() <= max_words:
         lexicon = F.broadcast(lexicon)
-    hits = (
-        comments.select("comment_id", F.explode(tokens(F.col("text"))).alias("word"))
-        .join(lexicon, "word")
-        .groupBy("comment_id")
-        .agg(F.sum("weight").alias("_balance"))
+    toks = comments.select("comment_id", "text", F.explode_outer(tokens(F.col("text"))).alias("word"))
+    weights = toks.select("comment_id", F.col("text").isNull().alias("_empty"), "word").join(lexicon, "word", "left")
+    balance = weights.groupBy("comment_id").agg(
+        F.sum(F.coalesce("weight", F.lit(0))).alias("_balance"), F.bool_and("_empty").alias("_empty")
     )
-    scored = comments.join(hits, "comment_id", "left")
-    label = _label(F.col("text"), F.coalesce(F.col("_balance"), F.lit(0)))
-    return scored.withColumn("sentiment", label).drop("_balance")
+    known = F.when(~F.col("_empty"), F.lit(""))
+    return balance.select("comment_id", _label(known, F.col("_balance")).alias("sentiment"))
 
 
 def add_sentiment(df: DataFrame, scorer: Scorer | None = None, text: str = "text") -> DataFrame:

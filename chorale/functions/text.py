@@ -68,8 +68,3 @@ def words(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """White-space separated words."""
     return F.size(F.filter(F.split(text, rf"(?U)[{_SPACE}]+"), lambda t: t != ""))
-
-
-def mentions(text: Column, term: str) -> Column:
-    """True where ``term`` (one word) occurs as a whole token."""
-    return F.array_contains(tokens(text), term.lower())

@@ -43,7 +43,8 @@ def attach_videos(comments: DataFrame, videos: DataFrame) -> DataFrame:
 
 
 def videos_without_comments(videos: DataFrame, comments: DataFrame) -> DataFrame:
-    return videos.join(comments.select("video_id"), "video_id", "left_anti")
+    """Videos no comment names.  Ids are made unique map-side first, so a hot video is one row per task."""
+    return videos.join(comments.select("video_id").distinct(), "video_id", "left_anti")
 
 
 def flag_present(left: DataFrame, right: DataFrame, key: str, flag: str) -> DataFrame:

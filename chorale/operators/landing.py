@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chorale import schemas
 from chorale.functions.text import video_url
 from chorale.operators.positions import running_position
+from chorale.session import materialise
 
 # Fixed value: ids per details request, hence records per landed video file.
 VIDEO_BATCH_SIZE = 50
@@ -76,7 +77,8 @@ def page_sizes(pages: DataFrame) -> DataFrame:
         "page.items", lambda i: F.lit(1) + F.coalesce(F.array_size(i["replies"]["comments"]), F.lit(0))
     )
     n = F.aggregate(per_item, F.lit(0), lambda a, x: a + x)
-    return parse_pages(pages).select("video_id", "page_no", F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
+    parsed = parse_pages(pages.select("video_id", "page_no", "raw_json"), schemas.THREAD_PAGE_SIZES_JSON)
+    return parsed.select("video_id", "page_no", F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
 
 
 def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) -> DataFrame:
@@ -85,7 +87,8 @@ def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) ->
     The cut is found on page sizes alone: one narrow row per page, summed per slice of pages and then
     per video, so neither texts nor a hot video's pages meet in one task.  Whole pages before the cut
     are kept, later ones dropped, and only the page holding the cut is trimmed, which can end a thread
-    between two replies.
+    between two replies.  The cuts (one row per video over the limit) are written out first, so the
+    comments are not shuffled for them unless there are too many to broadcast.
     """
     if limit <= 0:
         return flatten_threads(pages)
@@ -103,6 +106,7 @@ def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) ->
         .filter((F.col("_start") < limit) & (F.col("_seen") >= limit))
         .select("video_id", F.col("page_no").alias("_last_page"), (limit - F.col("_start")).alias("_room"))
     )
+    cuts = materialise(cuts, "cuts")
     last, pos = F.col("_last_page"), F.col("page_pos")
     before_cut = (F.col("page_no") < last) | ((F.col("page_no") == last) & (pos < F.col("_room")))
     return (

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.functions.text import mentions, tokens, words
+from chorale.functions.text import tokens, words
 
 # Words too common to be a complaint, and phrases that ask for more content.
 STOP_WORDS = [
@@ -24,17 +24,26 @@ FOLLOW_UP_PHRASES = [
 CITATION = ["comment_id", "channel_handle", "title", "video_url", "text"]
 
 
+def _holds_any_text(text: Column, terms: Sequence[str]) -> Column:
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [low.contains(t.lower()) for t in terms])
+
+
+def _holds_any_token(text: Column, terms: Sequence[str]) -> Column:
+    """Any of the words as a whole token.  A plain substring search comes first: it is several times
+    cheaper than tokenising and rules out most rows."""
+    listed = F.array(*[F.lit(t.lower()) for t in terms])
+    return _holds_any_text(text, terms) & F.arrays_overlap(tokens(text), listed)
+
+
 def comments_mentioning(silver: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Comments that hold any of the given words as a token, with title and link."""
-    hit = reduce(lambda a, b: a | b, [mentions(F.col("text"), t) for t in terms])
-    return silver.filter(hit).select(*CITATION)
+    return silver.filter(_holds_any_token(F.col("text"), terms)).select(*CITATION)
 
 
 def follow_up_requests(silver: DataFrame, phrases: Sequence[str] = FOLLOW_UP_PHRASES) -> DataFrame:
     """Comments that hold one of the phrases, in any case."""
-    text = F.lower("text")
-    hit = reduce(lambda a, b: a | b, [text.contains(p.lower()) for p in phrases])
-    return silver.filter(hit).select(*CITATION)
+    return silver.filter(_holds_any_text(F.col("text"), phrases)).select(*CITATION)
 
 
 def term_counts(comments: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -54,6 +63,12 @@ def _occurrences(toks: Column, word: str) -> Column:
     return F.size(F.filter(toks, lambda t: t == word))
 
 
+def bm25_part(tf: Column, length: Column, df: Column, n: Column, avg_len: Column, k1: float, b: float) -> Column:
+    """Contribution of one query word to the score of one document."""
+    idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
+    return idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / avg_len))
+
+
 def bm25_scores(
     comments: DataFrame, query: Sequence[str], text: str = "text", k1: float = 1.2, b: float = 0.75
 ) -> DataFrame:
@@ -61,7 +76,9 @@ def bm25_scores(
 
     Only rows with at least one query word are returned.  Term counts and lengths are computed inside
     each row, so texts are never shuffled: the corpus needs one aggregate of a single row (document
-    count, mean length, document frequency per query word), read back as a scalar subquery.
+    count, mean length, document frequency per query word), read back as a scalar subquery.  Both scans
+    read the texts; for many queries over the same comments use the index in
+    :mod:`chorale.operators.text_index`.
     """
     terms = list(dict.fromkeys(t.lower() for t in query))
     # Binding the token array to a lambda variable keeps tokenising to once per row.
@@ -72,7 +89,7 @@ def bm25_scores(
             F.array(*[_occurrences(toks, w) for w in terms]).alias("tf"),
         ),
     )[0]
-    docs = comments.withColumn("_d", counted)
+    docs = comments.select(F.col(text)).withColumn("_d", counted)
     stats = docs.agg(
         F.struct(
             F.count(F.lit(1)).cast("double").alias("n"),
@@ -80,15 +97,12 @@ def bm25_scores(
             *[F.count_if(F.col("_d.tf")[i] > 0).cast("double").alias(f"df{i}") for i in range(len(terms))],
         ).alias("s")
     )
-    rows = docs.filter(F.exists("_d.tf", lambda n: n > 0)).withColumn("_s", stats.scalar())
-
-    def part(i: int) -> Column:
-        tf, df, n = F.col("_d.tf")[i], F.col(f"_s.df{i}"), F.col("_s.n")
-        idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
-        norm = k1 * (1 - b + b * F.col("_d.len") / F.col("_s.avg_len"))
-        return idf * tf * (k1 + 1) / (tf + norm)
-
-    score = reduce(lambda a, c: a + c, [part(i) for i in range(len(terms))])
+    rows = comments.filter(_holds_any_text(F.col(text), terms)).withColumn("_d", counted)
+    rows = rows.filter(F.exists("_d.tf", lambda n: n > 0)).withColumn("_s", stats.scalar())
+    score = reduce(lambda a, c: a + c, [
+        bm25_part(F.col("_d.tf")[i], F.col("_d.len"), F.col(f"_s.df{i}"), F.col("_s.n"), F.col("_s.avg_len"), k1, b)
+        for i in range(len(terms))
+    ])
     return rows.withColumn("score", score).drop("_d", "_s")
 
 
@@ -96,8 +110,3 @@ def bm25_top_k(comments: DataFrame, query: Sequence[str], k: int, **options) ->
     """The ``k`` best comments with citation; scores rounded to 6 digits, ties by ``comment_id``."""
     scored = bm25_scores(comments, query, **options).select(*CITATION, F.round("score", 6).alias("score"))
     return scored.orderBy(F.col("score").desc(), "comment_id").limit(k)
-
-
-def contains_any_token(text: Column, terms: Sequence[str]) -> Column:
-    """True where any of the words is a token of ``text``; hashes the words once per row."""
-    return F.arrays_overlap(tokens(text), F.array(*[F.lit(t.lower()) for t in terms]))

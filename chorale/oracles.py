@@ -374,5 +374,8 @@ for _name, _body in _DASH.items():
         ["kpis" if _name == "channel_kpis" else "gold"], f"SELECT * FROM ({_body}) WHERE channel_handle = '@ch1'")
 
 
+_SQL["r_bm25_index_topk"] = _SQL["r_bm25_topk"]
+
+
 def all_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -12,10 +12,10 @@ from chorale import fixtures as fx
 from chorale.functions import text as tx
 from chorale.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS, add_sentiment, score_by_lexicon_join
 from chorale.functions.time import iso_timestamp
-from chorale.operators import documents, gold, joins, landing, quality, retrieval, silver, videos
+from chorale.operators import documents, gold, joins, landing, quality, retrieval, silver, text_index, videos
 from chorale.plans import analyst, dashboards
 from chorale.schemas import COMMENT_FIELDS
-from chorale.session import pin_session, scratch_dir
+from chorale.session import materialise, pin_session, scratch_dir
 from chorale.sources import landed, sinks
 from chorale.streaming import layers
 
@@ -87,6 +87,11 @@ def _flat_rows(df: DataFrame) -> DataFrame:
     return df.drop("page_no", "page_pos", "item_pos", "reply_pos")
 
 
+def _video_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """The video list as a written table, as a run has it when comments arrive."""
+    return materialise(joins.one_row_per_video(fx.videos(spark, sf)), "videos")
+
+
 def _video_rows(spark: SparkSession, sf: str) -> DataFrame:
     return landing.video_list(fx.video_records(spark, sf))
 
@@ -158,7 +163,9 @@ def _(spark, sf):
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return documents.assemble_documents(_flat(spark, sf, SMALL_PAGE), fx.videos(spark, sf), PAGES_PER_PART)
+    dim = _video_dim(spark, sf)
+    comments = joins.attach_videos(_flat(spark, sf, SMALL_PAGE), dim)
+    return documents.assemble_documents(comments, dim, PAGES_PER_PART)
 
 
 @query("assemble_video_document")
@@ -310,7 +317,7 @@ def _(spark, sf):
 
 @query("join_comment_video")
 def _(spark, sf):
-    out = joins.attach_videos(_flat(spark, sf), joins.one_row_per_video(fx.videos(spark, sf)))
+    out = joins.attach_videos(_flat(spark, sf), _video_dim(spark, sf))
     return out.select("comment_id", "video_id", "video_title", "video_url")
 
 
@@ -344,7 +351,7 @@ def _(spark, sf):
 def _(spark, sf):
     rows = [(w, 1) for w in POSITIVE_WORDS] + [(w, -1) for w in NEGATIVE_WORDS]
     lexicon = spark.createDataFrame(rows, "word string, weight int")
-    return score_by_lexicon_join(_silver(spark, sf), lexicon).select("comment_id", "sentiment")
+    return score_by_lexicon_join(_silver(spark, sf), lexicon)
 
 
 @query("gold_comment_metrics")
@@ -566,6 +573,13 @@ def _(spark, sf):
     return retrieval.bm25_top_k(_silver(spark, sf), SEARCH, 10)
 
 
+@query("r_bm25_index_topk")
+def _(spark, sf):
+    path = scratch_dir(spark, "index")
+    text_index.write_index(_silver(spark, sf), path)
+    return text_index.search_index(spark, path, SEARCH, 10)
+
+
 # ---- video tables ---------------------------------------------------------------------------------
 
 @query("silver_videos")

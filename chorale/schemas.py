@@ -33,6 +33,10 @@ THREAD_PAGE_JSON = (
     f" replies: struct<comments: {REPLY_LIST}>>>,"
     " nextPageToken: string>"
 )
+# Enough of a page to count its comments: texts are skipped while parsing.
+THREAD_PAGE_SIZES_JSON = (
+    "struct<items: array<struct<id: string, replies: struct<comments: array<struct<id: string>>>>>>"
+)
 VIDEO_ITEM_JSON = (
     "struct<id: string,"
     " snippet: struct<title: string, publishedAt: string>,"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
@@ -29,3 +29,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="chorale-")
     return f"{base.rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the scratch folder and read it back.
+
+    For small results that a large table is joined with: they are computed once, survive lost executors,
+    and their size is known from the files when the join is planned.  Spark then broadcasts them only
+    below ``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges (splitting skew) above it.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,178 @@
+import datetime as dt
+from collections import defaultdict
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from chorale import schemas
+from chorale.operators import gold, silver
+from chorale.plans import analyst, dashboards
+from conftest import plan
+
+DAY = dt.datetime(2024, 1, 1)
+
+
+def raw_frame(spark, rows):
+    base = dict.fromkeys(schemas.COMMENT_FIELDS) | {
+        "video_id": "v", "channel_handle": "@c", "video_title": "T", "video_url": "u", "is_reply": False,
+        "published_at": "2024-01-01T00:00:00Z", "like_count": 0, "reply_count": 0,
+    }
+    data = [tuple((base | r)[f] for f in schemas.COMMENT_FIELDS) + (DAY,) for r in rows]
+    return spark.createDataFrame(data, schemas.RAW_COMMENTS)
+
+
+def scored_frame(spark, rows):
+    kind = "video_id string, channel_handle string, title string, video_url string, like_count long, reply_count int, published_at timestamp, sentiment string"
+    return spark.createDataFrame([(v, "@c", t, "u", likes, replies, DAY, s) for v, t, likes, replies, s in rows], kind)
+
+
+def metrics(df):
+    return {(r["video_id"], r["title"]): r.asDict() for r in gold.finish_metrics(gold.partial_metrics(df)).collect()}
+
+
+def test_blank_text_rules(spark):
+    texts = ["  kept  ", "   ", "", None, "\n", "\u00a0", "\t x "]
+    out = silver.clean_comments(raw_frame(spark, [{"comment_id": str(i), "text": t} for i, t in enumerate(texts)]))
+    got = {r["comment_id"]: r["text"] for r in out.collect()}
+    assert got == {"0": "kept", "4": "\n", "5": "\u00a0", "6": "\t x"}
+
+
+def test_null_ids_stay_and_schema_is_fixed(spark):
+    out = silver.clean_comments(raw_frame(spark, [{"comment_id": None, "text": "x"}]))
+    assert out.count() == 1
+    assert ", ".join(f"{n} {t}" for n, t in out.dtypes) == schemas.SILVER_COMMENTS
+
+
+def test_bad_timestamps(spark):
+    raw = raw_frame(spark, [{"comment_id": "1", "text": "x", "published_at": "junk"}])
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|CAST_INVALID_INPUT"):
+        silver.clean_comments(raw).collect()
+    assert silver.clean_comments(raw, "null").first()["published_at"] is None
+
+
+def test_silver_is_idempotent(spark):
+    raw = raw_frame(spark, [{"comment_id": str(i), "text": t} for i, t in enumerate(["  a ", "b", " "])])
+    once = silver.clean_comments(raw)
+    again = raw_frame(spark, [{"comment_id": r["comment_id"], "text": r["text"]} for r in once.collect()])
+    assert {r["text"] for r in silver.clean_comments(again).collect()} == {r["text"] for r in once.collect()}
+
+
+def test_latest_per_comment(spark):
+    rows = [{"comment_id": "hot", "text": f"t{i}", "ingested_at": f"{i:04d}"} for i in range(300)]
+    rows += [{"comment_id": "a", "text": "only", "ingested_at": "1"}] + [{"comment_id": None, "text": "x", "ingested_at": "1"}] * 3
+    out = silver.latest_per_comment(raw_frame(spark, rows))
+    assert out.columns == raw_frame(spark, rows).columns
+    assert sorted((r["comment_id"] or "", r["text"]) for r in out.collect()) == [("", "x")] * 3 + [("a", "only"), ("hot", "t299")]
+
+
+def test_metrics_of_odd_labels_and_nulls(spark):
+    rows = [("v", "T", 3, 1, "positive"), ("v", "T", None, 2, "mixed"), ("v", "T", 4, None, None), ("v", "T", 0, 0, "negative"),
+            ("v", "T", 1, 0, "positive"), ("v", "New title", 2, 0, "neutral")]
+    m = metrics(scored_frame(spark, rows))
+    a = m["v", "T"]
+    assert (a["total_comments"], a["positive_comments"], a["negative_comments"], a["neutral_comments"]) == (5, 2, 1, 0)
+    assert a["sentiment_score"] == Decimal("0.200") and a["total_likes"] == 8 and a["avg_likes_per_comment"] == 2.0
+    assert a["total_replies"] == 3 and m["v", "New title"]["total_comments"] == 1
+
+
+def test_metric_types(spark):
+    kinds = dict(gold.finish_metrics(gold.partial_metrics(scored_frame(spark, []))).dtypes)
+    assert kinds["sentiment_score"] == "decimal(15,3)" and kinds["avg_likes_per_comment"] == "double"
+    assert {kinds[c] for c in ("total_comments", "total_likes", "total_replies", "neutral_comments")} == {"bigint"}
+    assert kinds["computed_at"] == "timestamp"
+
+
+def test_unknown_is_reply_vanishes(spark):
+    s = silver.clean_comments(raw_frame(spark, [
+        {"comment_id": "1", "text": "best", "is_reply": None}, {"comment_id": "2", "text": "best", "is_reply": True},
+        {"comment_id": "3", "text": "best"}]))
+    assert gold.comment_metrics(s).first()["total_comments"] == 1
+
+
+rows_strategy = st.lists(st.tuples(
+    st.sampled_from(["hot"] * 4 + ["b", "c"]), st.sampled_from(["T", "U"]), st.none() | st.integers(0, 50),
+    st.none() | st.integers(0, 5), st.sampled_from(["positive", "negative", "neutral", "other", None])), max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows_strategy, cut=st.integers(0, 40))
+def test_properties_of_metrics(spark, rows, cut):
+    """Against brute force, and merged increments equal to the whole."""
+    expected = defaultdict(list)
+    for r in rows:
+        expected[r[0], r[1]].append(r)
+    whole = scored_frame(spark, rows)
+    got = metrics(whole)
+    assert set(got) == set(expected)
+    for key, g in got.items():
+        labels = [r[4] for r in expected[key]]
+        assert g["total_comments"] == len(labels)
+        assert g["positive_comments"] + g["negative_comments"] + g["neutral_comments"] <= len(labels)
+        net = labels.count("positive") - labels.count("negative")
+        assert -1 <= g["sentiment_score"] <= 1 and abs(float(g["sentiment_score"]) - net / len(labels)) <= 0.0005001
+    merged = gold.finish_metrics(gold.merge_partials(
+        gold.partial_metrics(scored_frame(spark, rows[:cut])), gold.partial_metrics(scored_frame(spark, rows[cut:]))))
+    drop = "computed_at"
+    assert sorted(map(str, merged.drop(drop).collect())) == sorted(
+        map(str, gold.finish_metrics(gold.partial_metrics(whole)).drop(drop).collect()))
+
+
+def test_refresh_touched(spark):
+    s = silver.clean_comments(raw_frame(spark, [
+        {"comment_id": str(i), "text": "best", "video_id": v} for i, v in enumerate("aabbbc")]))
+    stale = gold.comment_metrics(s.filter("video_id <> 'b' OR comment_id = '2'"))
+    fresh = gold.refresh_touched(stale, s, s.filter("video_id = 'b'"))
+    assert {r["video_id"]: r["total_comments"] for r in fresh.collect()} == {"a": 2, "b": 3, "c": 1}
+
+
+def gold_frame(spark, rows):
+    kind = ("video_id string, channel_handle string, title string, video_url string, total_comments long, avg_likes_per_comment double,"
+            " positive_comments long, negative_comments long, neutral_comments long, sentiment_score decimal(15,3), total_replies long,"
+            " latest_comment_at timestamp")
+    return spark.createDataFrame([
+        (f"v{i:02d}", ch, f"T{i}", "u", n, likes, 1, 2, 3, Decimal(str(score)) if score is not None else None, 4, DAY)
+        for i, (ch, n, likes, score) in enumerate(rows)], kind)
+
+
+def test_limit_then_filter_and_ties(spark):
+    rows = [("@a", 5, 1.0, 0.1)] * 10 + [("@b", 5, 9.0, 0.2)] * 2 + [("@b", 2, 99.0, None)]
+    g = gold_frame(spark, rows)
+    assert [r["title"] for r in dashboards.top_commented(g).collect()] == [f"T{i}" for i in range(10)]
+    assert dashboards.top_commented(g, "@b").count() == 0
+    assert dashboards.top_commented(g, "@b", "before_limit").count() == 3
+    engaged = [r["title"] for r in dashboards.top_engagement(g).collect()]
+    assert engaged[:2] == ["T10", "T11"] and "T12" not in engaged
+    with pytest.raises(ValueError):
+        dashboards.top_commented(g, "@b", "sometimes")
+
+
+def test_breakdown_totals_and_single_scan(spark, tmp_path):
+    gold_frame(spark, [("@a", 5, 1.0, 0.1)] * 3).write.parquet(str(tmp_path / "g"))
+    df = dashboards.sentiment_breakdown(spark.read.parquet(str(tmp_path / "g")))
+    assert {r[0]: r[1] for r in df.groupBy("sentiment_type").agg(F.sum("comment_count")).collect()} == {
+        "Positive": 3, "Negative": 6, "Neutral": 9}
+    assert plan(df).count("FileScan") == 1
+
+
+def test_plans_of_rankings(spark, tmp_path):
+    gold_frame(spark, [("@a", 5, 1.0, 0.1)] * 3).write.parquet(str(tmp_path / "g"))
+    g = spark.read.parquet(str(tmp_path / "g"))
+    assert "TakeOrderedAndProject" in plan(dashboards.top_commented(g))
+    assert "EqualTo(channel_handle,@a)" in plan(dashboards.sentiment_breakdown(g, "@a"))
+    read = plan(analyst.most_discussed(g)).split("ReadSchema: ")[1]
+    assert "latest_comment_at" not in read
+
+
+def test_best_and_worst_break_ties_by_first_id(spark):
+    r = analyst.best_and_worst_sentiment(gold_frame(spark, [("@a", 1, 1.0, s) for s in (0.5, -0.5, 0.5, -0.5, None)])).first()
+    assert (r["best_video"], r["worst_video"]) == ("v00", "v01")
+
+
+def test_metrics_shuffle_once(spark, tmp_path):
+    s = silver.clean_comments(raw_frame(spark, [{"comment_id": "1", "text": "best"}]))
+    s.write.parquet(str(tmp_path / "s"))
+    p = plan(gold.comment_metrics(spark.read.parquet(str(tmp_path / "s"))))
+    assert p.count("Exchange") == 1 and "partial_count" in p and "author_name" not in p
