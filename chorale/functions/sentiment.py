@@ -27,13 +27,13 @@ NEGATIVE_WORDS = [
 MAX_LEXICON_WORDS = 100_000
 
 
+# Labels by the sign of (positive - negative) tokens.
+_LABELS = ("negative", "neutral", "positive")
+
+
 def _label(text: Column, balance: Column) -> Column:
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(balance > 0, "positive")
-        .when(balance < 0, "negative")
-        .otherwise("neutral")
-    )
+    label = F.element_at(F.array(*[F.lit(x) for x in _LABELS]), F.signum(balance).cast("int") + 2)
+    return F.when(text.isNotNull(), label)
 
 
 def lexicon_scorer(
@@ -41,18 +41,17 @@ def lexicon_scorer(
 ) -> Scorer:
     """More positive than negative tokens: positive; fewer: negative; else neutral.
 
-    ``arrays_overlap`` hashes the lexicon once per row, so texts without any listed word (most of
-    them) skip the two counting passes.
+    The token array is bound to a lambda variable, so a text is split once.  ``arrays_overlap`` hashes
+    the lexicon once per row, so texts without any listed word (most) skip the two counting passes.
     """
     pos, neg = list(positive), list(negative)
 
-    def score(text: Column) -> Column:
-        toks = tokens(text)
-        hit = F.arrays_overlap(toks, F.array(*[F.lit(w) for w in pos + neg]))
-        balance = F.size(F.filter(toks, lambda t: t.isin(pos))) - F.size(F.filter(toks, lambda t: t.isin(neg)))
-        return _label(text, F.when(hit, balance).otherwise(F.lit(0)))
+    def balance(toks: Column) -> Column:
+        listed = F.arrays_overlap(toks, F.array(*[F.lit(w) for w in pos + neg]))
+        count = F.size(F.filter(toks, lambda t: t.isin(pos))) - F.size(F.filter(toks, lambda t: t.isin(neg)))
+        return F.when(listed, count).otherwise(F.lit(0))
 
-    return score
+    return lambda text: _label(text, F.transform(F.array(tokens(text)), balance)[0])
 
 
 def model_scorer(predict: Callable[[pd.Series], pd.Series]) -> Scorer:
@@ -80,10 +79,12 @@ def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame, max_words: in
     """
     if lexicon.limit(max_words + 1).count() <= max_words:
         lexicon = F.broadcast(lexicon)
-    toks = comments.select("comment_id", "text", F.explode_outer(tokens(F.col("text"))).alias("word"))
-    weights = toks.select("comment_id", F.col("text").isNull().alias("_empty"), "word").join(lexicon, "word", "left")
-    balance = weights.groupBy("comment_id").agg(
-        F.sum(F.coalesce("weight", F.lit(0))).alias("_balance"), F.bool_and("_empty").alias("_empty")
+    words = comments.select("comment_id", F.explode(tokens(F.col("text"))).alias("word"))
+    hits = words.join(lexicon, "word").select("comment_id", "weight", F.lit(False).alias("_empty"))
+    # One row per comment with weight 0, so that comments without a listed word are labelled too.
+    all_ids = comments.select("comment_id", F.lit(0).alias("weight"), F.col("text").isNull().alias("_empty"))
+    balance = hits.unionByName(all_ids).groupBy("comment_id").agg(
+        F.sum("weight").alias("_balance"), F.bool_and("_empty").alias("_empty")
     )
     known = F.when(~F.col("_empty"), F.lit(""))
     return balance.select("comment_id", _label(known, F.col("_balance")).alias("sentiment"))

@@ -62,9 +62,30 @@ def tokens(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Non-empty word tokens."""
-    return F.filter(tokens(text), lambda t: t != "")
+    return F.array_remove(tokens(text), "")
+
+
+def term_frequencies(text: Column) -> Column:
+    """``array<struct<term, tf>>`` of one text.
+
+    Tokens are sorted and the runs measured, so counting needs no shuffle and one pass after the sort.
+    Arrays that are used more than once are bound to lambda variables.
+    """
+    def run_starts(toks: Column) -> Column:
+        marked = F.transform(toks, lambda t, i: F.struct(
+            t.alias("term"), i.alias("pos"), (F.coalesce(F.get(toks, i - 1) != t, F.lit(True))).alias("first")))
+        return F.filter(marked, lambda m: m["first"])
+
+    def lengths(starts: Column, n: Column) -> Column:
+        return F.transform(starts, lambda s, j: F.struct(
+            s["term"].alias("term"), (F.coalesce(F.get(starts, j + 1)["pos"], n) - s["pos"]).alias("tf")))
+
+    def counted(toks: Column) -> Column:
+        return F.transform(F.array(run_starts(toks)), lambda starts: lengths(starts, F.size(toks)))[0]
+
+    return F.transform(F.array(F.sort_array(words(text))), counted)[0]
 
 
 def word_count(text: Column) -> Column:
     """White-space separated words."""
-    return F.size(F.filter(F.split(text, rf"(?U)[{_SPACE}]+"), lambda t: t != ""))
+    return F.size(F.array_remove(F.split(text, rf"(?U)[{_SPACE}]+"), ""))

@@ -123,6 +123,23 @@ def flatten_video_ids(pages: DataFrame) -> DataFrame:
     ).select("channel_handle", "page_no", "item_pos", F.col("item.contentDetails.videoId").alias("video_id"))
 
 
+def video_records(pages: DataFrame) -> DataFrame:
+    """Video detail pages to landed records: one row per item, the whole item as JSON text.
+
+    Input: ``channel_handle, channel_id, channel_name, raw_json``.  Items are variants, so fields this
+    library does not know survive.
+    """
+    items = parse_pages(pages, schemas.VIDEO_ITEM_PAGE_JSON).select(
+        "channel_handle", "channel_id", "channel_name", F.explode("page.items").alias("item")
+    )
+    return items.select(
+        F.variant_get("item", "$.id", "string").alias("video_id"),
+        "channel_handle", "channel_id", "channel_name",
+        F.to_json("item").alias("raw_json"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("ingested_at"),
+    )
+
+
 def video_list(records: DataFrame) -> DataFrame:
     """Landed video records to ``video_id, channel_handle, title, published_at, video_url``."""
     raw = F.from_json("raw_json", schemas.VIDEO_ITEM_JSON, {"mode": "FAILFAST"})

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale.functions.text import tokens, words
+from chorale.operators.channels import for_channel
 
 # Words too common to be a complaint, and phrases that ask for more content.
 STOP_WORDS = [
@@ -36,14 +37,16 @@ def _holds_any_token(text: Column, terms: Sequence[str]) -> Column:
     return _holds_any_text(text, terms) & F.arrays_overlap(tokens(text), listed)
 
 
-def comments_mentioning(silver: DataFrame, terms: Sequence[str]) -> DataFrame:
+def comments_mentioning(silver: DataFrame, terms: Sequence[str], channel: str | None = None) -> DataFrame:
     """Comments that hold any of the given words as a token, with title and link."""
-    return silver.filter(_holds_any_token(F.col("text"), terms)).select(*CITATION)
+    return for_channel(silver, channel).filter(_holds_any_token(F.col("text"), terms)).select(*CITATION)
 
 
-def follow_up_requests(silver: DataFrame, phrases: Sequence[str] = FOLLOW_UP_PHRASES) -> DataFrame:
+def follow_up_requests(
+    silver: DataFrame, phrases: Sequence[str] = FOLLOW_UP_PHRASES, channel: str | None = None
+) -> DataFrame:
     """Comments that hold one of the phrases, in any case."""
-    return silver.filter(_holds_any_text(F.col("text"), phrases)).select(*CITATION)
+    return for_channel(silver, channel).filter(_holds_any_text(F.col("text"), phrases)).select(*CITATION)
 
 
 def term_counts(comments: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -55,12 +58,14 @@ def term_counts(comments: DataFrame, stop_words: Sequence[str] = STOP_WORDS) ->
     return kept.groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
-def top_terms(comments: DataFrame, k: int, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    return term_counts(comments, stop_words).orderBy(F.col("occurrences").desc(), "term").limit(k)
+def top_terms(
+    comments: DataFrame, k: int, stop_words: Sequence[str] = STOP_WORDS, channel: str | None = None
+) -> DataFrame:
+    return term_counts(for_channel(comments, channel), stop_words).orderBy(F.col("occurrences").desc(), "term").limit(k)
 
 
 def _occurrences(toks: Column, word: str) -> Column:
-    return F.size(F.filter(toks, lambda t: t == word))
+    return F.size(toks) - F.size(F.array_remove(toks, word))
 
 
 def bm25_part(tf: Column, length: Column, df: Column, n: Column, avg_len: Column, k1: float, b: float) -> Column:
@@ -106,7 +111,10 @@ def bm25_scores(
     return rows.withColumn("score", score).drop("_d", "_s")
 
 
-def bm25_top_k(comments: DataFrame, query: Sequence[str], k: int, **options) -> DataFrame:
-    """The ``k`` best comments with citation; scores rounded to 6 digits, ties by ``comment_id``."""
-    scored = bm25_scores(comments, query, **options).select(*CITATION, F.round("score", 6).alias("score"))
+def bm25_top_k(comments: DataFrame, query: Sequence[str], k: int, channel: str | None = None, **options) -> DataFrame:
+    """The ``k`` best comments with citation; scores rounded to 6 digits, ties by ``comment_id``.
+
+    With ``channel`` the ranking and its statistics are those of that channel alone.
+    """
+    scored = bm25_scores(for_channel(comments, channel), query, **options).select(*CITATION, F.round("score", 6).alias("score"))
     return scored.orderBy(F.col("score").desc(), "comment_id").limit(k)

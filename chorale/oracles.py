@@ -319,8 +319,8 @@ _SQL: dict[str, str] = {
         SELECT comment_id, channel_handle, title, video_url, author_name, text, like_count FROM scored
         WHERE sentiment = 'negative'"""),
     "q_compare_channels": _with(["kpis"], """
-        SELECT *, CAST(rank() OVER (ORDER BY avg_sentiment DESC) AS INTEGER) AS sentiment_rank,
-               CAST(rank() OVER (ORDER BY total_comments DESC) AS INTEGER) AS volume_rank FROM kpis"""),
+        SELECT *, rank() OVER (ORDER BY avg_sentiment DESC) AS sentiment_rank,
+               rank() OVER (ORDER BY total_comments DESC) AS volume_rank FROM kpis"""),
     "q_reply_coverage": _with(["silver"], """
         SELECT video_id, announced_replies, landed_replies,
                CAST(ROUND(CAST(landed_replies / CAST(nullif(announced_replies, 0) AS DOUBLE) AS DECIMAL(18,9)), 4) AS DOUBLE) AS coverage
@@ -364,6 +364,12 @@ _SQL: dict[str, str] = {
     "silver_videos": _with(["uploads"], f"""
         SELECT video_id, channel_handle, channel_name, title, video_url, strftime(posted, '%Y-%m-%d %H:%M:%S') AS published_at,
                duration_seconds, views, likes, comments FROM uploads"""),
+    "flatten_video_items": _with(["uploads"], """
+        SELECT video_id, channel_handle, channel_name, title, video_url, strftime(posted, '%Y-%m-%d %H:%M:%S') AS published_at,
+               duration_seconds, views, likes, comments, 'UC' || ltrim(channel_handle, '@ch') AS channel_id, 'video' AS kind FROM uploads"""),
+    "flatten_channels": """
+        SELECT DISTINCT '@user' || user_id AS channel_handle, 'UC' || user_id AS channel_id, 'User ' || user_id AS channel_name,
+               'UU' || user_id AS uploads_playlist_id FROM events""",
     "text_word_count": _with(["transcripts"], "SELECT video_id, word_count FROM transcripts"),
     "video_engagement": _with(["engagement"], "SELECT * FROM engagement"),
     "channel_summary": _with(["summary"], "SELECT * FROM summary"),
@@ -375,6 +381,8 @@ for _name, _body in _DASH.items():
 
 
 _SQL["r_bm25_index_topk"] = _SQL["r_bm25_topk"]
+_SQL["r_bm25_topk_by_channel"] = _SQL["r_bm25_index_topk_by_channel"] = (
+    _SQL["r_bm25_topk"].replace("AS toks FROM silver)", "AS toks FROM silver WHERE channel_handle = '@ch1')"))
 
 
 def all_sql() -> dict[str, str]:

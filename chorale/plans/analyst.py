@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chorale.plans.dashboards import for_channel
+from chorale.operators.channels import for_channel
+from chorale.operators.positions import running_position
 
 
 def _best(gold: DataFrame, by: str, k: int, channel: str | None) -> DataFrame:
@@ -71,13 +72,15 @@ def comments_with_label(scored: DataFrame, label: str, channel: str | None = Non
 def compare_channels(kpis: DataFrame) -> DataFrame:
     """Channel totals with ranks by sentiment and by volume.
 
-    The input has one row per channel, so the unpartitioned window sees few rows at any data size.
+    Ranks are counted per slice of values: a mean score has at most 2,001 values, a volume at most 512
+    sizes (eighths of a power of two), so many channels do not meet in one task.
     """
-    by_score = Window.orderBy(F.col("avg_sentiment").desc_nulls_last())
-    by_volume = Window.orderBy(F.col("total_comments").desc())
-    return kpis.select(
-        "*", F.rank().over(by_score).alias("sentiment_rank"), F.rank().over(by_volume).alias("volume_rank")
+    score, volume = F.col("avg_sentiment"), F.col("total_comments")
+    by_score = running_position(
+        kpis, [], F.coalesce(-score, F.lit(2)), [score.desc_nulls_last()], "sentiment_rank", ties=True
     )
+    size = -F.floor(F.log2(F.greatest(volume, F.lit(1))) * 8)
+    return running_position(by_score, [], size, [volume.desc()], "volume_rank", ties=True)
 
 
 def reply_coverage(silver: DataFrame, channel: str | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chorale.operators.channels import for_channel
+
 # Lengths of the rankings and the least volume a video needs for the engagement ranking.
 TOP_VIDEOS = 10
 MIN_COMMENTS = 3
@@ -21,10 +23,6 @@ def _score() -> Column:
     return F.round("sentiment_score", 3).alias("sentiment_score")
 
 
-def for_channel(df: DataFrame, channel: str | None) -> DataFrame:
-    return df if channel is None else df.filter(F.col("channel_handle") == channel)
-
-
 def channel_kpis(gold: DataFrame, channel: str | None = None) -> DataFrame:
     """Totals per channel; means are unweighted over videos and taken in decimal arithmetic, so they
     do not depend on the order in which partial sums arrive."""

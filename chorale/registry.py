@@ -12,7 +12,7 @@ from chorale import fixtures as fx
 from chorale.functions import text as tx
 from chorale.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS, add_sentiment, score_by_lexicon_join
 from chorale.functions.time import iso_timestamp
-from chorale.operators import documents, gold, joins, landing, quality, retrieval, silver, text_index, videos
+from chorale.operators import channels, documents, gold, joins, landing, quality, retrieval, silver, text_index, videos
 from chorale.plans import analyst, dashboards
 from chorale.schemas import COMMENT_FIELDS
 from chorale.session import materialise, pin_session, scratch_dir
@@ -281,6 +281,38 @@ def _(spark, sf):
     return landing.flatten_video_ids(pages)
 
 
+def _item_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Details responses of 50 uploads each, with a field the library does not know."""
+    records = fx.video_records(spark, sf)
+    page_no = F.expr("CAST(substring(video_id, 4) AS BIGINT) div 50")
+    item = F.expr("regexp_replace(raw_json, '[}]$', ',\"kind\":\"video\"}')")
+    keys = ["channel_handle", "channel_id", "channel_name"]
+    pages = records.groupBy(*keys, page_no.alias("page_no")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    body = F.concat(F.lit('{"items":['), F.array_join("items", ","), F.lit("]}"))
+    return pages.select(*keys, body.alias("raw_json"))
+
+
+@query("flatten_video_items")
+def _(spark, sf):
+    records = landing.video_records(_item_pages(spark, sf))
+    kept = F.get_json_object("raw_json", "$.kind").alias("kind")
+    rows = records.select("video_id", "channel_id", kept)
+    return videos.clean_videos(records).join(rows, "video_id")
+
+
+@query("flatten_channels")
+def _(spark, sf):
+    """Channel lookups, one per user of the events."""
+    user = F.col("user_id").cast("string")
+    uploads = F.struct(F.struct(F.concat(F.lit("UU"), user).alias("uploads")).alias("relatedPlaylists"))
+    item = F.struct(F.concat(F.lit("UC"), user).alias("id"),
+                    F.struct(F.concat(F.lit("User "), user).alias("title")).alias("snippet"), uploads.alias("contentDetails"))
+    pages = fx.table(spark, sf, "events").select("user_id").distinct().select(
+        tx.channel_handle(F.concat(F.lit("user"), user)).alias("channel_handle"),
+        F.to_json(F.struct(F.array(item).alias("items"))).alias("raw_json"))
+    return channels.channel_info(pages)
+
+
 @query("limit_comments_per_video")
 def _(spark, sf):
     return landing.limit_comments(fx.thread_pages(spark, sf, SMALL_PAGE), COMMENT_LIMIT).select(
@@ -573,6 +605,18 @@ def _(spark, sf):
     return retrieval.bm25_top_k(_silver(spark, sf), SEARCH, 10)
 
 
+@query("r_bm25_topk_by_channel")
+def _(spark, sf):
+    return retrieval.bm25_top_k(_silver(spark, sf), SEARCH, 10, CHANNEL)
+
+
+@query("r_bm25_index_topk_by_channel")
+def _(spark, sf):
+    path = scratch_dir(spark, "index")
+    text_index.write_index(_silver(spark, sf), path)
+    return text_index.search_index(spark, path, SEARCH, 10, CHANNEL)
+
+
 @query("r_bm25_index_topk")
 def _(spark, sf):
     path = scratch_dir(spark, "index")

@@ -46,6 +46,13 @@ VIDEO_ITEM_JSON = (
 VIDEO_ID_PAGE_JSON = (
     "struct<items: array<struct<contentDetails: struct<videoId: string>>>, nextPageToken: string>"
 )
+CHANNEL_ITEM_JSON = (
+    "struct<id: string, snippet: struct<title: string>,"
+    " contentDetails: struct<relatedPlaylists: struct<uploads: string>>>"
+)
+CHANNEL_PAGE_JSON = f"struct<items: array<{CHANNEL_ITEM_JSON}>>"
+# Items are kept whole: what a details response holds beyond the fields read here is landed as well.
+VIDEO_ITEM_PAGE_JSON = "struct<items: array<variant>>"
 
 COMMENT_FIELDS = [f.split()[0] for f in COMMENT_RECORD.split(", ")]
 GOLD_KEYS = ["video_id", "channel_handle", "title", "video_url"]

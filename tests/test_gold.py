@@ -176,3 +176,12 @@ def test_metrics_shuffle_once(spark, tmp_path):
     s.write.parquet(str(tmp_path / "s"))
     p = plan(gold.comment_metrics(spark.read.parquet(str(tmp_path / "s"))))
     assert p.count("Exchange") == 1 and "partial_count" in p and "author_name" not in p
+
+
+def test_channel_ranks_equal_rank_window(spark):
+    rows = [(f"@{i}", (i * 37) % 90, Decimal(i % 7 - 3) / 10 if i % 11 else None) for i in range(200)]
+    kpis = spark.createDataFrame(rows, "channel_handle string, total_comments long, avg_sentiment decimal(19,3)")
+    got = {r["channel_handle"]: (r["sentiment_rank"], r["volume_rank"]) for r in analyst.compare_channels(kpis).collect()}
+    low = Decimal(-9)
+    assert got == {ch: (1 + sum((x if x is not None else low) > (s if s is not None else low) for _, _, x in rows),
+                        1 + sum(v > n for _, v, _ in rows)) for ch, n, s in rows}

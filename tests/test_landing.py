@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chorale import schemas
 from chorale.operators import joins, landing
+from chorale.operators.channels import channel_info
 from chorale.operators.positions import running_position
 from chorale.sources import landed, sinks
 from conftest import plan
@@ -178,3 +179,20 @@ def test_joins(spark):
     flags = joins.flag_present(one, c, "video_id", "has").collect()
     assert {r["video_id"]: r["has"] for r in flags} == {"v": True, "z": False}
     assert joins.attach_videos(c, one).count() == 3
+
+
+def test_video_records_keep_unknown_fields(spark):
+    page = json.dumps({"items": [{"id": "v1", "snippet": {"title": "T", "tags": ["a"]}, "player": {"x": 1}}, {"id": "v2"}]})
+    pages = spark.createDataFrame([("@c", "U", "C", page)], "channel_handle string, channel_id string, channel_name string, raw_json string")
+    rows = {r["video_id"]: json.loads(r["raw_json"]) for r in landing.video_records(pages).collect()}
+    assert rows == {"v1": json.loads(page)["items"][0], "v2": {"id": "v2"}}
+
+
+def test_unknown_channel_stops_the_job(spark):
+    good = json.dumps({"items": [{"id": "U", "snippet": {"title": "C"}, "contentDetails": {"relatedPlaylists": {"uploads": "P"}}}]})
+    kind = "channel_handle string, raw_json string"
+    row = channel_info(spark.createDataFrame([("@c", good)], kind)).first()
+    assert tuple(row) == ("@c", "U", "C", "P")
+    for empty in ('{"items":[]}', "{}"):
+        with pytest.raises(Exception, match="no channel found for handle @x"):
+            channel_info(spark.createDataFrame([("@x", empty)], kind)).collect()

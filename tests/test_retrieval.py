@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from chorale.functions.text import term_frequencies
 from chorale.operators import retrieval, text_index
 from conftest import plan
 
@@ -67,3 +68,18 @@ def test_top_terms(spark):
     df = spark.createDataFrame([("1", "The audio audio is bad"), ("2", "bad and late"), ("3", None)], "comment_id string, text string")
     got = [(r["term"], r["occurrences"]) for r in retrieval.top_terms(df, 2).collect()]
     assert got == [("audio", 2), ("bad", 2)]
+
+
+def test_term_frequencies(spark):
+    texts = ["b a b A, b's", "one", "", None, "x " * 500]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] and [tuple(e) for e in r[0]] for r in df.orderBy("i").select(term_frequencies(F.col("t"))).collect()]
+    assert got == [[("a", 2), ("b", 2), ("b's", 1)], [("one", 1)], [], None, [("x", 500)]]
+
+
+def test_index_search_prunes_buckets(spark, corpus, tmp_path):
+    text_index.write_index(corpus, str(tmp_path / "ix"), buckets=16)
+    postings = spark.read.parquet(str(tmp_path / "ix/postings"))
+    pruned = postings.filter(F.col("bucket").isin(text_index._bucket(F.lit("alpha"), 16)))
+    assert "PartitionFilters: [isnotnull(bucket" in plan(pruned) or "PartitionFilters: [(bucket" in plan(pruned)
+    assert {r["term"] for r in pruned.filter("term = 'alpha'").collect()} == {"alpha"}
