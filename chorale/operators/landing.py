@@ -152,9 +152,14 @@ def video_list(records: DataFrame) -> DataFrame:
     )
 
 
+def _newest_first() -> list[Column]:
+    """Newest first; equal times in the order of a hash of the id, which is the same on every run."""
+    return [F.col("published_at").desc_nulls_last(), F.md5("video_id").asc(), F.col("video_id").asc()]
+
+
 def newest_videos(videos: DataFrame, limit: int, per_channel: bool = True) -> DataFrame:
-    """The newest ``limit`` videos (0 = all), per channel or overall; ties go by ``video_id``."""
-    newest = [F.col("published_at").desc_nulls_last(), F.col("video_id").asc()]
+    """The newest ``limit`` videos (0 = all), per channel or overall."""
+    newest = _newest_first()
     if limit <= 0:
         return videos
     if not per_channel:
@@ -166,13 +171,14 @@ def newest_videos(videos: DataFrame, limit: int, per_channel: bool = True) -> Da
 def batch_videos(videos: DataFrame, size: int = VIDEO_BATCH_SIZE) -> DataFrame:
     """Add ``batch`` (``batch_0001`` ...): chunks of ``size`` videos per channel, newest first.
 
-    Positions are counted per hour of publication first, so a channel with a third of all videos is
-    not numbered by one task.
+    Positions are counted by hour of publication, then by time and the first byte of the id's hash, so
+    neither a channel with a third of all videos nor an instant with that many is numbered by one task.
     """
-    newest = [F.col("published_at").desc_nulls_last(), F.col("video_id").asc()]
-    # '9' sorts after every complemented digit, so missing dates fall into the last slice.
-    hour = F.coalesce(F.translate(F.substring("published_at", 1, 13), "0123456789", "9876543210"), F.lit("~"))
-    numbered = running_position(videos, ["channel_handle"], hour, newest, "_position")
+    # Complemented digits rise as the time falls; '~' puts missing times last.
+    falling = F.coalesce(F.translate("published_at", "0123456789", "9876543210"), F.lit("~"))
+    fine = F.concat(falling, F.lit("|"), F.substring(F.md5("video_id"), 1, 2))
+    slices = [F.substring(falling, 1, 13), fine]
+    numbered = running_position(videos, ["channel_handle"], slices, _newest_first(), "_position")
     number = (F.floor((F.col("_position") - 1) / size) + 1).cast("string")
     padded = F.when(F.length(number) < 4, F.lpad(number, 4, "0")).otherwise(number)
     return numbered.withColumn("batch", F.concat(F.lit("batch_"), padded)).drop("_position")

@@ -144,7 +144,7 @@ _DOCUMENTS = _with(["raw", "video_list"], f"""
 def _batches(slug: str) -> str:
     return _with(["uploads"], f"""
         SELECT {slug}, video_id, 'batch_' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS batch
-        FROM (SELECT *, (row_number() OVER (PARTITION BY channel_handle ORDER BY published_at DESC, video_id) - 1) // 50 + 1 AS n
+        FROM (SELECT *, (row_number() OVER (PARTITION BY channel_handle ORDER BY published_at DESC, md5(video_id)) - 1) // 50 + 1 AS n
               FROM uploads)""")
 
 
@@ -254,7 +254,7 @@ _SQL: dict[str, str] = {
         QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY slot) <= 20"""),
     "limit_newest_videos": _with(["uploads"], """
         SELECT video_id, channel_handle, title, published_at, video_url FROM uploads
-        QUALIFY row_number() OVER (PARTITION BY channel_handle ORDER BY published_at DESC, video_id) <= 7"""),
+        QUALIFY row_number() OVER (PARTITION BY channel_handle ORDER BY published_at DESC, md5(video_id)) <= 7"""),
     "ingest_outcomes": f"""
         SELECT CASE WHEN event_type = 'error' AND k % 3 IN (0, 1) THEN 'skipped' WHEN event_type = 'error' THEN 'error'
                     WHEN k % 10 = 0 THEN 'skipped' ELSE 'fetched' END AS status, COUNT(*) AS videos

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chorale.operators.channels import for_channel
-from chorale.operators.positions import running_position
+from chorale.operators.positions import rank_descending
 
 
 def _best(gold: DataFrame, by: str, k: int, channel: str | None) -> DataFrame:
@@ -72,15 +72,12 @@ def comments_with_label(scored: DataFrame, label: str, channel: str | None = Non
 def compare_channels(kpis: DataFrame) -> DataFrame:
     """Channel totals with ranks by sentiment and by volume.
 
-    Ranks are counted per slice of values: a mean score has at most 2,001 values, a volume at most 512
-    sizes (eighths of a power of two), so many channels do not meet in one task.
+    A mean score has at most 2,001 values, which make one slice; volumes are sliced by eighths of a
+    power of two, at most 512.
     """
-    score, volume = F.col("avg_sentiment"), F.col("total_comments")
-    by_score = running_position(
-        kpis, [], F.coalesce(-score, F.lit(2)), [score.desc_nulls_last()], "sentiment_rank", ties=True
-    )
-    size = -F.floor(F.log2(F.greatest(volume, F.lit(1))) * 8)
-    return running_position(by_score, [], size, [volume.desc()], "volume_rank", ties=True)
+    by_score = rank_descending(kpis, "avg_sentiment", F.lit(0), "sentiment_rank")
+    eighths = -F.floor(F.log2(F.greatest(F.col("total_comments"), F.lit(1))) * 8)
+    return rank_descending(by_score, "total_comments", eighths, "volume_rank")
 
 
 def reply_coverage(silver: DataFrame, channel: str | None = None) -> DataFrame:

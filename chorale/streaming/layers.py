@@ -20,14 +20,22 @@ from chorale.operators.silver import clean_comments
 SILVER_METRICS = "silver_expectations"
 
 
-def read_comment_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
-    """New ``.json`` files at any depth; directory names are not taken for columns."""
+def read_comment_stream(
+    spark: SparkSession, landing: str, max_files: int | None = None, archive: str | None = None
+) -> DataFrame:
+    """New ``.json`` files at any depth; directory names are not taken for columns.
+
+    The file source lists ``landing`` for every micro-batch.  With ``archive`` (a folder outside of it)
+    finished files are moved there, so the listing does not grow with the history.
+    """
     reader = (
         spark.readStream.schema(schemas.COMMENT_RECORD)
         .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.json(landing).withColumn("_ingested_at", F.current_timestamp())
 
 
@@ -48,8 +56,11 @@ def append_available(df: DataFrame, path: str, checkpoint: str, partition_by: li
     return [p if isinstance(p, dict) else p.jsonValue for p in query.recentProgress]
 
 
-def run_raw(spark: SparkSession, landing: str, raw: str, checkpoint: str, max_files: int | None = None) -> list[dict]:
-    return append_available(read_comment_stream(spark, landing, max_files), raw, checkpoint)
+def run_raw(
+    spark: SparkSession, landing: str, raw: str, checkpoint: str, max_files: int | None = None,
+    archive: str | None = None,
+) -> list[dict]:
+    return append_available(read_comment_stream(spark, landing, max_files, archive), raw, checkpoint)
 
 
 def run_silver(
@@ -63,10 +74,13 @@ def run_silver(
     max_files: int | None = None,
 ) -> list[dict]:
     """Cleaned comments.  ``dedup_within`` (say ``'7 days'``) drops a repeated ``comment_id`` landed
-    within that time; its state is bounded by the watermark on ``processed_at``."""
+    within that time; its state is bounded by the watermark on ``processed_at``.  Rows without an id are
+    not duplicates of each other and stay."""
     cleaned = clean_comments(read_table_stream(spark, raw, schemas.RAW_COMMENTS, max_files), on_bad_timestamp)
     if dedup_within:
-        cleaned = cleaned.withWatermark("processed_at", dedup_within).dropDuplicatesWithinWatermark(["comment_id"])
+        marked = cleaned.withWatermark("processed_at", dedup_within)
+        unique = marked.filter(F.col("comment_id").isNotNull()).dropDuplicatesWithinWatermark(["comment_id"])
+        cleaned = unique.unionByName(marked.filter(F.col("comment_id").isNull()))
     checked = apply_expectations(cleaned, expectations, SILVER_METRICS)
     return append_available(checked, silver, checkpoint)
 

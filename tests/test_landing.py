@@ -1,3 +1,4 @@
+import hashlib
 import json
 import random
 
@@ -75,11 +76,13 @@ def test_limit_does_not_shuffle_texts(spark):
     assert "Exchange hashpartitioning" not in plan(df) and df.count() == 2
 
 
-def test_running_position_equals_row_number_on_skewed_groups(spark):
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_running_position_equals_row_number_on_skewed_groups(spark, depth):
     rnd = random.Random(5)
     rows = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), rnd.randrange(500), i) for i in range(4000)]
     df = spark.createDataFrame(rows, "k string, t int, i int")
-    got = running_position(df, ["k"], F.floor(F.col("t") / 20), [F.col("t"), F.col("i")], "p").collect()
+    slices = [F.floor(F.col("t") / 100), F.floor(F.col("t") / 20), F.col("t")][:depth]
+    got = running_position(df, ["k"], slices, [F.col("t"), F.col("i")], "p").collect()
     seen, expected = {}, {}
     for k, t, i in sorted(rows, key=lambda r: (r[1], r[2])):
         seen[k] = seen.get(k, 0) + 1
@@ -99,6 +102,7 @@ def test_newest_and_batches(spark):
     for r in sorted(rows, key=lambda r: r[0]):
         order.setdefault(r[1], []).append(r)
     for rs in order.values():
+        rs.sort(key=lambda r: hashlib.md5(r[0].encode()).hexdigest())
         rs.sort(key=lambda r: r[3] or "", reverse=True)
     expected = {r[0]: f"batch_{i // 50 + 1:04d}" for rs in order.values() for i, r in enumerate(rs)}
     assert {r["video_id"]: r["batch"] for r in landing.batch_videos(df).collect()} == expected
@@ -196,3 +200,27 @@ def test_unknown_channel_stops_the_job(spark):
     for empty in ('{"items":[]}', "{}"):
         with pytest.raises(Exception, match="no channel found for handle @x"):
             channel_info(spark.createDataFrame([("@x", empty)], kind)).collect()
+
+
+def test_hot_parent_is_split_by_the_adaptive_skew_join(spark):
+    """A third of all replies answer one comment; with the sizes scaled down its partition is divided."""
+    rows = [("v", f"p{i}", None, False) for i in range(200)]
+    rows += [("v", f"r{i}", "p0" if i % 3 == 0 else f"p{i % 200}", True) for i in range(30_000)]
+    c = spark.createDataFrame(rows, "video_id string, comment_id string, parent_id string, is_reply boolean").select(
+        "*", F.lit("a").alias("author_name"), F.sha2("comment_id", 512).alias("text"), F.lit(1).alias("like_count"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        joined = joins.replies_with_parents(c.repartition(8))
+        assert joined.collect() and len(joined.collect()) == 30_000
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -89,11 +89,23 @@ def test_bad_timestamp_stops_the_stream_unless_asked(run):
 
 
 def test_dedup_within_time(run):
-    land(run.root / "landing/a.json", [record("1"), record("1"), record("2")])
+    land(run.root / "landing/a.json", [record("1"), record("1"), record("2"), record(None), record(None)])
     run.layers(1, dedup_within="1 day")
-    land(run.root / "landing/b.json", [record("2"), record("3")])
+    land(run.root / "landing/b.json", [record("2"), record("3"), record(None)])
     run.layers(2, dedup_within="1 day")
-    assert sorted(r["comment_id"] for r in run.spark.read.parquet(run.path("silver")).collect()) == ["1", "2", "3"]
+    ids = [r["comment_id"] or "" for r in run.spark.read.parquet(run.path("silver")).collect()]
+    assert sorted(ids) == ["", "", "", "1", "2", "3"]
+
+
+def test_finished_files_are_archived(run):
+    land(run.root / "landing/run=1/a.json", [record("1")])
+    go = lambda: layers.run_raw(run.spark, run.path("landing"), run.path("raw"), run.path("cp"), archive=run.path("done"))
+    go()
+    land(run.root / "landing/run=2/b.json", [record("2")])
+    go()
+    go()
+    assert run.count("raw") == 2
+    assert not (run.root / "landing/run=1/a.json").exists()
 
 
 def test_gold_merges_each_run_once_and_survives_a_lost_run(run):
