@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ REPLY_MARK = "  -> "
 # Unicode white space plus the four ASCII separators, which Java's \s leaves out.
 _SPACE = r"\s\x1c-\x1f"
 _TOKEN_BREAK = r"[^a-z']+"
+_WORD_BREAK = r"[^\p{L}\p{M}\p{N}']+"
 
 
 def strip_whitespace(c: Column) -> Column:
@@ -56,13 +60,22 @@ def comment_line(author: Column, text: Column, likes: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case word tokens; the array can hold empty strings at its ends."""
+    """Lower-case tokens of a-z and ``'``, as word lists use them; empty strings can stand at the ends."""
     return F.split(F.lower(text), _TOKEN_BREAK)
 
 
 def words(text: Column) -> Column:
-    """Non-empty word tokens."""
-    return F.array_remove(tokens(text), "")
+    """Lower-case words of any script: runs of letters, marks, digits and ``'``."""
+    return F.array_remove(F.split(F.lower(text), _WORD_BREAK), "")
+
+
+def search_words(query: Sequence[str]) -> list[str]:
+    """Distinct lower-case search words; each must be one word in the sense of :func:`words`."""
+    found = list(dict.fromkeys(w.lower() for w in query))
+    for w in found:
+        if not w or any(c != "'" and unicodedata.category(c)[0] not in "LMN" for c in w):
+            raise ValueError(f"not a single word: {w!r}")
+    return found
 
 
 def term_frequencies(text: Column) -> Column:

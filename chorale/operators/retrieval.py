@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.functions.text import tokens, words
+from chorale.functions.text import search_words, words
 from chorale.operators.channels import for_channel
 
 # Words too common to be a complaint, and phrases that ask for more content.
@@ -33,13 +33,13 @@ def _holds_any_text(text: Column, terms: Sequence[str]) -> Column:
 def _holds_any_token(text: Column, terms: Sequence[str]) -> Column:
     """Any of the words as a whole token.  A plain substring search comes first: it is several times
     cheaper than tokenising and rules out most rows."""
-    listed = F.array(*[F.lit(t.lower()) for t in terms])
-    return _holds_any_text(text, terms) & F.arrays_overlap(tokens(text), listed)
+    listed = F.array(*[F.lit(t) for t in terms])
+    return _holds_any_text(text, terms) & F.arrays_overlap(words(text), listed)
 
 
 def comments_mentioning(silver: DataFrame, terms: Sequence[str], channel: str | None = None) -> DataFrame:
-    """Comments that hold any of the given words as a token, with title and link."""
-    return for_channel(silver, channel).filter(_holds_any_token(F.col("text"), terms)).select(*CITATION)
+    """Comments that hold any of the given words as a whole word, with title and link."""
+    return for_channel(silver, channel).filter(_holds_any_token(F.col("text"), search_words(terms))).select(*CITATION)
 
 
 def follow_up_requests(
@@ -85,7 +85,7 @@ def bm25_scores(
     read the texts; for many queries over the same comments use the index in
     :mod:`chorale.operators.text_index`.
     """
-    terms = list(dict.fromkeys(t.lower() for t in query))
+    terms = search_words(query)
     # Binding the token array to a lambda variable keeps tokenising to once per row.
     counted = F.transform(
         F.array(words(F.col(text))),

@@ -202,9 +202,9 @@ _VIDEO_CHECKS = "\nUNION ALL ".join([
     _check("summary", "total_views > 0", "(COUNT(*) - COUNT(*) FILTER (total_views > 0))", "summary"),
 ])
 
-_TOKENS = "string_split_regex(lower(text), '[^a-z'']+')"
+_TOKENS = r"string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}'']+')"
 _CITED = "comment_id, channel_handle, title, video_url, text"
-_SEARCH = ["best", "trash", "love", "great"]
+_SEARCH = ["best", "trash", "love", "ciónasmi", "über"]
 
 
 def _expectation(name: str, holds: str) -> str:
@@ -380,6 +380,7 @@ for _name, _body in _DASH.items():
         ["kpis" if _name == "channel_kpis" else "gold"], f"SELECT * FROM ({_body}) WHERE channel_handle = '@ch1'")
 
 
+_SQL["run_end_to_end"] = _GOLD_ROWS
 _SQL["r_bm25_index_topk"] = _SQL["r_bm25_topk"]
 _SQL["r_bm25_topk_by_channel"] = _SQL["r_bm25_index_topk_by_channel"] = (
     _SQL["r_bm25_topk"].replace("AS toks FROM silver)", "AS toks FROM silver WHERE channel_handle = '@ch1')"))

@@ -14,6 +14,7 @@ from chorale.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS, add_sent
 from chorale.functions.time import iso_timestamp
 from chorale.operators import channels, documents, gold, joins, landing, quality, retrieval, silver, text_index, videos
 from chorale.plans import analyst, dashboards
+from chorale.plans.pipeline import Params, run_pipeline
 from chorale.schemas import COMMENT_FIELDS
 from chorale.session import materialise, pin_session, scratch_dir
 from chorale.sources import landed, sinks
@@ -27,7 +28,7 @@ PAGES_PER_PART = 2
 COMMENT_LIMIT = 20
 VIDEO_LIMIT = 7
 CHANNEL = "@ch1"
-SEARCH = ["best", "trash", "love", "great"]
+SEARCH = ["best", "trash", "love", "ciónasmi", "über"]
 
 _QUERIES: dict[str, Query] = {}
 
@@ -409,6 +410,17 @@ def _(spark, sf):
     return _gold_rows(result)
 
 
+@query("run_end_to_end")
+def _(spark, sf):
+    """Landed pages and videos through the whole run (all streams, documents and checks) to the metrics."""
+    pages, listed, out = (scratch_dir(spark, n) for n in ("pages", "videos", "run"))
+    sinks.write_thread_pages(fx.thread_pages(spark, sf), pages)
+    item = F.struct(F.col("video_id").alias("id"),
+                    F.struct("title", F.col("published_at").alias("publishedAt")).alias("snippet"))
+    fx.videos(spark, sf).select("video_id", "channel_handle", F.to_json(item).alias("raw_json")).write.json(listed)
+    return _gold_rows(run_pipeline(spark, listed, pages, out, Params(run_id=1)).gold)
+
+
 @query("gold_refresh_touched")
 def _(spark, sf):
     """Metrics of an older state, refreshed for the videos one channel's later comments touch."""

@@ -18,6 +18,7 @@ from chorale.operators.quality import SILVER_EXPECTATIONS, Expectation, apply_ex
 from chorale.operators.silver import clean_comments
 
 SILVER_METRICS = "silver_expectations"
+PROGRESS_SECONDS = 5
 
 
 def read_comment_stream(
@@ -47,13 +48,23 @@ def read_table_stream(spark: SparkSession, path: str, schema: str, max_files: in
 
 
 def append_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> list[dict]:
-    """Append everything that is available, then stop.  Returns the progress of the micro-batches."""
+    """Append everything that is available, then stop.  Returns the progress of every micro-batch.
+
+    The query object keeps only its latest reports, so they are gathered while it runs.
+    """
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     query = writer.trigger(availableNow=True).start(path)
-    query.awaitTermination()
-    return [p if isinstance(p, dict) else p.jsonValue for p in query.recentProgress]
+    seen: dict[int, dict] = {}
+    finished = False
+    while not finished:
+        finished = query.awaitTermination(PROGRESS_SECONDS)
+        for p in query.recentProgress:
+            report = p if isinstance(p, dict) else p.jsonValue
+            # A batch can be followed by an idle report under its number; only the first one counts rows.
+            seen.setdefault(report["batchId"], report)
+    return [seen[b] for b in sorted(seen)]
 
 
 def run_raw(

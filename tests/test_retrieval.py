@@ -16,13 +16,13 @@ def corpus(spark):
     rnd = random.Random(11)
     rows = []
     for i in range(300):
-        toks = [rnd.choice(["alpha", "beta", "gamma", "delta", "it's"]) for _ in range(rnd.randrange(1, 30))]
+        toks = [rnd.choice(["alpha", "beta", "gamma", "über", "it's"]) for _ in range(rnd.randrange(1, 30))]
         rows.append((f"c{i:03d}", "@c", "T", "u", ("Hot, " if i % 2 else "") + " ".join(toks)))
     return spark.createDataFrame(rows, "comment_id string, channel_handle string, title string, video_url string, text string")
 
 
 def brute_force(rows, query, k, k1=1.2, b=0.75):
-    docs = {r["comment_id"]: [t for t in re.split(r"[^a-z']+", r["text"].lower()) if t] for r in rows}
+    docs = {r["comment_id"]: re.findall(r"[\w']+", r["text"].lower()) for r in rows}
     n, avg = len(docs), sum(map(len, docs.values())) / len(docs)
     scores = {}
     for cid, toks in docs.items():
@@ -36,7 +36,7 @@ def brute_force(rows, query, k, k1=1.2, b=0.75):
     return sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]
 
 
-@pytest.mark.parametrize("query", [["alpha"], ["hot", "it's"], ["gamma", "absent"], ["absent"]])
+@pytest.mark.parametrize("query", [["alpha"], ["hot", "it's"], ["über", "absent"], ["absent"]])
 def test_bm25_equals_brute_force_with_and_without_index(spark, corpus, tmp_path, query):
     expected = brute_force(corpus.collect(), query, 7)
     direct = retrieval.bm25_top_k(corpus, [q.upper() for q in query], 7)
@@ -83,3 +83,9 @@ def test_index_search_prunes_buckets(spark, corpus, tmp_path):
     pruned = postings.filter(F.col("bucket").isin(text_index._bucket(F.lit("alpha"), 16)))
     assert "PartitionFilters: [isnotnull(bucket" in plan(pruned) or "PartitionFilters: [(bucket" in plan(pruned)
     assert {r["term"] for r in pruned.filter("term = 'alpha'").collect()} == {"alpha"}
+
+
+def test_search_words_are_single_words(corpus):
+    for bad in ("two words", "", "semi;colon"):
+        with pytest.raises(ValueError, match="not a single word"):
+            retrieval.bm25_top_k(corpus, [bad], 3)

@@ -171,3 +171,12 @@ def test_pipeline_limits(spark, sf, tmp_path):
     raw = spark.read.parquet(str(tmp_path / "out/raw"))
     assert {r["count"] for r in raw.groupBy("video_id").count().collect()} == {4}
     assert raw.select("video_id").distinct().count() == 8  # two per channel, four channels
+
+
+def test_progress_of_many_micro_batches_is_complete(run):
+    for i in range(12):
+        land(run.root / f"landing/{i}.json", [record(str(i)), record(None)])
+    progress = layers.run_raw(run.spark, run.path("landing"), run.path("raw"), run.path("cp_raw"), max_files=1)
+    assert len([p for p in progress if p["numInputRows"]]) == 12
+    silver = layers.run_silver(run.spark, run.path("raw"), run.path("silver"), run.path("cp_silver"), max_files=1)
+    assert layers.expectation_counts(silver) == {"rows": 24, "valid_comment_id": 12, "has_text": 0}
