@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chorale.functions.time import iso_timestamp
+from chorale.session import materialise
 
 
 def clean_comments(raw: DataFrame, on_bad_timestamp: str = "raise") -> DataFrame:
@@ -34,14 +35,19 @@ def clean_comments(raw: DataFrame, on_bad_timestamp: str = "raise") -> DataFrame
 def latest_per_comment(raw: DataFrame, version: str = "ingested_at") -> DataFrame:
     """Opt-in: keep the row with the highest ``version`` of each ``comment_id``; rows without id stay.
 
-    An aggregate, not a window: copies are combined before the shuffle, so an id with very many copies
-    costs one row per task.  Ties go to the greatest row, which makes reruns repeatable.
+    Repeated ids are found first, on the id column alone, and written out.  All other rows then pass
+    without a shuffle (as long as the repeated ids can be broadcast), and only copies are compared: by an
+    aggregate that combines them map-side, so an id with very many copies costs one row per task.  Ties
+    go to the greatest row, which makes reruns repeatable.
     """
+    ids = raw.select("comment_id").filter(F.col("comment_id").isNotNull())
+    many = ids.groupBy("comment_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    repeated = materialise(many.select("comment_id"), "repeated")
     rest = [c for c in raw.columns if c not in ("comment_id", version)]
-    with_id = (
-        raw.filter(F.col("comment_id").isNotNull())
+    newest = (
+        raw.join(repeated, "comment_id", "left_semi")
         .groupBy("comment_id")
         .agg(F.max(F.struct(version, *rest)).alias("_r"))
         .select(*[F.col("comment_id") if c == "comment_id" else F.col(f"_r.{c}").alias(c) for c in raw.columns])
     )
-    return with_id.unionByName(raw.filter(F.col("comment_id").isNull()))
+    return raw.join(repeated, "comment_id", "left_anti").select(*raw.columns).unionByName(newest)
