@@ -4,8 +4,10 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry
+from chorale.oracles import all_sql
+from chorale.registry import all_queries
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
