@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import exact_dedup, mixing, quality
+from chorale.llm import exact_dedup, mixing, pii, quality, secrets, sentencepiece_bpe, token_files
 from chorale.llm.common import documents
 from chorale.session import pin_session
 
@@ -26,6 +26,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_token_files")
+def _(spark, sf):
+    return token_files.token_files(documents(spark, sf)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op2_secrets")
+def _(spark, sf):
+    return secrets.digests(secrets.find_secrets(documents(spark, sf)))
+
+
 @query("op5_quality")
 def _(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -45,6 +55,16 @@ def _(spark, sf):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op8_sentencepiece")
+def _(spark, sf):
+    return sentencepiece_bpe.digests(sentencepiece_bpe.encode(documents(spark, sf)))
+
+
+@query("op9_personal_data")
+def _(spark, sf):
+    return pii.digests(pii.find_personal(documents(spark, sf)))
+
+
 @query("op10_mixing")
 def _(spark, sf):
     return mixing.mix(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
