@@ -48,3 +48,21 @@ def worker_state(name: str, make):
     if not hasattr(holder, name):
         setattr(holder, name, make())
     return getattr(holder, name)
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """The same for rows with one id and one text, which are one document."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
+def keep_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` named by ``kept`` (id, row_key, times), all columns as they were.
+
+    ``kept`` must be a written table.  Only rows that occur several times are looked at for repeats.
+    """
+    k = kept.select(F.col("id").alias("__kept_id"), F.col("row_key").alias("__kept_row"), F.col("times").alias("__times"))
+    own = docs.withColumn("__row", row_key(id_col, text_col))
+    on = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__row") == F.col("__kept_row"))
+    single = own.join(k.filter("__times = 1"), on, "left_semi")
+    repeated = own.join(k.filter("__times > 1"), on, "left_semi").dropDuplicates([id_col, "__row"])
+    return single.unionByName(repeated).select(*docs.columns)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import ascii_lower, text_or_empty
+from chorale.llm.common import ascii_lower, keep_once, row_key, text_or_empty
 from chorale.session import materialise
 
 CELL_BITS = 12
@@ -76,12 +76,7 @@ def exact_duplicates(
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    kept = materialise(exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"), F.col("times").alias("__times")),
-        "dedup-kept")
-    own = docs.withColumn("__sha", F.sha2(ascii_lower(text_or_empty(text_col)), 256))
-    on = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__sha") == F.col("__kept_sha"))
-    single = own.join(kept.filter("__times = 1"), on, "left_semi")
-    # Rows with the same id and equal texts are one document: of those, one stays.
-    repeated = own.join(kept.filter("__times > 1"), on, "left_semi").dropDuplicates([id_col, "__sha"])
-    return single.unionByName(repeated).select(*docs.columns)
+    keyed = docs.select(F.struct(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row")).alias("who"),
+                        F.col(text_col).alias("text"))
+    kept = exact_duplicates(keyed, "who", "text").filter("kept").select("doc_id.id", F.col("doc_id.row").alias("row_key"), "times")
+    return keep_once(docs, materialise(kept, "dedup-kept"), id_col, text_col)

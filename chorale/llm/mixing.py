@@ -178,13 +178,14 @@ def mix(
 
 def take_mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """``docs`` as the mix takes them: rows taken twice occur twice, others once or not at all; same columns."""
-    # Rows with one id and one text share their copies: they are summed, and each such document comes out so often.
     mixed = mix(docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row")).alias("__who"),
                             F.col(text_col).alias("__text"), F.col(source_col).alias("__source")),
                 "__who", "__text", "__source", **how)
     taken = materialise(mixed.groupBy(F.col("doc_id.id").alias("__taken_id"), F.col("doc_id.row").alias("__taken_row")).agg(
-        F.sum("copies").alias("__copies")).filter("__copies > 0"), "mix-taken")
+        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0"), "mix-taken")
     own = docs.withColumn("__row", F.xxhash64(id_col, text_col))
-    one = own.dropDuplicates([id_col, "__row"]) if "__repeated" in how else own
-    joined = one.join(taken, F.col(id_col).eqNullSafe(F.col("__taken_id")) & (F.col("__row") == F.col("__taken_row")))
-    return joined.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    joined = own.join(taken, F.col(id_col).eqNullSafe(F.col("__taken_id")) & (F.col("__row") == F.col("__taken_row")))
+    # Equal rows are one document here: it comes out as often as all of them are taken.
+    equal = joined.filter("__rows > 1").dropDuplicates([id_col, "__row"])
+    out = joined.filter("__rows = 1").unionByName(equal)
+    return out.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)

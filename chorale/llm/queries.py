@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.llm import exact_dedup, mixing, pii, quality, secrets, sentencepiece_bpe, token_files
+from chorale.llm import (
+    exact_dedup, jaccard, mixing, pii, quality, secrets, sentencepiece_bpe, token_attribution, token_files,
+)
 from chorale.llm.common import documents
 from chorale.session import pin_session
 
@@ -36,6 +38,12 @@ def _(spark, sf):
     return secrets.digests(secrets.find_secrets(documents(spark, sf)))
 
 
+@query("op3_jaccard")
+def _(spark, sf):
+    found = jaccard.near_duplicates(documents(spark, sf), shingle=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op5_quality")
 def _(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -55,6 +63,11 @@ def _(spark, sf):
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op7_token_counts")
+def _(spark, sf):
+    return token_attribution.token_counts(documents(spark, sf))
+
+
 @query("op8_sentencepiece")
 def _(spark, sf):
     return sentencepiece_bpe.digests(sentencepiece_bpe.encode(documents(spark, sf)))

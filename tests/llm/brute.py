@@ -155,3 +155,33 @@ def targets(docs):
                 target[s] = 2.0 * size[s]
                 open_.discard(s)
     return {s: (size[s], target[s]) for s in names}
+
+
+def op7(docs, rule="largest"):
+    """docs: doc_id, text, lang, source -> doc_id, section, n_bytes, n_tokens, crossing."""
+    import base64
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path("byte_bpe_50k.tiktoken"), "rb"))}
+    e = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = []
+    for d, x, *fields in docs:
+        parts = [(f or "") + "\n" for f in fields] + ([] if x is None else [p + "\n" for p in x.split("\n")])
+        if x is not None:
+            parts[-1] = parts[-1][:-1]
+        owner = [i for i, p in enumerate(parts) for _ in p.encode()]
+        n, cross, at = [0] * len(parts), [0] * len(parts), 0
+        for t in e.encode_ordinary("".join(parts)):
+            own = owner[at:at + len(e.decode_single_token_bytes(t))]
+            at += len(own)
+            times = Counter(own)
+            for s, k in times.items():
+                cross[s] += len(times) > 1
+                if rule == "share":
+                    n[s] += k / len(own)
+            if rule != "share":
+                n[own[0] if rule == "first" else min(times, key=lambda s: (-times[s], s))] += 1
+        out += [(d, i, len(p.encode()), n[i], cross[i]) for i, p in enumerate(parts)]
+    return out
