@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm import (
-    exact_dedup, jaccard, mixing, pii, quality, secrets, sentencepiece_bpe, token_attribution, token_files,
+    exact_dedup, jaccard, mixing, pii, quality, repeats, secrets, sentencepiece_bpe, token_attribution, token_files,
 )
 from chorale.llm.common import documents
 from chorale.session import pin_session
@@ -44,6 +44,11 @@ def _(spark, sf):
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+@query("op4_repeats")
+def _(spark, sf):
+    return repeats.remove_repeats(documents(spark, sf)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op5_quality")
 def _(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
