@@ -25,17 +25,19 @@ def _prop(props: str = "props") -> Column:
 
 
 def landed_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comment records with their place in the video (``slot``): documents as texts, events as the rest.
+    """Comment records with their place in the video (``slot``): one per event, texts from the documents.
 
-    20 videos in 4 channels; every third slot of a video starts a thread, the next two reply to it.
+    Event ``i`` takes the text of document ``i`` modulo their number.  20 videos in 4 channels; every third slot of a video starts a thread, the next two reply to it.
     """
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
-    doc, text = F.col("doc_id"), F.col("text")
-    video, slot = doc % VIDEOS, F.expr(f"doc_id div {VIDEOS}")
+    n = table(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+    doc, text = F.col("event_id"), F.col("text")
+    video, slot = doc % VIDEOS, F.expr(f"event_id div {VIDEOS}")
     is_reply = slot % 3 != 0
     video_id = F.concat(F.lit("vid"), video.cast("string"))
-    return d.join(e, d["doc_id"] == e["event_id"]).select(
+    of = e.withColumn("text_of", F.col("event_id") % F.greatest(n, F.lit(1)))
+    return of.join(d, F.col("text_of") == F.col("doc_id"), "left").select(
         doc.cast("string").alias("comment_id"),
         video_id.alias("video_id"),
         F.concat(F.lit("@ch"), (video % CHANNELS).cast("string")).alias("channel_handle"),
@@ -57,8 +59,15 @@ def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_comments(spark, sf_dir).drop("slot").withColumn("_ingested_at", F.current_timestamp())
 
 
-def thread_pages(spark: SparkSession, sf_dir: str, threads_per_page: int = THREADS_PER_PAGE) -> DataFrame:
-    """The same comments as landed API pages, replies nested in their threads.
+def relanded_pages(spark: SparkSession, sf_dir: str, threads_per_page: int = THREADS_PER_PAGE) -> DataFrame:
+    """Every page landed twice, the second time with one thread more on top."""
+    return thread_pages(spark, sf_dir, threads_per_page).unionByName(thread_pages(spark, sf_dir, threads_per_page, True))
+
+
+def thread_pages(
+    spark: SparkSession, sf_dir: str, threads_per_page: int = THREADS_PER_PAGE, later: bool = False
+) -> DataFrame:
+    """The same comments as landed API pages, replies nested in their threads; ``later``: an hour on, see above.
 
     Groups are bounded: a thread has three rows, a page ``threads_per_page`` threads.
     """
@@ -86,8 +95,21 @@ def thread_pages(spark: SparkSession, sf_dir: str, threads_per_page: int = THREA
         F.sort_array(F.collect_list(F.struct("thread", item.alias("item")))).alias("items"),
         F.max(rows[0]["body"]["publishedAt"]).alias("ingested_at"),
     )
-    response = F.struct(F.transform("items", lambda i: i["item"]).alias("items"))
-    return pages.select("video_id", "channel_handle", "page_no", F.to_json(response).alias("raw_json"), "ingested_at")
+    items = F.transform("items", lambda i: i["item"])
+    if later:
+        kind = dict(threads.select(item.alias("i")).dtypes)["i"]
+        fresh = F.to_json(F.struct(
+            F.concat_ws("-", F.lit("new"), "video_id", F.col("page_no").cast("string")).alias("id"),
+            F.struct(F.lit(0).alias("totalReplyCount"), F.struct(F.struct(
+                F.lit("late").alias("authorDisplayName"), F.lit("fresh").alias("textOriginal"), F.lit(0).alias("likeCount"),
+                F.col("ingested_at").alias("publishedAt")).alias("snippet")).alias("topLevelComment")).alias("snippet")))
+        items = F.concat(F.array(F.from_json(fresh, kind)), items)
+        hour_on = F.to_timestamp("ingested_at") + F.expr("INTERVAL 1 HOUR")
+        pages = pages.withColumn("landed", F.date_format(hour_on, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    else:
+        pages = pages.withColumn("landed", F.col("ingested_at"))
+    response = F.struct(items.alias("items"))
+    return pages.select("video_id", "channel_handle", "page_no", F.to_json(response).alias("raw_json"), F.col("landed").alias("ingested_at"))
 
 
 def videos(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.functions.text import tokens
+from chorale.functions.text import term_frequencies, tokens
+from chorale.session import materialise
 
 Scorer = Callable[[Column], Column]
 
@@ -23,9 +24,6 @@ NEGATIVE_WORDS = [
     "worst", "bad", "trash", "scum", "idiot", "clown", "worthless", "moron", "pathetic", "loser",
     "stupid", "disgusting",
 ]
-# Word lists are shipped inside the plan or broadcast; past this many words use a written table.
-MAX_LEXICON_WORDS = 100_000
-
 
 # Labels by the sign of (positive - negative) tokens.
 _LABELS = ("negative", "neutral", "positive")
@@ -69,25 +67,24 @@ def model_scorer(predict: Callable[[pd.Series], pd.Series]) -> Scorer:
     return lambda text: scored(text)
 
 
-def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame, max_words: int = MAX_LEXICON_WORDS) -> DataFrame:
+def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The same rule for long or weighted lists: ``comment_id, sentiment`` from ``lexicon(word, weight)``.
 
-    Tokens are joined to the lexicon and their weights summed per comment before the shuffle, which
-    carries one narrow row per comment and no text.  The lexicon is broadcast when its row count is
-    proven to be at most ``max_words``; a longer one is joined by hash of the word.  Words of the
-    lexicon and comment ids must be unique.
+    One row per row of ``comments``, whatever its id: a text is scored under a hash of its own, and rows
+    find their score by it.  Words are counted inside the text, so a word crosses the shuffle once per
+    text at most; weights are summed before it.  (Copies add the same balance again, which leaves its
+    sign.)  The lexicon is written first, so Spark knows its size and broadcasts it only below its
+    threshold.  Words of the lexicon must be unique.
     """
-    if lexicon.limit(max_words + 1).count() <= max_words:
-        lexicon = F.broadcast(lexicon)
-    words = comments.select("comment_id", F.explode(tokens(F.col("text"))).alias("word"))
-    hits = words.join(lexicon, "word").select("comment_id", "weight", F.lit(False).alias("_empty"))
-    # One row per comment with weight 0, so that comments without a listed word are labelled too.
-    all_ids = comments.select("comment_id", F.lit(0).alias("weight"), F.col("text").isNull().alias("_empty"))
-    balance = hits.unionByName(all_ids).groupBy("comment_id").agg(
-        F.sum("weight").alias("_balance"), F.bool_and("_empty").alias("_empty")
-    )
-    known = F.when(~F.col("_empty"), F.lit(""))
-    return balance.select("comment_id", _label(known, F.col("_balance")).alias("sentiment"))
+    keyed = comments.select("comment_id", "text", F.xxhash64("text").alias("_text"))
+    counted = keyed.select("_text", F.explode(term_frequencies(F.col("text"), tokens)).alias("t"))
+    hits = counted.select("_text", F.col("t.term").alias("word"), F.col("t.tf").alias("tf")).join(
+        materialise(lexicon.select("word", "weight"), "lexicon"), "word")
+    balance = hits.groupBy("_text").agg(F.sum(F.col("weight") * F.col("tf")).alias("_balance"))
+    rows = keyed.select("comment_id", "_text", F.when(F.col("text").isNotNull(), F.lit("")).alias("_known"))
+    scored = rows.join(balance, "_text", "left")
+    label = _label(F.col("_known"), F.coalesce("_balance", F.lit(0)))
+    return scored.select("comment_id", label.alias("sentiment"))
 
 
 def add_sentiment(df: DataFrame, scorer: Scorer | None = None, text: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,8 +78,8 @@ def search_words(query: Sequence[str]) -> list[str]:
     return found
 
 
-def term_frequencies(text: Column) -> Column:
-    """``array<struct<term, tf>>`` of one text.
+def term_frequencies(text: Column, split: Callable[[Column], Column] = words) -> Column:
+    """``array<struct<term, tf>>`` of one text, whose terms are what ``split`` makes of it.
 
     Tokens are sorted and the runs measured, so counting needs no shuffle and one pass after the sort.
     Arrays that are used more than once are bound to lambda variables.
@@ -96,7 +96,7 @@ def term_frequencies(text: Column) -> Column:
     def counted(toks: Column) -> Column:
         return F.transform(F.array(run_starts(toks)), lambda starts: lengths(starts, F.size(toks)))[0]
 
-    return F.transform(F.array(F.sort_array(words(text))), counted)[0]
+    return F.transform(F.array(F.sort_array(split(text))), counted)[0]
 
 
 def word_count(text: Column) -> Column:

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale import schemas
 
+CHANNEL_BUCKETS = 64
+
 
 def for_channel(df: DataFrame, channel: str | None) -> DataFrame:
-    return df if channel is None else df.filter(F.col("channel_handle") == channel)
+    """Rows of one channel.  Tables that are laid out by ``channel_bucket`` are pruned to its directory."""
+    if channel is None:
+        return df
+    rows = df.filter(F.col("channel_handle") == channel)
+    return rows.filter(F.col("channel_bucket") == channel_bucket(F.lit(channel))) if "channel_bucket" in df.columns else rows
+
+
+def channel_bucket(handle: Column) -> Column:
+    """Directory of a channel in the raw and cleaned tables.  A hot channel's directory holds as many files as were written."""
+    return F.pmod(F.xxhash64(F.coalesce(handle, F.lit(""))), F.lit(CHANNEL_BUCKETS)).cast("int")
 
 
 def channel_info(pages: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chorale.functions.sentiment import Scorer, add_sentiment
 from chorale.schemas import GOLD_KEYS
+from chorale.session import materialise
 
 
 def score_top_level(silver: DataFrame, scorer: Scorer | None = None) -> DataFrame:
@@ -73,7 +74,7 @@ def refresh_touched(gold: DataFrame, silver: DataFrame, changed: DataFrame, scor
 
     For corrections of old rows; plain additions are cheaper with :func:`merge_partials`.
     """
-    ids = changed.select("video_id").distinct()
+    ids = materialise(changed.select("video_id").distinct(), "touched")
     kept = gold.join(ids, "video_id", "left_anti")
     fresh = comment_metrics(silver.join(ids, "video_id", "left_semi"), scorer)
     return kept.select(*fresh.columns).unionByName(fresh)

@@ -17,6 +17,31 @@ DISABLED_EXACT = "commentsDisabled"
 DISABLED_ANY_CASE = "disabled comments"
 
 
+def newest_landing(pages: DataFrame) -> DataFrame:
+    """One landing of each ``(video_id, page_no)``: the last by ``ingested_at``, ties by a hash of the page.
+
+    Landings are compared as narrow rows (a hash stands for the text).  Pages that were landed once pass
+    unchanged; only the others are matched, and equal landings of one page are combined.
+    """
+    keys = ["video_id", "page_no"]
+    version = F.struct(F.coalesce("ingested_at", F.lit("")).alias("at"), F.xxhash64("raw_json").alias("page"))
+    many = pages.groupBy(*keys).agg(F.max(version).alias("_newest"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    many = materialise(many.select(F.col("video_id").alias("_v"), F.col("page_no").alias("_p"), "_newest"), "relanded")
+    if many.isEmpty():
+        return pages
+    same = F.col("video_id").eqNullSafe(F.col("_v")) & F.col("page_no").eqNullSafe(F.col("_p"))
+    again = pages.join(many, same).filter(version == F.col("_newest")).select(*pages.columns).dropDuplicates(keys)
+    return pages.join(many, same, "left_anti").unionByName(again)
+
+
+def page_error(raw_json: Column) -> Column:
+    """Why a landed page has no comments to give: the message of an API error, or that it cannot be read; else NULL."""
+    read = F.from_json(raw_json, schemas.THREAD_PAGE_JSON[:-1] + ", _bad: string>",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    told = F.coalesce(F.get_json_object(raw_json, "$.error.errors[0].reason"), F.get_json_object(raw_json, "$.error.message"))
+    return F.when(read.isNull() | read["_bad"].isNotNull(), "malformed page").otherwise(told)
+
+
 def parse_pages(pages: DataFrame, json_type: str = schemas.THREAD_PAGE_JSON) -> DataFrame:
     """Parse ``raw_json`` into ``page``; malformed text stops the job instead of losing a page."""
     parsed = F.from_json("raw_json", json_type, {"mode": "FAILFAST"})
@@ -57,17 +82,18 @@ def flatten_threads(pages: DataFrame) -> DataFrame:
     """One row per top-level comment and per inline reply, each parent before its replies.
 
     Input: landed pages (``video_id, channel_handle, page_no, raw_json``).  The place of a row in the
-    response is kept as ``page_no, page_pos`` (and ``item_pos, reply_pos`` for the thread and the reply
+    response is kept as ``landing`` (which response), ``page_no, page_pos`` (and ``item_pos, reply_pos`` for the thread and the reply
     in it, 0 for the top-level comment), because caps and documents depend on it and rows have no order
     of their own.  Purely row-local: no shuffle.
     """
     rows = F.flatten(F.transform("page.items", _thread))
-    return parse_pages(pages).select(
-        "video_id", "channel_handle", "page_no", F.posexplode(rows).alias("page_pos", "c")
+    landing = F.concat_ws(":", F.coalesce("ingested_at", F.lit("")), F.hex(F.xxhash64("raw_json")))
+    return parse_pages(pages.withColumn("landing", landing)).select(
+        "video_id", "channel_handle", "landing", "page_no", F.posexplode(rows).alias("page_pos", "c")
     ).select(
         "c.comment_id", "video_id", "channel_handle", "c.author_name", "c.text", "c.like_count", "c.reply_count",
         "c.published_at", (F.col("c.reply_pos") > 0).alias("is_reply"), "c.parent_id",
-        "page_no", "page_pos", "c.item_pos", "c.reply_pos",
+        "page_no", "page_pos", "c.item_pos", "c.reply_pos", "landing",
     )
 
 
@@ -84,22 +110,27 @@ def page_sizes(pages: DataFrame) -> DataFrame:
 def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) -> DataFrame:
     """Flattened comments, at most the first ``limit`` per video (0 = all), replies counted.
 
+    Of a page that was landed several times the newest landing counts.
+
     The cut is found on page sizes alone: one narrow row per page, summed per slice of pages and then
     per video, so neither texts nor a hot video's pages meet in one task.  Whole pages before the cut
     are kept, later ones dropped, and only the page holding the cut is trimmed, which can end a thread
     between two replies.  The cuts (one row per video over the limit) are written out first, so the
     comments are not shuffled for them unless there are too many to broadcast.
     """
+    pages = newest_landing(pages)
     if limit <= 0:
         return flatten_threads(pages)
     sizes = page_sizes(pages).withColumn("_slice", F.floor(F.col("page_no") / pages_per_slice))
     slices = sizes.groupBy("video_id", "_slice").agg(F.sum("n").alias("_n"))
-    before_slice = F.sum("_n").over(Window.partitionBy("video_id").orderBy("_slice")) - F.col("_n")
+    rows_to_here = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before_slice = F.sum("_n").over(rows_to_here(Window.partitionBy("video_id").orderBy("_slice"))) - F.col("_n")
     # Only the slice in which the limit is reached needs its pages looked at one by one.
     reached = slices.withColumn("_before", before_slice).filter(
         (F.col("_before") < limit) & (F.col("_before") + F.col("_n") >= limit)
     ).select("video_id", "_slice", "_before")
-    seen = F.col("_before") + F.sum("n").over(Window.partitionBy("video_id", "_slice").orderBy("page_no"))
+    seen = F.col("_before") + F.sum("n").over(
+        rows_to_here(Window.partitionBy("video_id", "_slice").orderBy("page_no")))
     cuts = (
         sizes.join(reached, ["video_id", "_slice"])
         .select("video_id", "page_no", seen.alias("_seen"), (seen - F.col("n")).alias("_start"))
@@ -171,17 +202,23 @@ def newest_videos(videos: DataFrame, limit: int, per_channel: bool = True) -> Da
 def batch_videos(videos: DataFrame, size: int = VIDEO_BATCH_SIZE) -> DataFrame:
     """Add ``batch`` (``batch_0001`` ...): chunks of ``size`` videos per channel, newest first.
 
-    Positions are counted by hour of publication, then by time and the first byte of the id's hash, so
+    A video has one record (see ``one_row_per_video``).  Positions are counted by hour of publication, then by time and the first byte of the id's hash, so
     neither a channel with a third of all videos nor an instant with that many is numbered by one task.
     """
     # Complemented digits rise as the time falls; '~' puts missing times last.
     falling = F.coalesce(F.translate("published_at", "0123456789", "9876543210"), F.lit("~"))
     fine = F.concat(falling, F.lit("|"), F.substring(F.md5("video_id"), 1, 2))
     slices = [F.substring(falling, 1, 13), fine]
-    numbered = running_position(videos, ["channel_handle"], slices, _newest_first(), "_position")
+    # The keys are written once and numbered alone; the records, however they are made, meet them in one join.
+    keys = materialise(videos.select("video_id", "channel_handle", "published_at"), "batch-keys")
+    positions = running_position(keys, ["channel_handle"], slices, _newest_first(), "_position")
     number = (F.floor((F.col("_position") - 1) / size) + 1).cast("string")
     padded = F.when(F.length(number) < 4, F.lpad(number, 4, "0")).otherwise(number)
-    return numbered.withColumn("batch", F.concat(F.lit("batch_"), padded)).drop("_position")
+    batches = positions.select(
+        F.col("video_id").alias("_v"), F.col("channel_handle").alias("_c"), F.col("published_at").alias("_p"),
+        F.concat(F.lit("batch_"), padded).alias("batch"))
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in (("video_id", "_v"), ("channel_handle", "_c"), ("published_at", "_p"))]
+    return videos.join(batches, same).drop("_v", "_c", "_p")
 
 
 def outcome_status(error: Column, n_comments: Column) -> Column:

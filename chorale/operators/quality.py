@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,19 +126,18 @@ def check_table(name: str, df: DataFrame, checks: TableChecks) -> DataFrame:
 def check_tables(
     spark: SparkSession, tables: Mapping[str, tuple[Callable[[], DataFrame], TableChecks]]
 ) -> DataFrame:
-    """One report over several tables; a table that cannot be read becomes a failed row."""
-    report = spark.createDataFrame([], REPORT)
+    """One report over several tables.  A table that cannot be found or read becomes a failed row.
+
+    Every table is looked at here, in one aggregate; its few report rows come back to the driver, so that
+    a broken file of one table does not take the report of the others with it.
+    """
+    rows: list[tuple] = []
     for name, (load, checks) in tables.items():
         try:
-            part = check_table(name, load(), checks)
-        except AnalysisException as e:
-            reason = str(e).splitlines()[0]
-            part = spark.range(1).select(
-                F.lit(f"{name}: accessible").alias("check_name"), F.lit(False).alias("passed"),
-                F.lit(0).cast("bigint").alias("failing_rows"), F.lit(reason).alias("detail"),
-            )
-        report = report.unionByName(part)
-    return report
+            rows += [tuple(r) for r in check_table(name, load(), checks).collect()]
+        except (PySparkException, Py4JJavaError) as e:
+            rows.append((f"{name}: accessible", False, 0, str(e).splitlines()[0]))
+    return spark.createDataFrame(rows, REPORT)
 
 
 def report_totals(report: DataFrame) -> DataFrame:

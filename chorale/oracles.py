@@ -18,16 +18,17 @@ _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 # Each CTE may use the ones it names in _NEEDS.
 _CTE = {
     "raw": f"""
-        SELECT CAST(doc_id AS VARCHAR) AS comment_id, 'vid' || (doc_id % 20) AS video_id,
-               '@ch' || ((doc_id % 20) % 4) AS channel_handle, 'user' || user_id AS author_name,
-               CASE WHEN doc_id % 37 = 0 THEN '   ' WHEN doc_id % 11 = 0 THEN '  ' || text || ' ' ELSE text END AS text,
+        SELECT CAST(i AS VARCHAR) AS comment_id, 'vid' || (i % 20) AS video_id,
+               '@ch' || ((i % 20) % 4) AS channel_handle, 'user' || user_id AS author_name,
+               CASE WHEN i % 37 = 0 THEN '   ' WHEN i % 11 = 0 THEN '  ' || text || ' ' ELSE text END AS text,
                CAST(floor(value) AS BIGINT) AS like_count, CAST({_PROP} % 6 AS INTEGER) AS reply_count,
-               {_ISO} AS published_at, (doc_id // 20) % 3 <> 0 AS is_reply,
-               CASE WHEN (doc_id // 20) % 3 <> 0 THEN CAST(doc_id - 20 * ((doc_id // 20) % 3) AS VARCHAR) END AS parent_id,
-               'Video #' || (doc_id % 20) || ': intro & tips!' AS video_title,
-               '{WATCH_URL_PREFIX}vid' || (doc_id % 20) AS video_url, {_ISO} AS ingested_at,
-               doc_id // 20 AS slot, date_trunc('second', ts) AS posted
-        FROM documents JOIN events ON event_id = doc_id""",
+               {_ISO} AS published_at, (i // 20) % 3 <> 0 AS is_reply,
+               CASE WHEN (i // 20) % 3 <> 0 THEN CAST(i - 20 * ((i // 20) % 3) AS VARCHAR) END AS parent_id,
+               'Video #' || (i % 20) || ': intro & tips!' AS video_title,
+               '{WATCH_URL_PREFIX}vid' || (i % 20) AS video_url, {_ISO} AS ingested_at,
+               i // 20 AS slot, date_trunc('second', ts) AS posted
+        FROM (SELECT *, event_id AS i FROM events) e LEFT JOIN documents
+             ON doc_id = i % greatest((SELECT COUNT(*) FROM documents), 1)""",
     "silver": """
         SELECT comment_id, video_id, video_title AS title, video_url, channel_handle, author_name,
                trim(text, ' ') AS text, like_count, reply_count, posted AS published_at, is_reply, parent_id
@@ -123,16 +124,25 @@ _RAW_ROWS = _with(["raw"], f"SELECT {_RAW_COLUMNS} FROM raw")
 _HANDLE = """CASE doc_id % 4 WHEN 0 THEN '@' || source WHEN 1 THEN '@' || source WHEN 2 THEN '@' || source
              ELSE '@@' || lang || '/' || source END"""
 
-_DOCUMENTS = _with(["raw", "video_list"], f"""
+# ``fresh``: the thread on top of each page that was landed again.
+_FRESH = """(SELECT video_id, slot // 3 // 5 AS page, MIN(slot) - 0.5 AS slot,
+                    'new-' || video_id || '-' || (slot // 3 // 5 + 1) AS comment_id FROM raw GROUP BY ALL)"""
+
+
+def _documents(fresh: bool) -> str:
+    more = f"""UNION ALL SELECT video_id, CAST(page // 2 AS INTEGER), slot, '[late]: fresh (likes: 0)' FROM {_FRESH}""" if fresh else ""
+    count = f"""+ (SELECT COUNT(*) FROM {_FRESH} f WHERE f.video_id = v.video_id)""" if fresh else ""
+    return _with(["raw", "video_list"], f"""
     , lines AS (
-        SELECT video_id, CAST(slot // 3 // 5 // 2 AS INTEGER) AS part, slot,
+        SELECT video_id, CAST(slot // 3 // 5 // 2 AS INTEGER) AS part, CAST(slot AS DOUBLE) AS slot,
                CASE WHEN is_reply THEN '  -> ' ELSE '' END || '[' || author_name || ']: ' || text
                     || ' (likes: ' || like_count || ')' AS line
         FROM raw
+        {more}
         UNION ALL
-        SELECT v.video_id, 0, -1, 'Title: ' || title || chr(10) || 'Video URL: ' || v.video_url || chr(10)
+        SELECT v.video_id, 0, -1.0, 'Title: ' || title || chr(10) || 'Video URL: ' || v.video_url || chr(10)
                || 'Channel: ' || v.channel_handle || chr(10) || 'Published: ' || substring(v.published_at, 1, 10) || chr(10)
-               || 'Total Comments Fetched: ' || (SELECT COUNT(*) FROM raw r WHERE r.video_id = v.video_id AND NOT is_reply)
+               || 'Total Comments Fetched: ' || ((SELECT COUNT(*) FROM raw r WHERE r.video_id = v.video_id AND NOT is_reply) {count})
                || chr(10) || chr(10) || 'COMMENTS:'
         FROM video_list v),
     parts AS (SELECT video_id, part, string_agg(line, chr(10) ORDER BY slot) AS body FROM lines GROUP BY video_id, part)
@@ -141,6 +151,9 @@ _DOCUMENTS = _with(["raw", "video_list"], f"""
     FROM parts p JOIN video_list v ON v.video_id = p.video_id""").replace(")\n\n    , lines", "),\n    lines")
 
 
+_DOCUMENTS = _documents(False)
+
+
 def _batches(slug: str) -> str:
     return _with(["uploads"], f"""
         SELECT {slug}, video_id, 'batch_' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS batch
@@ -233,11 +246,29 @@ _SQL: dict[str, str] = {
     "sink_video_batches": _batches("ltrim(channel_handle, '@') AS channel_slug"),
     "batch_of_50": _batches("channel_handle"),
     "assemble_video_document": _DOCUMENTS,
+    "document_relanded": _documents(True),
+    "run_documents_repeated": f"""
+        SELECT file_name, CAST(SUM(len(string_split(body, chr(10)))) AS BIGINT) AS n_lines,
+               CAST(SUM(len(string_split(body, chr(10) || '  -> ')) - 1) AS BIGINT) AS replies
+        FROM ({_documents(True)}) GROUP BY file_name""",
+    "limit_comments_relanded": _with(["raw"], f"""
+        SELECT video_id, comment_id, is_reply, parent_id FROM (
+            SELECT video_id, comment_id, is_reply, parent_id, CAST(slot AS DOUBLE) AS slot FROM raw
+            UNION ALL SELECT video_id, comment_id, FALSE, NULL, slot FROM {_FRESH})
+        QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY slot) <= 20"""),
+    "run_outcomes": _with(["raw"], """
+        SELECT CASE WHEN v % 5 = 0 THEN 'error' WHEN v % 7 = 0 OR v % 9 = 0 THEN 'skipped' ELSE 'fetched' END AS status, COUNT(*) AS videos
+        FROM (SELECT DISTINCT CAST(substring(video_id, 4) AS BIGINT) AS v FROM raw) GROUP BY status"""),
+    "dq_observe_and_drop": _with(["unclean"], """
+        SELECT COUNT(*) AS rows, COUNT(*) FILTER (comment_id IS NULL) AS valid_comment_id,
+               COUNT(*) FILTER (NOT coalesce(length(text) > 0, FALSE)) AS has_text,
+               COUNT(*) FILTER (coalesce(length(text) > 0, FALSE)) AS kept_rows FROM unclean"""),
     "sink_video_documents": f"SELECT file_name, part, body FROM ({_DOCUMENTS})",
     "catalog_schemas": _with(["gold"], """
-        SELECT 'yt_bronze' AS schema_name, 'raw_comments' AS table_name, COUNT(*) AS row_count FROM raw
-        UNION ALL SELECT 'yt_silver', 'comments', COUNT(*) FROM silver
-        UNION ALL SELECT 'yt_gold', 'comment_metrics', COUNT(*) FROM gold"""),
+        SELECT 'bronze' AS layer, 'raw_comments' AS table_name, COUNT(*) AS row_count FROM raw
+        UNION ALL SELECT 'silver', 'comments', COUNT(*) FROM silver
+        UNION ALL SELECT 'gold', 'comment_metrics', COUNT(*) FROM gold
+        UNION ALL SELECT unnest(['bronze', 'silver', 'gold', 'landing']), NULL, NULL"""),
     "fn_channel_handle": f"SELECT doc_id, {_HANDLE} AS handle FROM documents",
     "fn_channel_slug": f"SELECT doc_id, replace(ltrim({_HANDLE}, '@'), '/', '_') AS slug FROM documents",
     "fn_sanitise_title": rf"""
@@ -272,6 +303,12 @@ _SQL: dict[str, str] = {
         SELECT {_RAW_COLUMNS.replace('like_count', 'like_count + 1 AS like_count').replace(', ingested_at', '')},
                strftime(posted + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS ingested_at FROM raw"""),
     "score_sentiment": _with(["scored"], "SELECT comment_id, sentiment FROM scored"),
+    "score_sentiment_lexjoin_relanded": _with(["unclean"], f"""
+        SELECT comment_id, CASE WHEN pos > neg THEN 'positive' WHEN neg > pos THEN 'negative' ELSE 'neutral' END AS sentiment
+        FROM (SELECT comment_id, len(list_filter(toks, lambda t: t IN ({_words(POSITIVE_WORDS)}))) AS pos,
+                     len(list_filter(toks, lambda t: t IN ({_words(NEGATIVE_WORDS)}))) AS neg
+              FROM (SELECT comment_id, string_split_regex(lower(text), '[^a-z'']+') AS toks FROM unclean
+                    UNION ALL SELECT comment_id, string_split_regex(lower(text), '[^a-z'']+') FROM unclean))"""),
     "score_sentiment_lexjoin": _with(["scored"], "SELECT comment_id, sentiment FROM scored"),
     "gold_comment_metrics": _GOLD_ROWS,
     "gold_incremental": _GOLD_ROWS,
@@ -380,7 +417,20 @@ for _name, _body in _DASH.items():
         ["kpis" if _name == "channel_kpis" else "gold"], f"SELECT * FROM ({_body}) WHERE channel_handle = '@ch1'")
 
 
-_SQL["run_end_to_end"] = _GOLD_ROWS
+_SQL["run_end_to_end"] = _SQL["run_repeated"] = _GOLD_ROWS
+_SQL["r_bm25_topk_relanded"] = _SQL["r_bm25_index_topk_relanded"] = _with(["unclean"], f"""
+        , docs AS (SELECT *, list_filter({_TOKENS}, lambda t: t <> '') AS toks FROM
+                   (SELECT text, video_title AS title FROM unclean UNION ALL SELECT text, video_title FROM unclean)),
+        numbered AS (SELECT *, row_number() OVER () AS row FROM docs),
+        stats AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, AVG(len(toks)) AS avg_len FROM docs),
+        hits AS (SELECT row, len(toks) AS len, q, len(list_filter(toks, lambda t: t = q)) AS tf
+                 FROM numbered, (SELECT unnest([{_words(_SEARCH)}]) AS q)),
+        dfs AS (SELECT q, CAST(COUNT(*) AS DOUBLE) AS df FROM hits WHERE tf > 0 GROUP BY q),
+        scores AS (SELECT row, ROUND(SUM(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2
+                          / (tf + 1.2 * (0.25 + 0.75 * len / avg_len))), 6) AS score
+                   FROM hits JOIN dfs USING (q), stats WHERE tf > 0 GROUP BY row)
+        SELECT score, text, title FROM numbered JOIN scores USING (row) ORDER BY score DESC LIMIT 10""").replace(
+            ")\n\n        , docs", "),\n        docs")
 _SQL["r_bm25_index_topk"] = _SQL["r_bm25_topk"]
 _SQL["r_bm25_topk_by_channel"] = _SQL["r_bm25_index_topk_by_channel"] = (
     _SQL["r_bm25_topk"].replace("AS toks FROM silver)", "AS toks FROM silver WHERE channel_handle = '@ch1')"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chorale.operators.channels import for_channel
 from chorale.operators.positions import rank_descending
+from chorale.session import materialise
 
 
 def _best(gold: DataFrame, by: str, k: int, channel: str | None) -> DataFrame:
@@ -75,6 +76,7 @@ def compare_channels(kpis: DataFrame) -> DataFrame:
     A mean score has at most 2,001 values, which make one slice; volumes are sliced by eighths of a
     power of two, at most 512.
     """
+    kpis = materialise(kpis, "kpis")  # the ranks look at the few rows several times
     by_score = rank_descending(kpis, "avg_sentiment", F.lit(0), "sentiment_rank")
     eighths = -F.floor(F.log2(F.greatest(F.col("total_comments"), F.lit(1))) * 8)
     return rank_descending(by_score, "total_comments", eighths, "volume_rank")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +15,9 @@ from chorale.functions.sentiment import NEGATIVE_WORDS, POSITIVE_WORDS, add_sent
 from chorale.functions.time import iso_timestamp
 from chorale.operators import channels, documents, gold, joins, landing, quality, retrieval, silver, text_index, videos
 from chorale.plans import analyst, dashboards
-from chorale.plans.pipeline import Params, run_pipeline
+from chorale.plans.pipeline import Params, Run, run_pipeline
 from chorale.schemas import COMMENT_FIELDS
-from chorale.session import materialise, pin_session, scratch_dir
+from chorale.session import materialise, pin_session, scratch_dir, use_scratch
 from chorale.sources import landed, sinks
 from chorale.streaming import layers
 
@@ -50,7 +51,7 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        _QUERIES[name] = lambda spark, sf_dir: _comparable(f(pin_session(spark), sf_dir))
+        _QUERIES[name] = lambda spark, sf_dir: _comparable(f(use_scratch(pin_session(spark)), sf_dir))
         return f
 
     return register
@@ -85,7 +86,7 @@ def _flat(spark: SparkSession, sf: str, threads_per_page: int = fx.THREADS_PER_P
 
 
 def _flat_rows(df: DataFrame) -> DataFrame:
-    return df.drop("page_no", "page_pos", "item_pos", "reply_pos")
+    return df.drop("landing", "page_no", "page_pos", "item_pos", "reply_pos")
 
 
 def _video_dim(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,14 +127,14 @@ def _(spark, sf):
 def _(spark, sf):
     """The raw table after several micro-batches, with its stamp reduced to "is set"."""
     raw = spark.read.parquet(_stream_raw(spark, sf, 8))
-    return raw.withColumn("stamped", F.col("_ingested_at").isNotNull()).drop("_ingested_at")
+    return raw.withColumn("stamped", F.col("_ingested_at").isNotNull()).drop("_ingested_at", "channel_bucket")
 
 
 @query("silver_comments_stream")
 def _(spark, sf):
     out = scratch_dir(spark, "silver")
     layers.run_silver(spark, _stream_raw(spark, sf, None), out, scratch_dir(spark, "checkpoint"))
-    return _silver_rows(spark.read.parquet(out))
+    return _silver_rows(spark.read.parquet(out)).drop("channel_bucket")
 
 
 @query("src_landed_videos")
@@ -163,9 +164,10 @@ def _(spark, sf):
     return files.select("channel_slug", "batch", "video_id")
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
+def _documents(spark: SparkSession, sf: str, pages: DataFrame | None = None) -> DataFrame:
     dim = _video_dim(spark, sf)
-    comments = joins.attach_videos(_flat(spark, sf, SMALL_PAGE), dim)
+    pages = fx.thread_pages(spark, sf, SMALL_PAGE) if pages is None else pages
+    comments = joins.attach_videos(landing.flatten_threads(landing.newest_landing(pages)), dim)
     return documents.assemble_documents(comments, dim, PAGES_PER_PART)
 
 
@@ -174,6 +176,12 @@ def _(spark, sf):
     return _documents(spark, sf)
 
 
+@query("document_relanded")
+def _(spark, sf):
+    """Every page landed twice: the newest landing counts, with its new thread on top."""
+    return _documents(spark, sf, fx.relanded_pages(spark, sf, SMALL_PAGE))
+
+
 @query("sink_video_documents")
 def _(spark, sf):
     path = scratch_dir(spark, "documents")
@@ -190,20 +198,25 @@ def _(spark, sf):
 
 @query("catalog_schemas")
 def _(spark, sf):
-    """Schemas of the layers, holding the tables of this run: what is there, and how many rows."""
-    sinks.create_schemas(spark, scratch_dir(spark, "schemas"))
+    """The four layer schemas under a name of this call, holding the tables of this run: what is there, and how many rows."""
+    prefix = f"yt{uuid.uuid4().hex[:12]}"
+    listed = sinks.create_schemas(spark, scratch_dir(spark, "schemas"), prefix)
     tables = {
-        "yt_bronze.raw_comments": fx.raw_comments(spark, sf),
-        "yt_silver.comments": _silver(spark, sf),
-        "yt_gold.comment_metrics": _gold(spark, sf),
+        f"{prefix}_bronze.raw_comments": fx.raw_comments(spark, sf),
+        f"{prefix}_silver.comments": _silver(spark, sf),
+        f"{prefix}_gold.comment_metrics": _gold(spark, sf),
     }
-    counts = []
+    found = listed.select("namespace", F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("bigint").alias("row_count"))
     for name, df in tables.items():
-        df.write.mode("overwrite").saveAsTable(name)
+        df.write.saveAsTable(name)
         schema, table = name.split(".")
         n = spark.table(name).agg(F.count(F.lit(1)).alias("row_count"))
-        counts.append(n.select(F.lit(schema).alias("schema_name"), F.lit(table).alias("table_name"), "row_count"))
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+        found = found.unionByName(n.select(F.lit(schema).alias("namespace"), F.lit(table).alias("table_name"), "row_count"))
+    layer = F.substring_index("namespace", "_", -1).alias("layer")
+    out = materialise(found.select(layer, "table_name", "row_count"), "catalog")
+    for layer_name in sinks.LAYERS:
+        spark.sql(f"DROP SCHEMA {prefix}_{layer_name} CASCADE")
+    return out
 
 
 # ---- scalar functions -----------------------------------------------------------------------------
@@ -321,6 +334,12 @@ def _(spark, sf):
     )
 
 
+@query("limit_comments_relanded")
+def _(spark, sf):
+    pages = fx.relanded_pages(spark, sf, SMALL_PAGE)
+    return landing.limit_comments(pages, COMMENT_LIMIT).select("video_id", "comment_id", "is_reply", "parent_id")
+
+
 @query("limit_newest_videos")
 def _(spark, sf):
     return landing.newest_videos(_video_rows(spark, sf), VIDEO_LIMIT)
@@ -387,6 +406,14 @@ def _(spark, sf):
     return score_by_lexicon_join(_silver(spark, sf), lexicon)
 
 
+@query("score_sentiment_lexjoin_relanded")
+def _(spark, sf):
+    """Comments landed twice, some without an id: one label per row, as the expression gives."""
+    rows = _with_missing_ids(spark, sf)
+    lexicon = spark.createDataFrame([(w, 1) for w in POSITIVE_WORDS] + [(w, -1) for w in NEGATIVE_WORDS], "word string, weight int")
+    return score_by_lexicon_join(rows.unionByName(rows), lexicon)
+
+
 @query("gold_comment_metrics")
 def _(spark, sf):
     return _gold_rows(_gold(spark, sf))
@@ -410,15 +437,61 @@ def _(spark, sf):
     return _gold_rows(result)
 
 
-@query("run_end_to_end")
-def _(spark, sf):
-    """Landed pages and videos through the whole run (all streams, documents and checks) to the metrics."""
-    pages, listed, out = (scratch_dir(spark, n) for n in ("pages", "videos", "run"))
-    sinks.write_thread_pages(fx.thread_pages(spark, sf), pages)
+def _landed(spark: SparkSession, sf: str, pages: DataFrame) -> tuple[str, str, str]:
+    """Folders of pages and videos as they land, and one for the run."""
+    pages_dir, listed, out = (scratch_dir(spark, n) for n in ("pages", "videos", "run"))
+    sinks.write_thread_pages(pages, pages_dir)
     item = F.struct(F.col("video_id").alias("id"),
                     F.struct("title", F.col("published_at").alias("publishedAt")).alias("snippet"))
     fx.videos(spark, sf).select("video_id", "channel_handle", F.to_json(item).alias("raw_json")).write.json(listed)
-    return _gold_rows(run_pipeline(spark, listed, pages, out, Params(run_id=1)).gold)
+    return listed, pages_dir, out
+
+
+@query("run_end_to_end")
+def _(spark, sf):
+    """Landed pages and videos through the whole run (all streams, documents and checks) to the metrics."""
+    return _gold_rows(run_pipeline(spark, *_landed(spark, sf, fx.thread_pages(spark, sf)), Params(run_id=1)).gold)
+
+
+@query("run_repeated")
+def _(spark, sf):
+    """Runs that break off after steps that leave something behind, the last of them repeated, then one with nothing new."""
+    places = _landed(spark, sf, fx.thread_pages(spark, sf))
+    names = ["pages", "landing", "raw", "scored", "gold"]
+    for run_id, last in enumerate(names, start=1):
+        for name, step in Run(spark, *places, Params(run_id)).steps():
+            step()
+            if name == last:
+                break
+    run_pipeline(spark, *places, Params(len(names)))
+    return _gold_rows(run_pipeline(spark, *places, Params(len(names) + 1)).gold)
+
+
+@query("run_documents_repeated")
+def _(spark, sf):
+    """The documents of a run whose first attempt broke off behind them, pages landed twice meanwhile."""
+    places = _landed(spark, sf, fx.relanded_pages(spark, sf, SMALL_PAGE))
+    for name, step in Run(spark, *places, Params(1)).steps():
+        step()
+        if name == "documents":
+            break
+    run_pipeline(spark, *places, Params(2))
+    files = spark.read.option("recursiveFileLookup", "true").text(f"{places[2]}/documents/run=2", wholetext=True)
+    name = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "file_name=([^/]+)", 1))
+    lines = F.size(F.split(F.regexp_replace("value", r"\n\z", ""), "\n"))
+    replies = F.size(F.split("value", "\n  -> ")) - 1
+    return files.groupBy(name.alias("file_name")).agg(F.sum(lines).cast("bigint").alias("n_lines"), F.sum(replies).cast("bigint").alias("replies"))
+
+
+@query("run_outcomes")
+def _(spark, sf):
+    """Every 5th video has a page that cannot be read, every 7th has comments switched off, every 9th an empty page."""
+    pages = fx.thread_pages(spark, sf)
+    v = F.substring("video_id", 4, 9).cast("bigint")
+    body = (F.when(v % 5 == 0, F.when(F.col("page_no") == 1, "{not json").otherwise(F.col("raw_json")))
+            .when(v % 7 == 0, '{"error": {"code": 403, "errors": [{"reason": "commentsDisabled"}]}}')
+            .when(v % 9 == 0, '{"items": []}').otherwise(F.col("raw_json")))
+    return run_pipeline(spark, *_landed(spark, sf, pages.withColumn("raw_json", body)), Params(1)).outcomes
 
 
 @query("gold_refresh_touched")
@@ -482,6 +555,18 @@ def _(spark, sf):
     return bad.select("video_id", "author_name", "published_at", F.array_join("violated", ",").alias("violated"))
 
 
+@query("dq_observe_and_drop")
+def _(spark, sf):
+    """The expectations as the streams apply them: counted in passing, one of them dropping its rows."""
+    seen = Observation("expectations")
+    kept = [quality.VALID_COMMENT_ID, quality.Expectation("has_text", quality.HAS_TEXT.predicate, "drop")]
+    df = _with_missing_ids(spark, sf)
+    n = quality.apply_expectations(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(~e.holds).alias(e.name) for e in kept]), kept).agg(F.count(F.lit(1)).alias("kept_rows"))
+    left = n.first()["kept_rows"]
+    return n.select(*[F.lit(v).cast("bigint").alias(k) for k, v in {**seen.get, "kept_rows": left}.items()])
+
+
 @query("dq_not_empty")
 def _(spark, sf):
     land = _land(spark, sf)
@@ -495,13 +580,15 @@ def _(spark, sf):
 
 
 def _video_checks(spark: SparkSession, sf: str) -> dict:
-    records = videos.clean_videos(fx.video_records(spark, sf))
-    engagement = videos.video_engagement(records, _transcripts(spark, sf))
+    """Checks look at tables, so the tables are written first."""
+    records = materialise(videos.clean_videos(fx.video_records(spark, sf)), "videos")
+    counts = materialise(videos.text_word_counts(_transcripts(spark, sf)), "transcripts")
+    engagement = materialise(videos.video_engagement(records, counts), "engagement")
     check = quality.TableChecks
     return {
         "videos": (lambda: records, check(columns=("video_id",), none_where={
             "no null video_id": "video_id IS NULL", "duration_seconds >= 0": "duration_seconds < 0"})),
-        "transcripts": (lambda: videos.text_word_counts(_transcripts(spark, sf)), check(none_where={
+        "transcripts": (lambda: counts, check(none_where={
             "word_count > 0": "word_count <= 0", "word_count >= 100": "word_count < 100"})),
         "metrics": (lambda: engagement, check(columns=("has_transcript",), none_where={
             "engagement_rate in [0, 1]": "engagement_rate < 0 OR engagement_rate > 1"})),
@@ -629,6 +716,21 @@ def _(spark, sf):
     return text_index.search_index(spark, path, SEARCH, 10, CHANNEL)
 
 
+@query("r_bm25_index_topk_relanded")
+def _(spark, sf):
+    """An index of two runs over comments landed twice, some without an id, ranks like the scan."""
+    path, rows = scratch_dir(spark, "index"), _with_missing_ids(spark, sf).withColumnRenamed("video_title", "title")
+    text_index.write_index(rows, path, run_id=1)
+    text_index.write_index(rows, path, run_id=2)
+    return text_index.search_index(spark, path, SEARCH, 10).select("score", "text", "title")
+
+
+@query("r_bm25_topk_relanded")
+def _(spark, sf):
+    rows = _with_missing_ids(spark, sf).withColumnRenamed("video_title", "title")
+    return retrieval.bm25_top_k(rows.unionByName(rows), SEARCH, 10).select("score", "text", "title")
+
+
 @query("r_bm25_index_topk")
 def _(spark, sf):
     path = scratch_dir(spark, "index")

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Named by a caller on a local master, for sessions without ``spark.checkpoint.dir``.
+_own_base: str | None = None
+
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """Settings results depend on (UTC) and the adaptive options the plans are written for."""
@@ -17,18 +20,53 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, empty, unique folder below the one the cluster names in ``spark.checkpoint.dir``.
+def use_scratch(spark: SparkSession, base: str | None = None) -> SparkSession:
+    """Name a scratch folder where the session has none: for tests, benchmarks and queries on one machine.
 
-    Executors on any host must be able to read what another one wrote, so a folder of this machine
-    is used only on a local master and only where the setting is missing.
+    Has no effect where ``spark.checkpoint.dir`` is set, and raises on a cluster, whose executors would
+    not see a folder of this machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+    global _own_base
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.conf.get("spark.master", "").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="chorale-")
-    return f"{base.rstrip('/')}/chorale/{name}-{uuid.uuid4().hex}"
+        _own_base = base or _own_base or tempfile.mkdtemp(prefix="chorale-")
+    return spark
+
+
+def _root(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_base
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{base.rstrip('/')}/chorale/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new, empty, unique folder below the one the cluster names in ``spark.checkpoint.dir``."""
+    return f"{_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on whatever file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none where it is missing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the scratch folder; results read from it must be done with."""
+    remove(spark, _root(spark))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -10,20 +10,37 @@ from chorale.operators.landing import batch_videos
 from chorale.schemas import COMMENT_FIELDS
 
 ROWS_PER_FILE = 1_000_000
+ID_SPREAD = 64
 
 
-def write_comment_records(comments: DataFrame, run_dir: str, spread: Column | None = None) -> None:
-    """Comment records as NDJSON in one directory per video; NULLs are written out.
+def write_comment_files(comments: DataFrame, run_dir: str, spread: Column | None = None) -> None:
+    """Comment records as plain NDJSON files of bounded size: what the raw stream reads.
 
-    ``spread`` (by default the page of the comment, if it has one) divides the rows of a video over
-    tasks, so a hot video becomes several files in its directory instead of one slow task.
+    Rows are dealt by video and ``spread`` (by default the page), so the number of files follows the
+    data and not the number of videos.
     """
-    if spread is None and "page_no" in comments.columns:
-        spread = F.floor(F.col("page_no") / 100)
+    rows, keys = _records(comments, spread)
+    rows.repartition(*keys).select(*COMMENT_FIELDS).write.mode("overwrite").option("ignoreNullFields", "false").option(
+        "maxRecordsPerFile", ROWS_PER_FILE).json(run_dir)
+
+
+def _records(comments: DataFrame, spread: Column | None) -> tuple[DataFrame, list[Column]]:
+    """Rows with their stamp, and the keys that deal them out.  Without a page, rows are spread by their id."""
+    if spread is None:
+        spread = F.floor(F.col("page_no") / 100) if "page_no" in comments.columns else F.pmod(F.xxhash64("comment_id", "text"), F.lit(ID_SPREAD))
     if "ingested_at" not in comments.columns:
         stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
         comments = comments.withColumn("ingested_at", stamp)
-    keys = [F.col("video_id")] + ([spread] if spread is not None else [])
+    return comments, [F.col("video_id"), spread]
+
+
+def write_comment_records(comments: DataFrame, run_dir: str, spread: Column | None = None) -> None:
+    """Comment records as NDJSON in one directory per video, an export; NULLs are written out.
+
+    ``spread`` (by default the page of the comment, else its id) divides the rows of a video over tasks,
+    so a hot video becomes several files in its directory instead of one slow task.
+    """
+    comments, keys = _records(comments, spread)
     rows = comments.repartition(*keys).select(*COMMENT_FIELDS, F.col("video_id").alias("video_dir"))
     (
         rows.write.partitionBy("video_dir").option("ignoreNullFields", "false")
@@ -50,7 +67,7 @@ def write_documents(parts: DataFrame, run_dir: str) -> None:
     rows = parts.select("channel_slug", "file_name", "part", "body")
     (
         rows.repartition("file_name", "part")
-        .write.partitionBy("channel_slug", "file_name", "part").option("lineSep", "\n").text(run_dir)
+        .write.mode("overwrite").partitionBy("channel_slug", "file_name", "part").option("lineSep", "\n").text(run_dir)
     )
 
 
@@ -65,10 +82,12 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], spread: str, mode
     )
 
 
-def create_schemas(spark: SparkSession, location: str, names: tuple[str, ...] = ()) -> DataFrame:
-    """Create the layer schemas where they do not exist yet and list them."""
-    # Schema names of the landing area and the three layers.
-    names = names or ("yt_bronze", "yt_silver", "yt_gold", "yt_landing")
-    for name in names:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{location}/{name}'")
-    return spark.sql("SHOW SCHEMAS LIKE 'yt_*'")
+# Schema names of the landing area and the three layers.
+LAYERS = ("bronze", "silver", "gold", "landing")
+
+
+def create_schemas(spark: SparkSession, location: str, prefix: str = "yt") -> DataFrame:
+    """Create the layer schemas ``<prefix>_<layer>`` where they do not exist yet and list them; nothing is replaced."""
+    for layer in LAYERS:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {prefix}_{layer} LOCATION '{location}/{prefix}_{layer}'")
+    return spark.sql(f"SHOW SCHEMAS LIKE '{prefix}_*'")

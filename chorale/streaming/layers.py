@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 
 from chorale import schemas
 from chorale.functions.sentiment import Scorer
+from chorale.operators.channels import channel_bucket
 from chorale.operators.gold import finish_metrics, merge_partials, partial_metrics, score_top_level
 from chorale.operators.quality import SILVER_EXPECTATIONS, Expectation, apply_expectations
 from chorale.operators.silver import clean_comments
+from chorale.schemas import GOLD_KEYS
+from chorale.session import exists, names_in, remove
 
 SILVER_METRICS = "silver_expectations"
+BY_CHANNEL = ", channel_bucket int"
 PROGRESS_SECONDS = 5
+KEPT_REPORTS = 100_000
+KEPT_STATES = 3
+#: What the metrics need of a scored comment; its text stays in the cleaned table.
+SCORED_COLUMNS = ["comment_id", *GOLD_KEYS, "like_count", "reply_count", "published_at", "sentiment"]
 
 
 def read_comment_stream(
@@ -50,8 +58,9 @@ def read_table_stream(spark: SparkSession, path: str, schema: str, max_files: in
 def append_available(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None) -> list[dict]:
     """Append everything that is available, then stop.  Returns the progress of every micro-batch.
 
-    The query object keeps only its latest reports, so they are gathered while it runs.
+    The query object keeps only its latest reports: as many as one run has, and they are gathered while it runs.
     """
+    df.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -71,7 +80,10 @@ def run_raw(
     spark: SparkSession, landing: str, raw: str, checkpoint: str, max_files: int | None = None,
     archive: str | None = None,
 ) -> list[dict]:
-    return append_available(read_comment_stream(spark, landing, max_files, archive), raw, checkpoint)
+    """Raw comments, laid out by channel."""
+    rows = read_comment_stream(spark, landing, max_files, archive)
+    rows = rows.withColumn("channel_bucket", channel_bucket(F.col("channel_handle")))
+    return append_available(rows, raw, checkpoint, ["channel_bucket"])
 
 
 def run_silver(
@@ -84,16 +96,17 @@ def run_silver(
     dedup_within: str | None = None,
     max_files: int | None = None,
 ) -> list[dict]:
-    """Cleaned comments.  ``dedup_within`` (say ``'7 days'``) drops a repeated ``comment_id`` landed
+    """Cleaned comments, laid out by channel.  ``dedup_within`` (say ``'7 days'``) drops a repeated ``comment_id`` landed
     within that time; its state is bounded by the watermark on ``processed_at``.  Rows without an id are
     not duplicates of each other and stay."""
-    cleaned = clean_comments(read_table_stream(spark, raw, schemas.RAW_COMMENTS, max_files), on_bad_timestamp)
+    cleaned = clean_comments(read_table_stream(spark, raw, schemas.RAW_COMMENTS + BY_CHANNEL, max_files), on_bad_timestamp)
     if dedup_within:
         marked = cleaned.withWatermark("processed_at", dedup_within)
         unique = marked.filter(F.col("comment_id").isNotNull()).dropDuplicatesWithinWatermark(["comment_id"])
         cleaned = unique.unionByName(marked.filter(F.col("comment_id").isNull()))
     checked = apply_expectations(cleaned, expectations, SILVER_METRICS)
-    return append_available(checked, silver, checkpoint)
+    placed = checked.withColumn("channel_bucket", channel_bucket(F.col("channel_handle")))
+    return append_available(placed, silver, checkpoint, ["channel_bucket"])
 
 
 def expectation_counts(progress: list[dict]) -> dict[str, int]:
@@ -111,26 +124,32 @@ def run_scored(
     scorer: Scorer | None = None, max_files: int | None = None,
 ) -> list[dict]:
     """Score each top-level comment once and keep it, in a partition per run."""
-    new = read_table_stream(spark, silver, schemas.SILVER_COMMENTS, max_files)
-    rows = score_top_level(new, scorer).withColumn("run_id", F.lit(run_id).cast("bigint"))
+    new = read_table_stream(spark, silver, schemas.SILVER_COMMENTS + BY_CHANNEL, max_files)
+    rows = score_top_level(new, scorer).select(*SCORED_COLUMNS).withColumn("run_id", F.lit(run_id).cast("bigint"))
     return append_available(rows, scored, checkpoint, ["run_id"])
 
 
-def _read_runs(spark: SparkSession, path: str) -> DataFrame | None:
-    """Table in partitions by ``run_id``, or None where nothing was written yet."""
+def committed_runs(spark: SparkSession, path: str, key: str = "run_id") -> list[int]:
+    """Runs ``<key>=<n>`` below ``path`` whose job has finished, in order.  Looks at names, reads no table."""
+    found = [int(n.split("=")[1]) for n in names_in(spark, path) if n.startswith(f"{key}=")]
+    return sorted(n for n in found if exists(spark, f"{path}/{key}={n}/_SUCCESS"))
+
+
+def _read_scored(spark: SparkSession, path: str) -> DataFrame:
     try:
         df = spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
+            raise FileNotFoundError(f"no scored comments at {path}") from e
         raise
-    return df if "run_id" in df.columns else None
+    if "run_id" not in df.columns:
+        raise FileNotFoundError(f"no scored comments at {path}")
+    return df
 
 
 def last_merged_run(spark: SparkSession, state: str) -> int | None:
-    """Highest complete run in the state table; asks for a partition column only, so no data is read."""
-    df = _read_runs(spark, state)
-    return None if df is None else df.agg(F.max("run_id")).first()[0]
+    """Highest complete run in the state table."""
+    return max(committed_runs(spark, state), default=None)
 
 
 def merge_gold(spark: SparkSession, scored: str, state: str, run_id: int) -> DataFrame:
@@ -138,21 +157,21 @@ def merge_gold(spark: SparkSession, scored: str, state: str, run_id: int) -> Dat
 
     Only new partitions of ``scored`` are read, so the cost follows the new rows, however large a video
     has become.  The state has one row per video and is written as a new version ``run_id=<run_id>``
-    that becomes visible when its job commits: a failed run leaves the old version, a repeated one
-    overwrites its own.  Run ids must rise; an id already merged is refused unless nothing is new.
+    that counts when its job has committed: a failed run leaves the old version, a repeated one
+    overwrites its own.  The last ``KEPT_STATES`` versions stay.  Run ids must rise; an id already merged
+    is refused unless nothing is new.
     """
     last = last_merged_run(spark, state)
     if last is not None and run_id < last:
         raise ValueError(f"run {run_id} is older than the merged run {last}")
     if last is None or run_id > last:
-        table = _read_runs(spark, scored)
-        if table is None:
-            raise FileNotFoundError(f"no scored comments at {scored}")
-        new = table.filter(F.col("run_id") <= run_id)
+        new = _read_scored(spark, scored).filter(F.col("run_id") <= run_id)
         if last is not None:
             new = new.filter(F.col("run_id") > last)
         merged = partial_metrics(new)
         if last is not None:
             merged = merge_partials(spark.read.parquet(f"{state}/run_id={last}"), merged)
         merged.write.mode("overwrite").parquet(f"{state}/run_id={run_id}")
+        for old in committed_runs(spark, state)[:-KEPT_STATES]:
+            remove(spark, f"{state}/run_id={old}")
     return finish_metrics(spark.read.parquet(f"{state}/run_id={run_id}"))

@@ -94,16 +94,20 @@ def test_scorer_runs_without_python_workers(spark):
     assert "Python" not in plan(df) and "ArrowEval" not in plan(df)
 
 
-@pytest.mark.parametrize("max_words", [100, 2])
-def test_lexicon_join_equals_expression(spark, max_words):
+@pytest.mark.parametrize("broadcast_below", ["10m", "-1"])
+def test_lexicon_join_equals_expression(spark, broadcast_below):
     """Also when the lexicon is too long to be broadcast."""
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_below)
     comments = column(spark, TEXTS).select(F.col("i").cast("string").alias("comment_id"), F.col("v").alias("text"))
     words = {"great": 1, "good": 1, "love": 1, "best": 1, "worst": -1, "bad": -1}
     lexicon = spark.createDataFrame(list(words.items()), "word string, weight int")
     scorer = lexicon_scorer([w for w in words if words[w] > 0], [w for w in words if words[w] < 0])
     expected = {r["comment_id"]: r["sentiment"] for r in add_sentiment(comments, scorer).collect()}
-    joined = score_by_lexicon_join(comments, lexicon, max_words)
-    assert {r["comment_id"]: r["sentiment"] for r in joined.collect()} == expected
+    joined = score_by_lexicon_join(comments, lexicon)
+    got = {r["comment_id"]: r["sentiment"] for r in joined.collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert got == expected
 
 
 def test_model_scorer_sees_no_nulls(spark):
@@ -112,3 +116,22 @@ def test_model_scorer_sees_no_nulls(spark):
         return texts.str.len().gt(3).map({True: "positive", False: "negative"})
 
     assert apply(spark, model_scorer(predict), ["long text", None, "abc"]) == ["positive", None, "negative"]
+
+
+def test_lexicon_join_labels_every_row(spark):
+    from chorale.functions.sentiment import add_sentiment, score_by_lexicon_join
+    rows = [(None, "best best worst"), (None, "bad"), ("1", "good"), ("1", "good"), ("2", None), ("3", "")]
+    df = spark.createDataFrame(rows, "comment_id string, text string")
+    lexicon = spark.createDataFrame([("best", 1), ("good", 1), ("worst", -1), ("bad", -1)], "word string, weight int")
+    joined = score_by_lexicon_join(df, lexicon)
+    plain = add_sentiment(df).select("comment_id", "sentiment")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_schemas_leave_other_tables_alone(spark, sf, tmp_path):
+    import __spark_entry__ as entry
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS yt_silver LOCATION '{tmp_path}/s'")
+    spark.range(3).write.mode("overwrite").saveAsTable("yt_silver.comments")
+    entry.queries()["catalog_schemas"](spark, sf).collect()
+    assert spark.table("yt_silver.comments").count() == 3
+    spark.sql("DROP SCHEMA yt_silver CASCADE")

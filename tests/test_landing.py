@@ -224,3 +224,20 @@ def test_hot_parent_is_split_by_the_adaptive_skew_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("limit", [3, 5, 9, 11])
+def test_limit_holds_when_pages_are_landed_again(spark, limit):
+    first = pages_frame(spark, [("v", 1, [thread("a", 2), thread("b", 2)]), ("v", 2, [thread("c", 2)])])
+    second = pages_frame(spark, [("v", 1, [thread("new"), thread("a", 2), thread("b", 2)])]).withColumn(
+        "ingested_at", F.lit("2024-01-02T00:00:00Z"))
+    rows = landing.limit_comments(first.unionByName(first).unionByName(second), limit).orderBy("page_no", "page_pos").collect()
+    assert [r["comment_id"] for r in rows] == ["new", "a", "a.0", "a.1", "b", "b.0", "b.1", "c", "c.0", "c.1"][:limit]
+
+
+def test_page_errors(spark):
+    texts = ['{"items": []}', "{not json", '{"error": {"errors": [{"reason": "commentsDisabled"}]}}', '{"error": {"message": "gone"}}',
+             '{"items": 5}', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(landing.page_error(F.col("t"))).collect()]
+    assert got == [None, "malformed page", "commentsDisabled", "gone", "malformed page", "malformed page"]

@@ -89,3 +89,13 @@ def test_search_words_are_single_words(corpus):
     for bad in ("two words", "", "semi;colon"):
         with pytest.raises(ValueError, match="not a single word"):
             retrieval.bm25_top_k(corpus, [bad], 3)
+
+
+def test_index_of_several_runs_with_repeated_and_missing_ids(spark, corpus, tmp_path):
+    rows = corpus.withColumn("comment_id", F.when(F.col("comment_id") > "c100", F.col("comment_id")))
+    for run in (1, 2):
+        text_index.write_index(rows, str(tmp_path / "ix"), run_id=run)
+        text_index.write_index(rows, str(tmp_path / "ix"), run_id=run)  # a run that is repeated overwrites its own
+    found = text_index.search_index(spark, str(tmp_path / "ix"), ["alpha"], 9).select("score", "comment_id").collect()
+    expected = retrieval.bm25_top_k(rows.unionByName(rows), ["alpha"], 9).select("score", "comment_id").collect()
+    assert found == expected

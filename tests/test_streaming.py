@@ -59,7 +59,7 @@ def test_restart_adds_nothing_and_new_files_add_their_rows(run):
     (run.root / "landing/notes.txt").write_text("not a comment")
     run.layers(3)
     assert (run.count("raw"), run.count("silver"), run.count("scored")) == (5, 4, 3)
-    assert run.spark.read.parquet(run.path("raw")).columns == [*schemas.COMMENT_FIELDS, "_ingested_at"]
+    assert run.spark.read.parquet(run.path("raw")).columns == [*schemas.COMMENT_FIELDS, "_ingested_at", "channel_bucket"]
 
 
 def test_overwritten_file_is_not_read_again(run):
@@ -180,3 +180,37 @@ def test_progress_of_many_micro_batches_is_complete(run):
     assert len([p for p in progress if p["numInputRows"]]) == 12
     silver = layers.run_silver(run.spark, run.path("raw"), run.path("silver"), run.path("cp_silver"), max_files=1)
     assert layers.expectation_counts(silver) == {"rows": 24, "valid_comment_id": 12, "has_text": 0}
+
+
+def test_channel_filter_reads_the_directory_of_the_channel(run):
+    from chorale.operators.channels import for_channel
+    land(run.root / "landing/a.json", [record(str(i), channel_handle=f"@c{i}") for i in range(40)])
+    run.layers(1)
+    for name in ("raw", "silver"):
+        rows = for_channel(run.spark.read.parquet(run.path(name)), "@c7")
+        p = rows._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(channel_bucket" in p and "channel_handle" in p.split("PushedFilters")[1]
+        assert rows.count() == 1
+
+
+def test_scored_table_holds_no_texts(run):
+    land(run.root / "landing/a.json", [record("1")])
+    run.layers(1)
+    assert "text" not in run.spark.read.parquet(run.path("scored")).columns
+
+
+def test_old_states_are_removed(run):
+    for i in range(1, 7):
+        land(run.root / f"landing/{i}.json", [record(str(i))])
+        run.layers(i)
+        run.gold(i)
+    assert layers.committed_runs(run.spark, run.path("state")) == [4, 5, 6]
+
+
+def test_a_broken_file_is_a_failed_row_of_the_report(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/part-0.parquet").write_bytes(b"PAR1 not a table PAR1")
+    report = quality.check_tables(spark, {
+        "broken": (lambda: spark.read.schema("a int").parquet(str(tmp_path / "t")), quality.TableChecks()),
+        "fine": (lambda: spark.range(3), quality.TableChecks())}).collect()
+    assert [(r["check_name"], r["passed"]) for r in report] == [("broken: accessible", False), ("fine: has rows", True)]
