@@ -11,7 +11,7 @@ from chorale.llm import (
     exact_dedup, jaccard, mixing, pii, quality, repeats, secrets, sentencepiece_bpe, token_attribution, token_files,
 )
 from chorale.llm.common import documents
-from chorale.session import pin_session
+from chorale.session import pin_session, use_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +20,7 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: f(pin_session(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: f(use_scratch(pin_session(spark)), sf_dir)
         if sql:
             SQL[name] = sql
         return f

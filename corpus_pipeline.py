@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chorale.llm import exact_dedup, jaccard, mixing, quality, sentencepiece_bpe
 from chorale.llm.common import documents
-from chorale.session import materialise, pin_session
+from chorale.session import materialise, pin_session, use_scratch
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage; every stage is written and read again."""
-    docs = documents(pin_session(spark), sf_dir)
+    docs = documents(use_scratch(pin_session(spark)), sf_dir)
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
