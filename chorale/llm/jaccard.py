@@ -157,7 +157,7 @@ def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
     """pairs (a, b) of classes -> those that are linked; ``texts`` is class, text."""
     one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b")
+    both = pairs.select("a", "b").join(one.hint("merge"), "a").join(two.hint("merge"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,7 +221,7 @@ def candidates(held: DataFrame, classes: DataFrame, roots: DataFrame, percent: i
     mixed = materialise(mixed.filter("lo <> hi").select("word", F.ceil(F.col("g") / F.lit(TILE)).cast("int").alias("t")), "jaccard-mixed")
     if mixed.isEmpty():
         return None
-    rows = at.join(mixed, "word").join(classes.select("class", "n", "sketch"), "class")
+    rows = at.join(mixed, "word").join(classes.select("class", "n", "sketch").hint("merge"), "class")
     tile = F.pmod(F.xxhash64("class"), F.col("t")).cast("int")
     rows = rows.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
     rows = rows.select("word", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "class", "root", "n", "sketch", "tile")
@@ -258,7 +258,8 @@ def near_duplicates(
     narrow = rows.select("node", "doc_id", "row_key", "n", "set_key")
     # A class is named by its least node; documents without shingles are classes of their own.
     by_key = materialise(narrow.filter("n > 0").groupBy("set_key").agg(F.min("node").alias("class")), "jaccard-classes")
-    classes = rows.join(by_key.select(F.col("class").alias("node")), "node", "left_semi")
+    # Sides that grow with the corpus are merged at every size; no join turns into another kind as they grow.
+    classes = rows.join(by_key.select(F.col("class").alias("node")).hint("merge"), "node", "left_semi")
     words = classes.select(F.explode("blocks").alias("word"), F.col("node").alias("class"))
     group = Window.partitionBy("word")
     held = words.withColumn("g", F.count(F.lit(1)).over(group)).withColumn("least", F.min("class").over(group))
@@ -270,10 +271,12 @@ def near_duplicates(
     involved = held.select("class").distinct().join(narrow.withColumnRenamed("node", "class"), "class").select(
         "class", F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_row"))
     text = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
-    texts = text.join(materialise(involved, "jaccard-involved"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_key") == F.col("of_row")))
+    texts = text.join(materialise(involved, "jaccard-involved").hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_key") == F.col("of_row")))
     texts = materialise(texts.groupBy("class").agg(F.first("text").alias("text")), "jaccard-texts")
 
-    sketches = rows.select(F.col("node").alias("class"), "n", "sketch")
+    sketches = rows.select(F.col("node").alias("class"), "n", "sketch").join(
+        held.select("class").distinct().hint("merge"), "class", "left_semi")
+    sketches = materialise(sketches, "jaccard-sketches")
     links = materialise(verify(tried, texts, shingle, percent), "jaccard-links")
     roots = connected_components(links)
     for best in (True, False):
