@@ -178,19 +178,25 @@ def _runs(marked: np.ndarray) -> tuple[list[int], list[int]]:
 
 def _shard_ranges(shards: DataFrame, length: int) -> DataFrame:
     """shards (shard, sliced, anchor, content, bytes) -> anchor, content, from, to (window starts), or for the windows of
-    sliced anchors their fingerprints: slice, window, print (16 bytes)."""
+    sliced anchors their fingerprints: slice, print (16 bytes), ``to`` = ``from`` if the window is known to repeat."""
     schema = "anchor bigint, content bigint, `from` int, `to` int, slice bigint, print binary"
 
     def work(shard: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         marked = repeated_starts([r[3] for r in rows], length)
         out: list[tuple] = []
+        shown: set[tuple] = set()
         at = 0
         for sliced, anchor, content, raw in rows:
             own = marked[at:at + len(raw)]
             out += [(anchor, content, a, b, None, None) for a, b in zip(*_runs(own))]
             if sliced:
-                out += [(anchor, content, i, i + 1, shard, hashlib.blake2b(raw[i:i + length], digest_size=16).digest())
-                        for i in range(len(raw) - length + 1)]
+                for i in range(len(raw) - length + 1):
+                    mark = hashlib.blake2b(raw[i:i + length], digest_size=16).digest()
+                    # Of windows that repeat in this slice one is shown to the others; the rest want to know of theirs.
+                    if own[i] and (anchor, mark) in shown:
+                        continue
+                    shown.add((anchor, mark))
+                    out.append((anchor, content, i, i if own[i] else i + 1, shard, mark))
             at += len(raw) + 1
         if out:
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
@@ -213,30 +219,28 @@ def _shard_ranges(shards: DataFrame, length: int) -> DataFrame:
 
 
 def _merge(prints: DataFrame, rows_per_range: int = 50_000) -> DataFrame:
-    """prints (anchor, content, from, slice, print) -> anchor, content, from, to of windows that another slice holds too."""
+    """prints (anchor, content, from, slice, print) -> anchor, content, from, to of windows that another slice holds too and that are not known yet."""
     per_anchor = prints.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_range)).alias("ranges"))
     lead = F.conv(F.hex(F.substring("print", 1, 4)), 16, 10).cast("bigint")
     dealt = prints.join(per_anchor, "anchor").withColumn("range", F.floor(lead * F.col("ranges") / F.lit(1 << 32)))
+    dealt = dealt.repartition("anchor", "range")
 
     def merge(table: pa.Table) -> pa.Table:
-        t = {n: table.column(n).to_numpy(zero_copy_only=False) for n in ("slice", "from", "content")}
+        t = {n: table.column(n).to_numpy(zero_copy_only=False) for n in ("slice", "from", "to")}
         keys = np.frombuffer(b"".join(x.as_py() for x in table.column("print")), dtype=">u8").reshape(-1, 2)
         keys = keys.astype(np.uint64).view([("a", np.uint64), ("b", np.uint64)]).ravel()
         hit = np.zeros(len(keys), dtype=bool)
         slices = np.unique(t["slice"])
         runs = {s: np.unique(keys[t["slice"] == s]) for s in slices}
         for s in slices:
-            own = np.flatnonzero(t["slice"] == s)
+            own = np.flatnonzero((t["slice"] == s) & (t["to"] > t["from"]))
             for other in slices:
                 if other == s:
                     continue
                 run = runs[other]
                 at = np.minimum(np.searchsorted(run, keys[own]), len(run) - 1)
                 hit[own] |= run[at] == keys[own]
-        picked = table.filter(pa.array(hit))
-        start = picked.column("from").combine_chunks()
-        return pa.table({"anchor": picked.column("anchor"), "content": picked.column("content"), "from": start,
-                         "to": pa.array(start.to_numpy(zero_copy_only=False) + 1, pa.int32())})
+        return table.filter(pa.array(hit)).select(["anchor", "content", "from", "to"])
 
     return dealt.groupBy("anchor", "range").applyInArrow(merge, "anchor bigint, content bigint, `from` int, `to` int")
 
