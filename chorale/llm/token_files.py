@@ -24,6 +24,7 @@ of its own; other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,7 +42,10 @@ SHARD_IDS = 1 << 20
 MAX_RULES = 16_000
 #: A round takes pairs that make up at least this share of a shard, then a quarter of it, down to ``MIN_COUNT``.
 FIRST_SHARE, MIN_COUNT = 1 / 1024, 8
-MAX_WORDS, MAX_WORD_CHARS = 600_000, 64
+#: Words of each of the two tables a worker keeps, and words encoded in one call.
+MAX_WORDS, MAX_WORD_CHARS, TOGETHER = 350_000, 64, 64
+#: Words of Latin letters with at most one mark behind: composed letters whose lower case is one letter.
+PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]+[.,]?").fullmatch
 TABLE_BITS = 18
 
 
@@ -54,22 +58,52 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.words: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         lists = [self._split(t) if t else [] for t in texts]
-        new = list(set().union(*lists) - self.words.keys())
-        if len(self.words) + len(new) > MAX_WORDS:
-            self.words.clear()
-            new = list(set().union(*lists))
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, "<u4").tobytes()
-        end, get = np.array([end_id], "<u4").tobytes(), self.words.__getitem__
+        every = set().union(*lists)
+        if len(self.words) > MAX_WORDS:  # the words before the last change of tables are let go
+            self.before, self.words = self.words, {}
+        words, before, new = self.words, self.before, []
+        for w in every - words.keys():
+            known = before.get(w)
+            if known is None:
+                new.append(w)
+            else:
+                words[w] = known
+        plain = [w for w in new if PLAIN(w)]
+        self._together(plain)
+        rest = [w for w in new if w not in words]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            words[w] = np.array(e.ids, "<u4").tobytes()
+        end, get = np.array([end_id], "<u4").tobytes(), words.__getitem__
         out = [b"".join(map(get, ws)) + end for ws in lists]
         for w in new:
             if len(w) > MAX_WORD_CHARS:
-                del self.words[w]
+                del words[w]
         return out
 
+    def _together(self, words: list[str]) -> None:
+        """Encode plain words many to a text, and cut the ids where the last id of a word or of its mark stands.
+
+        Each run of letters, and each mark, ends in one id of ``self.last``; should that not add up for a text, its
+        words are left for the other way.
+        """
+        groups = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            stops = np.flatnonzero(self.last[ids]) + 1
+            runs = np.cumsum([1 if w[-1].isalpha() else 2 for w in group])
+            if len(stops) != runs[-1] or stops[-1] != len(ids):
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(group, (4 * stops[runs - 1]).tolist()):
+                self.words[w] = raw[at:stop]
+                at = stop
+
     @staticmethod
     def _split(text: str) -> list[str]:
         for c in "\t\n\r":
@@ -79,24 +113,30 @@ class WordIds:
 
 def compress(ids: np.ndarray, doc_lengths: np.ndarray, base: int, max_rules: int = MAX_RULES) -> tuple:
     """(rules, expansions, sequence, symbols per document)."""
-    seq = ids.astype(np.int64)
+    # Two symbols make a key of 32 bits where they have 16, as in the files.
+    kind, half = (np.uint32, 16) if base + max_rules <= 1 << 16 else (np.uint64, 32)
+    odd, drop, low = kind(0x9E3779B97F4A7C15 >> (64 - 2 * half) | 1), kind(2 * half - TABLE_BITS), kind((1 << half) - 1)
+    seq = ids.astype(kind)
     ends = np.zeros(len(seq), dtype=bool)
     ends[np.cumsum(doc_lengths) - 1] = True
     rules, sizes = np.zeros((0, 2), dtype=np.int64), np.zeros(0, dtype=np.int64)
     least = max(MIN_COUNT, int(len(seq) * FIRST_SHARE))
     while len(seq) > 1 and len(rules) < max_rules:
-        key = seq[:-1] << 32 | seq[1:]
-        slot = (key * np.int64(0x9E3779B97F4A7C15 - (1 << 64))) >> (64 - TABLE_BITS) & ((1 << TABLE_BITS) - 1)
-        free = ~ends[:-1]
-        count = np.bincount(slot[free], minlength=1 << TABLE_BITS)
+        key = seq[:-1] << kind(half) | seq[1:]
+        slot = ((key * odd) >> drop).astype(np.intp)
+        closed = np.flatnonzero(ends[:-1])
+        count = np.bincount(slot, minlength=1 << TABLE_BITS) - np.bincount(slot[closed], minlength=1 << TABLE_BITS)
         busy = np.flatnonzero(count >= least)
         if len(busy) > max_rules - len(rules):
             busy = busy[np.argsort(-count[busy], kind="stable")[: max_rules - len(rules)]]
         weight = np.zeros(1 << TABLE_BITS, dtype=np.int64)
         weight[busy] = count[busy]
         # One pair stands for each slot; a pair that shares its slot with another waits for a later round.
-        at = np.flatnonzero(free & (weight[slot] > 0))
-        pair = np.zeros(1 << TABLE_BITS, dtype=np.int64)
+        chosen = weight > 0
+        marked = chosen[slot]
+        marked[closed] = False
+        at = np.flatnonzero(marked)
+        pair = np.zeros(1 << TABLE_BITS, dtype=kind)
         pair[slot[at]] = key[at]
         at = at[pair[slot[at]] == key[at]]
         w = weight[slot[at]]
@@ -105,20 +145,24 @@ def compress(ids: np.ndarray, doc_lengths: np.ndarray, base: int, max_rules: int
         before[1:][next_to] = w[:-1][next_to]
         after = np.zeros(len(at), dtype=np.int64)
         after[:-1][next_to] = w[1:][next_to]
-        at = at[(w > before) & (w >= after)]
+        # In a stretch of overlapping pairs of one count every second is taken; next to a more frequent one none.
+        place = np.arange(len(at))
+        stretch = np.maximum.accumulate(np.where(np.concatenate([[True], ~next_to | (w[1:] != w[:-1])]), place, 0)) if len(at) else place
+        shift = (before[stretch] > w).astype(np.int64)
+        at = at[((place - stretch - shift) % 2 == 0) & (place - stretch >= shift) & (after <= w)]
         if len(at):
             used, which = np.unique(slot[at], return_inverse=True)
-            pairs = np.stack([pair[used] >> 32, pair[used] & 0xFFFFFFFF], axis=1)
+            pairs = np.stack([pair[used] >> kind(half), pair[used] & low], axis=1).astype(np.int64)
             known = np.concatenate([np.ones(base, dtype=np.int64), sizes])
             first = base + len(rules)
             rules = np.concatenate([rules, pairs])
             sizes = np.concatenate([sizes, known[pairs[:, 0]] + known[pairs[:, 1]]])
-            seq[at] = first + which
+            seq[at] = (first + which).astype(kind)
             ends[at] = ends[at + 1]
             keep = np.ones(len(seq), dtype=bool)
             keep[at + 1] = False
             seq, ends = seq[keep], ends[keep]
-        if least == MIN_COUNT:
+        elif least == MIN_COUNT:
             break
         least = max(MIN_COUNT, least // 4)
     stops = np.flatnonzero(ends) + 1
@@ -144,6 +188,19 @@ def expand(sequence: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
         seq = out
 
 
+def expand_shard(sequence: np.ndarray, rules: np.ndarray, expansions: np.ndarray, base: int) -> np.ndarray:
+    """The same for a whole shard: every rule is expanded once, and all symbols are looked up in one go."""
+    table = np.concatenate([np.arange(base), expand(np.arange(base, base + len(rules)), rules, base)]).astype("<u4")
+    size_of = np.concatenate([np.ones(base, dtype=np.int64), expansions])
+    start_of = np.cumsum(size_of) - size_of
+    symbols = sequence.astype(np.intp)
+    n = size_of[symbols]
+    stops = np.cumsum(n)
+    place = np.repeat(start_of[symbols] - (stops - n), n)
+    place += np.arange(len(place))
+    return table[place]
+
+
 def expand_range(sequence: np.ndarray, rules: np.ndarray, expansions: np.ndarray, base: int, start: int, stop: int) -> np.ndarray:
     """Ids start..stop of what a sequence stands for; only the symbols that cover them are expanded."""
     plain = sequence < base
@@ -232,8 +289,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             doc_kind = b.schema.field("doc_ids").type.value_type
             for k in range(b.num_rows):
                 r = {n: b.column(i)[k].as_py() for i, n in enumerate(b.schema.names)}
-                seq, rules, _, lengths, _ = _arrays(r)
-                ids = expand(seq, rules, r["base"]).astype("<u4").tobytes()
+                seq, rules, sizes, lengths, _ = _arrays(r)
+                ids = expand_shard(seq, rules, sizes, r["base"]).tobytes()
                 stops = np.cumsum(lengths)
                 blobs = [ids[4 * (e - n):4 * e] for e, n in zip(stops.tolist(), lengths.tolist())]
                 n = len(blobs)

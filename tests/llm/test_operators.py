@@ -223,6 +223,7 @@ def test_grammar_round_trip_and_rules():
         lengths = np.array([1000, 1, 2999, 2000])
         rules, sizes, seq, symbols = token_files.compress(ids, lengths, 300)
         assert (token_files.expand(seq, rules, 300) == ids).all() and symbols.sum() == len(seq)
+        assert (token_files.expand_shard(seq, rules, sizes, 300) == ids).all()
         stops = np.cumsum(symbols)
         for k, n in enumerate(lengths):
             assert len(token_files.expand(seq[stops[k] - symbols[k]:stops[k]], rules, 300)) == n, "pairs never cross documents"
