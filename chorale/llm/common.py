@@ -63,6 +63,7 @@ def keep_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> D
     k = kept.select(F.col("id").alias("__kept_id"), F.col("row_key").alias("__kept_row"), F.col("times").alias("__times"))
     own = docs.withColumn("__row", row_key(id_col, text_col))
     on = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__row") == F.col("__kept_row"))
-    single = own.join(k.filter("__times = 1"), on, "left_semi")
+    # Merged at every size, as both sides grow with the corpus.
+    single = own.join(k.filter("__times = 1").hint("merge"), on, "left_semi")
     repeated = own.join(k.filter("__times > 1"), on, "left_semi").dropDuplicates([id_col, "__row"])
     return single.unionByName(repeated).select(*docs.columns)

@@ -184,7 +184,7 @@ def take_mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken = materialise(mixed.groupBy(F.col("doc_id.id").alias("__taken_id"), F.col("doc_id.row").alias("__taken_row")).agg(
         F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0"), "mix-taken")
     own = docs.withColumn("__row", F.xxhash64(id_col, text_col))
-    joined = own.join(taken, F.col(id_col).eqNullSafe(F.col("__taken_id")) & (F.col("__row") == F.col("__taken_row")))
+    joined = own.join(taken.hint("merge"), F.col(id_col).eqNullSafe(F.col("__taken_id")) & (F.col("__row") == F.col("__taken_row")))
     # Equal rows are one document here: it comes out as often as all of them are taken.
     equal = joined.filter("__rows > 1").dropDuplicates([id_col, "__row"])
     out = joined.filter("__rows = 1").unionByName(equal)
