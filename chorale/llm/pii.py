@@ -8,13 +8,14 @@ that hold something, a term t tells about an entity e
     PMI(t; e) = log2(N * df(t, e) / (df(t) * df(e)))      out of      IC(e) = log2(N / df(e))
 
 bits.  A term is disclosing if PMI >= ``threshold`` * IC, seen with at least ``support`` different texts that hold e (one
-text and its copies are no evidence).  Terms are the words within ``reach`` words of the entity on its line, in the
-documents that hold it.  Such a term is generalised to its class (NAME, NUMBER, WORD) if the class itself is not
-disclosing by the same measure, and removed otherwise.
+text and its copies are no evidence).  Terms are all words (cut at white space) of the documents that hold it, at any
+distance.  Such a term is generalised to its class (NAME, NUMBER, WORD) if the class itself is not disclosing by the same
+measure, and removed otherwise, at every place in the documents that hold the entity.
 
-df(t) is counted over all documents: different words per document are combined before the shuffle, and only (term, entity)
-pairs with enough support are joined with the counts.  Evidence is gathered per different text, so an entity or text of
-a third of all documents is one narrow row.
+df(t) is counted over all documents: different words per document are combined before the shuffle.  (term, entity) pairs
+are made only of entities with enough support and of terms rare enough outside the documents that hold one, which leaves
+out no pair that could pass.  Evidence is gathered per different text, so an entity or text of a third of all documents is
+one narrow row.
 
 Defined results: a null text is empty text and has no spans; a null id is kept; repeated rows give repeated rows (they
 are the same text); an empty table gives no rows; other columns are not read; long texts are read whole.
@@ -39,7 +40,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 KINDS = ("email", "ip", "card", "phone")
 
-REACH, SUPPORT, THRESHOLD = 3, 3, 0.9
+SUPPORT, THRESHOLD = 3, 0.9
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -77,91 +78,85 @@ CLASS_IN_TEXT = {"NUMBER": r"(?:^|[\x20\x09-\x0D])[0-9]", "NAME": r"(?:^|[\x20\x
                  "WORD": r"(?:^|[\x20\x09-\x0D])[^\x20\x09-\x0D0-9\p{Lu}]"}
 
 
-def _context(text: Column, base: Column, reach: int) -> Column:
-    """Words near each base span: array of struct(entity, start, end, term).  Windows are cut at the span's line."""
-    width = 400  # characters looked at on either side; a word cut there is left out
-
-    def near(s: Column) -> Column:
-        begin = F.greatest(F.lit(0), s["start"] - width)
-        left = F.substring(text, begin + 1, s["start"] - begin)
-        left = F.substring_index(left, "\n", -1)
-        right = F.substring_index(F.substring(text, s["end"] + 1, F.lit(width)), "\n", 1)
-        entity = _entity(s)
-
-        def words(part: Column, offset: Column, from_end: bool) -> Column:
-            w, gaps = F.regexp_extract_all(part, F.lit(WORD), F.lit(0)), F.split(part, WORD, -1)
-            both = F.zip_with(F.slice(gaps, F.lit(1), F.size(w)), w, lambda g, x: F.struct(
-                F.char_length(g).alias("g"), F.char_length(x).alias("n"), x.alias("term")))
-            at = sp._running(F.transform(both, lambda b: b["g"] + b["n"]))
-            placed = F.when(F.size(w) > 0, F.zip_with(both, at, lambda b, a: F.struct(
-                entity.alias("entity"), (offset + a + b["g"]).alias("start"), (offset + a + b["g"] + b["n"]).alias("end"),
-                b["term"].alias("term"))))
-            # Letters or digits of a word that touches the span or the edge are not a whole word.
-            placed = F.coalesce(placed, F.array())
-            whole = F.filter(placed, lambda p: (p["end"] < s["start"]) | (p["start"] > s["end"]))
-            return F.slice(whole, F.greatest(F.size(whole) - reach + 1, F.lit(1)), F.lit(reach)) if from_end else F.slice(whole, 1, reach)
-
-        return F.concat(words(left, s["start"] - F.char_length(left), True), words(right, s["end"], False))
-
-    return F.flatten(F.transform(base, near))
-
-
 def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.lower(span["value"]))
 
 
-def disclosing(docs: DataFrame, texts: DataFrame, text_col: str, support: int, threshold: float) -> DataFrame:
-    """entity, term, becomes: the terms that tell too much.  ``texts`` has one row per different text that holds an
-    entity: text_key, base, terms, copies."""
-    once = texts.select("copies", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-    entities = once.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count(F.lit(1)).alias("texts"))
-    entities = entities.filter(F.col("texts") >= support).select("entity", "df_e")
-    near = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    pairs = texts.select("copies", F.explode(near).alias("f")).groupBy("f.entity", "f.term").agg(
-        F.sum("copies").alias("df_te"), F.count(F.lit(1)).alias("texts"))
-    pairs = materialise(pairs.filter(F.col("texts") >= support).join(entities, "entity"), "pii-pairs")
-    of_class = texts.select("copies", F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(
-        t["entity"].alias("entity"), class_of(t["term"]).alias("class"))))).alias("f"))
-    of_class = of_class.groupBy("f.entity", "f.class").agg(F.sum("copies").alias("df_ce"))
+def _words(text: Column) -> Column:
+    """Different words of a text."""
+    return F.filter(F.array_distinct(F.split(text, WHITE_SPACE)), lambda w: w != "")
+
 
-    # Document counts over the whole corpus: of every word, combined before the shuffle, and of the classes.
+def disclosing(docs: DataFrame, texts: DataFrame, text_col: str, support: int, threshold: float) -> DataFrame:
+    """text_key, term, becomes: the terms that tell too much, in the texts that hold such an entity.  ``texts`` has one
+    row per different text that holds an entity: text_key, copies, base, text."""
     text = text_or_empty(text_col)
-    words = docs.select(F.explode(F.array_distinct(F.split(text, WHITE_SPACE))).alias("term"))
-    df_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
     totals = docs.agg(F.count(F.lit(1)).alias("n"), *[F.sum(text.rlike(p).cast("long")).alias(c) for c, p in CLASS_IN_TEXT.items()]).first()
-    n = F.lit(float(totals["n"] or 1))
-    df_class = F.create_map(*[x for c in CLASS_IN_TEXT for x in (F.lit(c), F.lit(float(totals[c] or 1)))])
-
+    size = float(totals["n"] or 1)
+    n = F.lit(size)
     told = lambda both, own: F.log2(n * both / (own * F.col("df_e")))
     limit = F.lit(threshold) * F.log2(n / F.col("df_e"))
-    judged = pairs.join(df_term, "term").filter((limit > 0) & (told(F.col("df_te"), F.col("df_t")) >= limit))
-    judged = judged.withColumn("class", class_of(F.col("term"))).join(of_class, ["entity", "class"])
-    keeps = told(F.col("df_ce"), df_class[F.col("class")]) < limit
-    return judged.select("entity", "term", F.when(keeps, F.concat(F.lit("["), "class", F.lit("]"))).otherwise("").alias("becomes"))
+
+    # Entities with enough support, and which classes do not give them away.
+    held = texts.select("text_key", "copies", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"),
+                        *[F.when(F.col("text").rlike(p), F.col("copies")).otherwise(0).alias(c) for c, p in CLASS_IN_TEXT.items()])
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count(F.lit(1)).alias("texts"),
+                                          *[F.sum(c).alias(c) for c in CLASS_IN_TEXT])
+    entities = materialise(entities.filter((F.col("texts") >= support) & (limit > 0)).select("entity", "df_e", *[
+        F.coalesce(told(F.col(c), F.lit(float(totals[c] or 1))) < limit, F.lit(False)).alias(c) for c in CLASS_IN_TEXT]), "pii-entities")
+    lowest = entities.agg(F.min("df_e")).first()[0] or 1
+    bearers = materialise(held.select("text_key", "entity").join(entities, "entity").groupBy("text_key").agg(
+        F.collect_list(F.struct("entity", "df_e", *CLASS_IN_TEXT)).alias("entities")), "pii-bearers")
+
+    # Words of the texts that hold one.  PMI reaches the limit only if df(t, e) >= df(t) * (df(e) / N) ** (1 - threshold),
+    # and df(t, e) is at most the documents of these texts that hold t: common words fall out here, none that could pass.
+    words = texts.join(bearers.select("text_key"), "text_key", "left_semi").select(
+        "text_key", "copies", F.explode(_words(F.col("text"))).alias("term"))
+    seen = words.groupBy("term").agg(F.sum("copies").alias("df_any"), F.count(F.lit(1)).alias("texts"))
+    # Document counts over the whole corpus, of every word, combined before the shuffle.
+    df_term = docs.select(F.explode(_words(text)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
+    least = F.lit((lowest / size) ** (1 - threshold) * (1 - 1e-9))
+    rare = materialise(seen.filter(F.col("texts") >= support).join(df_term, "term").filter(
+        F.col("df_any") >= F.col("df_t") * least).select("term", "df_t"), "pii-rare")
+    of_text = words.join(rare, "term").groupBy("text_key", "copies").agg(F.collect_list(F.struct("term", "df_t")).alias("terms"))
+    both = materialise(of_text.join(bearers, "text_key"), "pii-pairs")
+    each = both.select("text_key", "copies", "terms", F.explode("entities").alias("e")).select(
+        "text_key", "copies", "e", F.explode("terms").alias("t")).select("text_key", "copies", "e.*", "t.*")
+
+    of_class = F.col("WORD")
+    for c in ("NAME", "NUMBER"):
+        of_class = F.when(class_of(F.col("term")) == c, F.col(c)).otherwise(of_class)
+    becomes = F.when(of_class, F.concat(F.lit("["), class_of(F.col("term")), F.lit("]"))).otherwise("")
+    pairs = each.groupBy("entity", "df_e", *CLASS_IN_TEXT, "term", "df_t").agg(
+        F.sum("copies").alias("df_te"), F.count(F.lit(1)).alias("texts"))
+    judged = materialise(pairs.filter((F.col("texts") >= support) & (told(F.col("df_te"), F.col("df_t")) >= limit)).select(
+        "entity", "term", becomes.alias("becomes")), "pii-judged")
+    # Of what several entities ask for, removed if any asks for that.
+    return each.select("text_key", "entity", "term").join(judged, ["entity", "term"]).groupBy("text_key", "term").agg(
+        F.min("becomes").alias("becomes"))
 
 
 def find_personal(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH, support: int = SUPPORT,
-    threshold: float = THRESHOLD,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, threshold: float = THRESHOLD,
 ) -> DataFrame:
     """doc_id, text_key (hash of the text), base (spans by kind), added (spans of kind ``term``; their value is what
     the term becomes)."""
     text = text_or_empty(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), base_spans(text).alias("base"))
-    near = F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"), reach))
-    rows = materialise(rows.select("doc_id", F.xxhash64("text").alias("text_key"), "base", near.alias("terms")), "pii-spans")
+    rows = materialise(rows.select("doc_id", F.xxhash64("text").alias("text_key"), "base",
+                                   F.when(F.size("base") > 0, F.col("text")).alias("text")), "pii-spans")
     texts = rows.filter(F.size("base") > 0).groupBy("text_key").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("base").alias("base"), F.first("terms").alias("terms"))
+        F.count(F.lit(1)).alias("copies"), F.first("base").alias("base"), F.first("text").alias("text"))
     texts = materialise(texts, "pii-texts")
-    told = disclosing(docs, texts, text_col, support, threshold)
-    placed = texts.select("text_key", "base", F.explode("terms").alias("t")).select(
-        "text_key", "base", "t.entity", "t.term", "t.start", "t.end")
-    found = placed.join(told, ["entity", "term"]).withColumn("span", F.struct(
-        F.col("start"), F.col("end"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), F.col("becomes").alias("value")))
-    found = found.filter(~sp.overlaps(F.col("span"), F.col("base")))
-    # Of a text's terms near several entities, each place once; removed if any entity asks for that.
-    found = found.groupBy("text_key", "span.start", "span.end").agg(F.min("span").alias("span"))
-    added = materialise(found.groupBy("text_key").agg(F.collect_list("span").alias("added")), "pii-terms")
+    told = materialise(disclosing(docs, texts, text_col, support, threshold), "pii-told")
+    # Every place of such a term in such a text; words that touch a base span go with it.
+    places = sp.find(F.col("text"), WORD, "term", len(KINDS), F.lit(True))
+    placed = texts.join(told.select("text_key").distinct(), "text_key", "left_semi").select("text_key", F.explode(places).alias("s"))
+    found = placed.withColumn("term", F.col("s.value")).join(told, ["text_key", "term"]).groupBy("text_key").agg(F.collect_list(F.struct(
+        "s.start", "s.end", "s.rank", "s.kind", F.col("becomes").alias("value"))).alias("added"))
+    found = found.join(texts.select("text_key", "base"), "text_key").select("text_key", F.filter(
+        "added", lambda s: ~sp.overlaps(s, F.col("base"))).alias("added"))
+    added = materialise(found, "pii-terms")
     nothing = F.array().cast(f"array<{sp.SPAN}>")
     return rows.join(added, "text_key", "left").select(
         "doc_id", "text_key", "base", F.coalesce("added", nothing).cast(f"array<{sp.SPAN}>").alias("added"))

@@ -190,6 +190,22 @@ def test_disclosing_terms_are_generalised(spark):
     assert clean[0] == rows[0][1].replace("Zebulon", "[NAME]").replace("x@y.org", "[EMAIL]") and clean[12] == rows[8][1]
 
 
+def test_disclosing_terms_at_any_distance(spark):
+    """A name on another line than the address, more than 400 characters away, is found, and replaced wherever it stands
+    in the documents that hold the address."""
+    r = random.Random(15)
+    filler = lambda: " ".join(r.choice(["one", "two", "three", "four", "Five", "six7", "7"]) for _ in range(200))
+    rows = [(i, f"Zebulon {filler()}\n\n{filler()} Zebulon two three four\n\n{filler()}\nx@y.org\n{filler()} Zebulon") for i in range(6)]
+    rows += [(10 + i, filler()) for i in range(200)]
+    docs = spark.createDataFrame([*rows, (300, "Zebulon")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in pii.find_personal(docs).collect()}
+    for i, text in rows[:6]:
+        assert sorted(text[s["start"]:s["end"]] for s in found[i]["added"]) == ["Zebulon"] * 3
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert clean[0] == rows[0][1].replace("Zebulon", "[NAME]").replace("x@y.org", "[EMAIL]")
+    assert clean[300] == "Zebulon", "documents that do not hold the entity stay as they are"
+
+
 @pytest.mark.parametrize("n", [0, 9])
 def test_odd_tables(spark, odd, n):
     """Every operator takes null ids, repeated rows, clashing columns and no rows at all."""
