@@ -158,7 +158,7 @@ def test_knapsack_against_all_sums(seed):
 def test_random_strings_are_added_and_plain_ones_are_not(spark):
     r = random.Random(4)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    keys = ["4" + "".join(r.choice(letters) for _ in range(30)) + "7" for _ in range(60)]
+    keys = ["".join(r.choice(letters) for _ in range(32)) for _ in range(60)]
     plain = ["aaaa1111" * 4, "abcabcabc123123123abcabc", "zz00" * 9, "version-1-1-1-1-1-1-1-1-1-1-1", "a" * 30 + "12"]
     docs = spark.createDataFrame([(i, f"see {k} there") for i, k in enumerate(keys + plain)], "doc_id bigint, text string")
     found = {r["doc_id"]: r["spans"] for r in secrets.digests(secrets.find_secrets(docs)).collect()}
@@ -166,6 +166,21 @@ def test_random_strings_are_added_and_plain_ones_are_not(spark):
     assert all("random" not in found[60 + i] for i in range(len(plain)))
 
 
+def test_random_letters_are_told_from_words(spark):
+    """Keys with few digits or none are found; the long words of the table's documents are not."""
+    r = random.Random(14)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    make = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    keys = [make(letters, n) for letters in (upper, lower, upper + lower, upper + lower + digits) for n in (16, 20, 24, 32) for _ in range(25)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(10 ** 6 + i, f"see {k} there") for i, k in enumerate(keys)], docs.schema))
+    found = secrets.find_secrets(docs).select("doc_id", F.transform("added", lambda s: s["value"]).alias("added"), F.transform(
+        "tested", lambda t: t["span"]["value"]).alias("tested")).collect()
+    assert sum(x["added"] == [keys[x["doc_id"] - 10 ** 6]] for x in found if x["doc_id"] >= 10 ** 6) >= 0.97 * len(keys)
+    words, flagged = ([w for x in found if x["doc_id"] < 10 ** 6 for w in x[c] if w.isalpha()] for c in ("tested", "added"))
+    assert len(words) > 100 and len(flagged) <= 0.05 * len(words)
+
+
 def test_false_discovery_threshold():
     assert secrets.rejected_from({0: 100}, 0.01) == secrets.LAST_BIN + 1
     assert secrets.rejected_from({0: 90, 300: 10}, 0.01) <= 300
