@@ -7,7 +7,7 @@ Equal sets are one *class* from the start: copies never meet as pairs.
 D = U * (100 - p) / p members.  Sizes are cut into bands; in a band the hash range is cut into D + 1 blocks, and each
 block's members are XORed into one word.  A differing member changes one block, so the number of blocks that differ
 is a lower bound of the symmetric difference, and linked sets agree in at least one whole block (pigeonhole).  A set
-near the lower end of a band also enters the band below, so linked sets always share a band.  Finer sketches (one
+also enters every lower band that holds sets large enough to be linked with it, so linked sets always share a band.  Finer sketches (one
 parity bit per hash value modulo a power of two, about as many bits as members) give a Hamming distance that
 is a lower bound as well, and sort out candidates before texts are compared.
 
@@ -91,10 +91,8 @@ def blocks(members: np.ndarray, percent: int) -> np.ndarray:
     n = len(members)
     edges = band_edges(n)
     own = len(edges) - 2
-    bands = [own]
-    # The band below holds smaller sets up to edges[own] - 1; those can be linked with sets up to that / p.
-    if own and n * percent <= (edges[own] - 1) * 100:
-        bands.append(own - 1)
+    # A lower band holds smaller sets up to edges[band + 1] - 1; those can be linked with sets up to that / p.
+    bands = [own] + [band for band in range(own) if n * percent <= (edges[band + 1] - 1) * 100]
     out = []
     with np.errstate(over="ignore"):
         for band in bands:
@@ -254,6 +252,8 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id (least id of its component), stays (one row per component); one row
     per row of ``docs``."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
     rows = sets_table(docs, id_col, text_col, shingle, percent)
     narrow = rows.select("node", "doc_id", "row_key", "n", "set_key")
     # A class is named by its least node; documents without shingles are classes of their own.

@@ -30,6 +30,24 @@ def test_five_words_and_tiles(spark, edge_docs, edge_rows, monkeypatch, tile):
     assert found.filter("stays").select("component_id").distinct().count() == found.filter("stays").count()
 
 
+@pytest.mark.parametrize("percent", [50, 30])
+def test_sets_several_bands_apart(spark, percent):
+    """Linked sets whose sizes lie two or more bands apart share a block for any percent."""
+    sizes = {50: (28, 16), 30: (40, 13)}[percent]
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(words[:n + 2])) for i, n in enumerate(sizes)] + [(9, "something else than that")]
+    found = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), shingle=3, percent=percent)
+    assert rows(found.select("doc_id", "n_shingles", "component_id")) == sorted(brute.components(docs, 3, percent))
+    large, small = (np.unique(np.random.default_rng(7).integers(0, 1 << 63, 40, dtype=np.uint64))[:n] for n in sizes)
+    assert set(jaccard.blocks(large, percent).tolist()) & set(jaccard.blocks(small, percent).tolist())
+
+
+@pytest.mark.parametrize("percent", [0, 101])
+def test_percent_is_checked(edge_docs, percent):
+    with pytest.raises(ValueError):
+        jaccard.near_duplicates(edge_docs, percent=percent)
+
+
 def test_pigeonhole_and_sketch_bounds():
     r = np.random.default_rng(3)
     for _ in range(200):
