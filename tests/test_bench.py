@@ -1,0 +1,14 @@
+"""The size the bench runs at by default."""
+
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def test_wide_input_has_a_million_comments(monkeypatch):
+    monkeypatch.delenv("BENCH_COPIES", raising=False)
+    monkeypatch.setattr(sys, "path", [str(ROOT), *sys.path])
+    import bench
+
+    assert bench.COPIES * 100_000 == 1_000_000
