@@ -29,7 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()

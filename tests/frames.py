@@ -1,0 +1,34 @@
+"""Plans and small frames that several test modules use."""
+
+import json
+
+from chorale import schemas
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def body(author, text, likes=None):
+    b = {"authorDisplayName": author, "textOriginal": text, "publishedAt": "2024-01-01T00:00:00Z"}
+    return b if likes is None else {**b, "likeCount": likes}
+
+
+def thread(tid, replies=0, likes=1, total=None):
+    item = {"id": tid, "snippet": {"topLevelComment": {"snippet": body("a", f"text {tid}", likes)}}}
+    if total is not None:
+        item["snippet"]["totalReplyCount"] = total
+    if replies:
+        item["replies"] = {"comments": [
+            {"id": f"{tid}.{i}", "snippet": body("r", f"reply {tid}.{i}", i)} for i in range(replies)]}
+    return item
+
+
+def pages_frame(spark, pages):
+    """``pages``: (video, page number, items)."""
+    rows = [(v, "@c", n, json.dumps({"items": items}), "2024-01-01T00:00:00Z") for v, n, items in pages]
+    return spark.createDataFrame(rows, schemas.THREAD_PAGE_RECORD)
+
+
+def videos_frame(spark, rows):
+    return spark.createDataFrame(rows, "video_id string, channel_handle string, title string, published_at string, video_url string")

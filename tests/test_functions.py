@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chorale.functions import text as tx
 from chorale.functions.sentiment import add_sentiment, lexicon_scorer, model_scorer, score_by_lexicon_join
 from chorale.functions.time import iso_duration_seconds, iso_timestamp
-from conftest import plan
+from frames import plan
 
 
 def column(spark, values, kind="string"):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chorale import schemas
 from chorale.operators import gold, silver
 from chorale.plans import analyst, dashboards
-from conftest import plan
+from frames import plan
 
 DAY = dt.datetime(2024, 1, 1)
 

@@ -10,28 +10,7 @@ from chorale.operators import joins, landing
 from chorale.operators.channels import channel_info
 from chorale.operators.positions import running_position
 from chorale.sources import landed, sinks
-from conftest import plan
-
-
-def body(author, text, likes=None):
-    b = {"authorDisplayName": author, "textOriginal": text, "publishedAt": "2024-01-01T00:00:00Z"}
-    return b if likes is None else {**b, "likeCount": likes}
-
-
-def thread(tid, replies=0, likes=1, total=None):
-    item = {"id": tid, "snippet": {"topLevelComment": {"snippet": body("a", f"text {tid}", likes)}}}
-    if total is not None:
-        item["snippet"]["totalReplyCount"] = total
-    if replies:
-        item["replies"] = {"comments": [
-            {"id": f"{tid}.{i}", "snippet": body("r", f"reply {tid}.{i}", i)} for i in range(replies)]}
-    return item
-
-
-def pages_frame(spark, pages):
-    """``pages``: (video, page number, items)."""
-    rows = [(v, "@c", n, json.dumps({"items": items}), "2024-01-01T00:00:00Z") for v, n, items in pages]
-    return spark.createDataFrame(rows, schemas.THREAD_PAGE_RECORD)
+from frames import pages_frame, plan, thread, videos_frame
 
 
 def test_flatten(spark):
@@ -90,10 +69,6 @@ def test_running_position_equals_row_number_on_skewed_groups(spark, depth):
     assert {r["i"]: r["p"] for r in got} == expected
 
 
-def videos_frame(spark, rows):
-    return spark.createDataFrame(rows, "video_id string, channel_handle string, title string, published_at string, video_url string")
-
-
 def test_newest_and_batches(spark):
     rows = [(f"v{i:04d}", "@hot" if i % 5 else "@x", "t", f"2024-01-{i % 28 + 1:02d}T0{i % 10}:00:00Z", "u") for i in range(700)]
     rows.append(("undated", "@hot", "t", None, "u"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale.functions.text import term_frequencies
 from chorale.operators import retrieval, text_index
-from conftest import plan
+from frames import plan
 
 
 @pytest.fixture(scope="module")
