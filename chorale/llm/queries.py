@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm import (
-    exact_dedup, jaccard, mixing, pii, quality, repeats, secrets, sentencepiece_bpe, token_attribution, token_files,
+    exact_dedup, jaccard, mixing, periodic_runs, pii, quality, repeats, secrets, sentencepiece_bpe, token_attribution, token_files,
 )
 from chorale.llm.common import documents
 from chorale.session import pin_session, use_scratch
@@ -86,3 +86,8 @@ def _(spark, sf):
 @query("op10_mixing")
 def _(spark, sf):
     return mixing.mix(documents(spark, sf)).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query("op11_periodic_runs")
+def _(spark, sf):
+    return periodic_runs.digests(periodic_runs.find_runs(periodic_runs.looped_documents(documents(spark, sf))))

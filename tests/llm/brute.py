@@ -185,3 +185,47 @@ def op7(docs, rule="largest"):
                 n[own[0] if rule == "first" else min(times, key=lambda s: (-times[s], s))] += 1
         out += [(d, i, len(p.encode()), n[i], cross[i]) for i, p in enumerate(parts)]
     return out
+
+
+def runs(words, min_words=12, min_periods=2):
+    """Every run by its definition: all stretches at all lags, those kept whose smallest period is the lag."""
+    out, n = [], len(words)
+    for q in range(1, n // min_periods + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            piece = words[i:j + q]
+            if len(piece) >= max(min_words, min_periods * q) and not any(piece[d:] == piece[:-d] for d in range(1, q)):
+                out.append((i, len(piece), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def looped(d, x):
+    w = WORD.findall(x or "")
+    n = len(w)
+    h = zlib.crc32(str(d).encode()) if d is not None else 1
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return w
+
+
+def op11(docs):
+    out = []
+    for d, x in docs:
+        w = looped(d, x)
+        found = runs(w)
+        gone = {i for s, n, q in found for i in range(s + q, s + n)}
+        best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+        out.append((d, len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2], sha(lines),
+                    sha(" ".join(v for i, v in enumerate(w) if i not in gone))))
+    return out
