@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Rows of an Arrow batch handed to Python: texts may be long, so far below Spark's default of 10,000.
 BATCH_ROWS = 1000
+#: Texts are worked on together up to so many bytes; a longer one by itself.
+CHUNK_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +29,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def text_chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts of a batch in pieces of about CHUNK_BYTES, each of whole texts."""
+    size = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy()
+    at = 0
+    while at < len(texts):
+        limit = (size[at - 1] if at else 0) + CHUNK_BYTES
+        to = max(at + 1, int(size.searchsorted(limit, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

@@ -33,12 +33,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import WORD, small_batches, text_or_empty
+from chorale.llm.common import WORD, small_batches, text_chunks, text_or_empty
 
 #: Lags below this are compared word by word; a power of two from 4 on.
 PLAIN_LAGS = 16
-#: Texts are worked on together up to so many bytes; a longer one by itself.
-CHUNK_BYTES = 4 << 20
 
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
@@ -186,17 +184,6 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words.filter(pa.array(full)), before[offsets - offsets[0]]
 
 
-def _chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    """The texts in pieces of about CHUNK_BYTES."""
-    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    at = 0
-    while at < len(texts):
-        limit = (size[at - 1] if at else 0) + CHUNK_BYTES
-        to = max(at + 1, int(np.searchsorted(size, limit, side="right")))
-        yield texts.slice(at, to - at)
-        at = to
-
-
 def runs_of(texts: pa.Array, min_words: int, min_periods: int) -> tuple[pa.Array, pa.Array, pa.Array]:
     """n_words, runs and collapsed text of each text."""
     words, offsets = words_of(texts)
@@ -230,7 +217,7 @@ def find_runs(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = 0
-            for texts in _chunks(b.column(1)):
+            for texts in text_chunks(b.column(1)):
                 n, runs, collapsed = runs_of(texts, min_words, min_periods)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), n, runs, collapsed],
                                                  ["doc_id", "n_words", "runs", "collapsed"])

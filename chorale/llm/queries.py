@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm import (
-    exact_dedup, jaccard, mixing, periodic_runs, pii, quality, repeats, secrets, sentencepiece_bpe, token_attribution, token_files,
+    exact_dedup, jaccard, mixing, periodic_runs, pii, quality, repeats, secrets, sentencepiece_bpe, token_alignment,
+    token_attribution, token_files,
 )
 from chorale.llm.common import documents
 from chorale.session import pin_session, use_scratch
@@ -91,3 +92,8 @@ def _(spark, sf):
 @query("op11_periodic_runs")
 def _(spark, sf):
     return periodic_runs.digests(periodic_runs.find_runs(periodic_runs.looped_documents(documents(spark, sf))))
+
+
+@query("op12_token_alignment")
+def _(spark, sf):
+    return token_alignment.digests(token_alignment.align_documents(documents(spark, sf)))

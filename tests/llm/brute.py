@@ -229,3 +229,44 @@ def op11(docs):
         out.append((d, len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2], sha(lines),
                     sha(" ".join(v for i, v in enumerate(w) if i not in gone))))
     return out
+
+
+def op12(docs):
+    t = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    sp = sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in own}
+    byte |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte.values())}
+    entry = {i: bytes(byte.get(c, 0) for c in s) for s, i in t.get_vocab().items()}
+    rows, seen = [], Counter()
+    for d, x in docs:
+        a, b = t.encode(" " + (x or ""), add_special_tokens=False).ids, sp.encode(x or "")
+        ba = [entry[i] for i in a]
+        bb = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i in b for p in [sp.id_to_piece(i)]]
+        raw = (" " + (x or "")).encode()
+        if not x or b"".join(ba) != raw or b"".join(bb) != raw:
+            rows.append((d, [], [], [], []))
+            continue
+        ea, eb = list(accumulate(map(len, ba))), list(accumulate(map(len, bb)))
+        links, j = [], 0
+        for i, e in enumerate(ea):
+            s = e - len(ba[i])
+            while eb[j] <= s:
+                j += 1
+            k = j
+            while k < len(b) and eb[k] - len(bb[k]) < e:
+                links.append((a[i], b[k]))
+                k += 1
+        groups, i, j = [], 0, 0
+        for cut in sorted(set(ea) & set(eb)):
+            x2, y2 = ea.index(cut, i) + 1, eb.index(cut, j) + 1
+            groups.append(",".join(map(str, a[i:x2])) + "|" + ",".join(map(str, b[j:y2])))
+            i, j = x2, y2
+        rows.append((d, a, b, groups, links))
+        seen.update(set(links))
+    most = {}
+    for (x, _), n in seen.items():
+        most[x] = max(most.get(x, 0), n)
+    return [(d, len(a), len(b), len(g), len(k), sum(seen[p] == most[p[0]] for p in k), sum(seen[p] for p in k),
+             sha(";".join(g)) if a else "") for d, a, b, g, k in rows]

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from chorale.llm import common
 from chorale.llm import periodic_runs as pr
 from chorale.llm.queries import QUERIES
 
@@ -75,7 +76,7 @@ def test_query_small_tables_and_hard_cases(spark, sf, small_rows, edge_dir, edge
 
 
 def test_odd_tables(spark, monkeypatch):
-    monkeypatch.setattr(pr, "CHUNK_BYTES", 50)  # every chunk holds few texts
+    monkeypatch.setattr(common, "CHUNK_BYTES", 50)  # every chunk holds few texts
     loop = "a b c d e f " * 4
     docs = spark.createDataFrame(
         [(1, loop, 5, "x"), (1, loop, 5, "x"), (None, None, 1, "y"), (None, loop, 2, None), (3, "", 0, "")],
