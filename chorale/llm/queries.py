@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.llm import (
-    exact_dedup, jaccard, mixing, periodic_runs, pii, quality, repeats, secrets, sentencepiece_bpe, token_alignment,
+    exact_dedup, imatch, jaccard, mixing, periodic_runs, pii, quality, repeats, secrets, sentencepiece_bpe, token_alignment,
     token_attribution, token_files,
 )
 from chorale.llm.common import documents
@@ -97,3 +97,8 @@ def _(spark, sf):
 @query("op12_token_alignment")
 def _(spark, sf):
     return token_alignment.digests(token_alignment.align_documents(documents(spark, sf)))
+
+
+@query("op13_imatch")
+def _(spark, sf):
+    return imatch.compare_next(documents(spark, sf))
