@@ -29,6 +29,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from chorale.session import materialise
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 #: Units and links remembered by a worker; the table is emptied beyond that.
-MAX_UNITS, MAX_LINKS, MAX_UNIT_CHARS = 400_000, 6_000_000, 64
+MAX_UNITS, MAX_LINKS, MAX_UNIT_CHARS = 1_000_000, 8_000_000, 64
 #: Units encoded in one call.
 UNITS_A_CALL = 4000
 #: Pairs a task holds before it hands them on.
@@ -52,7 +53,6 @@ LOOKUP_PAIRS = 4_000_000
 _BESIDE = r"[\s▁]"
 _ODD_SPACE = re.compile(f" {_BESIDE}|{_BESIDE} |^ | $")
 _CUT = re.compile(f"(?<!{_BESIDE})(?<!^) (?!{_BESIDE})(?!$)")
-_ODD_END = re.compile(f"^{_BESIDE}|{_BESIDE}$|^$")
 
 
 def byte_of_char() -> dict[str, int]:
@@ -68,6 +68,22 @@ def units_of(text: str) -> list[str]:
     return _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
 
 
+def _odd(unit: str) -> bool:
+    """Whether a unit may not stand between two others: it is empty, or begins or ends with what may join a space."""
+    return not unit or unit[0].isspace() or unit[-1].isspace() or unit[0] == SPACE or unit[-1] == SPACE
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of two rising arrays, and those that both have."""
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")
+    if not len(both):
+        return both, both
+    last = np.append(both[1:] != both[:-1], True)
+    first = np.append(True, both[1:] != both[:-1])
+    return both[last], both[last & ~first]
+
+
 def refined_ends(starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray, shared: np.ndarray) -> np.ndarray:
     """Ends of tokens in bytes.  ``shared`` tokens lie in one character with the next one: they end as many bytes behind
     the last cut as the tokens since then have."""
@@ -109,15 +125,17 @@ class Aligner:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.groups: list[str] = []
+        self.count = 0
+        self.groups: list[str | None] = []  # made when they are asked for
+        self.tokens: list[tuple | None] = []
         self.figures = np.zeros((1024, 4), dtype=np.int64)  # tokens of A and B, groups, links; -1 where bytes are lost
         self.codes = np.zeros(4096, dtype=np.int64)  # a * n_b + b of the links of all units
         self.ends = np.zeros(1025, dtype=np.int64)  # where the links of a unit end; one row ahead
         self.scores = np.zeros((0, 2), dtype=np.int64)
         self.scored_by = None
 
-    def _align(self, units: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """figures, groups and link codes (unit by unit) of units that may stand in one text."""
+    def _align(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """figures and link codes (unit by unit) of units that may stand in one text, and what their groups are made of."""
         text = " " + " ".join(units)
         raw = text.encode()
         size = np.array([1 + len(u.encode()) for u in units], dtype=np.int64)
@@ -126,13 +144,13 @@ class Aligner:
         byte_at = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800).astype(int) + (points >= 0x10000))])
         found = self.a.encode(text, add_special_tokens=False)
         a = np.array(found.ids, dtype=np.int64)
-        off = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        off = np.fromiter(chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(a)).reshape(-1, 2)
         shared = np.append(off[1:, 0] < off[:-1, 1], False) if len(a) else np.zeros(0, dtype=bool)
         a_end = refined_ends(byte_at[off[:, 0]], byte_at[off[:, 1]], self.a_size[a], shared)
 
         spans = [(p.id, p.end) for p in self.b.encode(text[1:], return_type="proto").pieces]
-        b = np.array([i for i, _ in spans], dtype=np.int64)
-        b_end = np.array([e for _, e in spans], dtype=np.int64) + 1  # the space that B puts in front is the first byte
+        b, b_end = np.fromiter(chain.from_iterable(spans), dtype=np.int64, count=2 * len(spans)).reshape(-1, 2).T
+        b_end = b_end + 1  # the space that B puts in front is the first byte
         # Bytes of one character: the last of them carries its span.
         is_byte = self.b_is_byte[b]
         width = np.diff(np.concatenate([[0], b_end]))
@@ -153,30 +171,42 @@ class Aligner:
         if not good.all():
             keep_a, keep_b = good[a_unit], good[b_unit]
             a, a_end, a_unit, b, b_end, b_unit = a[keep_a], a_end[keep_a], a_unit[keep_a], b[keep_b], b_end[keep_b], b_unit[keep_b]
-        closing = np.union1d(a_end, b_end)
-        common = np.intersect1d(a_end, b_end)
+        closing, common = _merged(a_end, b_end)
         codes = a[np.searchsorted(a_end, closing)] * self.n_b + b[np.searchsorted(b_end, closing)] if len(closing) else closing
         group_unit = unit(common)
         figures = np.stack([np.bincount(v, minlength=n) for v in (a_unit, b_unit, group_unit, unit(closing))], axis=1)
         figures[~good] = -1
+        to_a, to_b = np.searchsorted(a_end, common, side="right"), np.searchsorted(b_end, common, side="right")
+        return figures, codes, (a, b, to_a, to_b, np.searchsorted(group_unit, np.arange(n), side="right"))
+
+    @staticmethod
+    def _spelled(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray, to: np.ndarray) -> list[str]:
+        """The groups of each unit: ids of A and B up to each cut, and how many cuts there are up to each unit."""
         sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        to_a, to_b = np.searchsorted(a_end, common, side="right").tolist(), np.searchsorted(b_end, common, side="right").tolist()
         each, at_a, at_b = [], 0, 0
-        for x, y in zip(to_a, to_b):
+        for x, y in zip(to_a.tolist(), to_b.tolist()):
             each.append(f"{sa[at_a] if x == at_a + 1 else ','.join(sa[at_a:x])}|{sb[at_b] if y == at_b + 1 else ','.join(sb[at_b:y])}")
             at_a, at_b = x, y
-        to = np.searchsorted(group_unit, np.arange(n), side="right").tolist()
-        return figures, [";".join(each[s:e]) for s, e in zip([0, *to], to)], codes
-
-    def _remember(self, units: list[str], figures: np.ndarray, groups: list[str], codes: np.ndarray) -> None:
-        n, held = len(self.groups), int(self.ends[len(self.groups)])
+        to = to.tolist()
+        return [";".join(each[s:e]) for s, e in zip([0, *to], to)]
+
+    def spell(self) -> list[str]:
+        """The groups of all units in the table."""
+        for tokens in self.tokens:
+            self.groups += self._spelled(*tokens)
+        self.tokens = []
+        return self.groups
+
+    def _remember(self, units: list[str], figures: np.ndarray, codes: np.ndarray, tokens: tuple) -> None:
+        n, held = self.count, int(self.ends[self.count])
         while len(self.figures) < n + len(units):
             self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while len(self.codes) < held + len(codes):
             self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
         self.index.update(zip(units, range(n, n + len(units))))
-        self.groups += groups
+        self.count += len(units)
+        self.tokens.append(tuple(v.astype(np.int32) for v in tokens))
         self.figures[n:n + len(units)] = figures
         self.codes[held:held + len(codes)] = codes
         self.ends[n + 1:n + len(units) + 1] = held + np.cumsum(np.maximum(figures[:, 3], 0))
@@ -186,16 +216,18 @@ class Aligner:
         parts = [units_of(t) if t else [] for t in texts]
         different = set().union(*parts)
         new = different - self.index.keys()
-        if len(self.groups) + len(new) > MAX_UNITS or self.ends[len(self.groups)] > MAX_LINKS:
+        if self.count + len(new) > MAX_UNITS or self.ends[self.count] > MAX_LINKS:
             self.clear()
             new = different
-        plain = sorted(u for u in new if not _ODD_END.search(u))
+        plain, odd = [], []
+        for u in new:
+            (odd if _odd(u) else plain).append(u)
         for at in range(0, len(plain), UNITS_A_CALL):
             some = plain[at:at + UNITS_A_CALL]
             self._remember(some, *self._align(some))
-        for u in sorted(u for u in new if _ODD_END.search(u)):
+        for u in odd:
             self._remember([u], *self._align([u]))
-        numbers = np.fromiter((self.index[u] for p in parts for u in p), dtype=np.int64)
+        numbers = np.array(list(map(self.index.__getitem__, chain.from_iterable(parts))), dtype=np.int64)
         for u in new:
             if len(u) > MAX_UNIT_CHARS:
                 del self.index[u]  # its place is taken until the table is emptied
@@ -215,8 +247,8 @@ class Aligner:
         text = np.repeat(np.arange(n), np.diff(offsets))
         bad = np.zeros(n, dtype=bool)
         bad[text[self.figures[numbers, 0] < 0]] = True
-        pairs, times = np.unique(text * np.int64(len(self.groups) + 1) + numbers, return_counts=True)
-        text, number = np.divmod(pairs, len(self.groups) + 1)
+        pairs, times = np.unique(text * np.int64(self.count + 1) + numbers, return_counts=True)
+        text, number = np.divmod(pairs, self.count + 1)
         ok = ~bad[text]
         text, number, times = text[ok], number[ok], times[ok]
         size = self.ends[number + 1] - self.ends[number]
@@ -231,7 +263,7 @@ class Aligner:
         """(links with the best count, sum of counts) of every unit in the table."""
         if self.scored_by != name:
             self.scored_by, self.scores = name, np.zeros((0, 2), dtype=np.int64)
-        done, n = len(self.scores), len(self.groups)
+        done, n = len(self.scores), self.count
         if done < n:
             own = self.codes[self.ends[done]:self.ends[n]]
             at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
@@ -321,7 +353,7 @@ class Alignment:
                     scores = np.zeros((len(texts), 2), dtype=np.int64)
                     if table is not None:
                         scores = aligner.sums(aligner.score(name, codes, n, best), numbers, offsets)
-                    groups = aligner.groups
+                    groups = aligner.spell()
                     joined = [";".join([groups[i] for i in numbers[s:e].tolist()]) if k else ""
                               for s, e, k in zip(offsets[:-1].tolist(), offsets[1:].tolist(), figures[:, 0].tolist())]
                     values = [pa.array(np.ascontiguousarray(v)) for v in (*figures.T, *scores.T)]

@@ -42,7 +42,7 @@ def test_table_of_units_is_bounded(monkeypatch):
     for i, t in enumerate(texts):
         numbers, offsets = aligner.read([t])
         assert aligner.sums(aligner.figures, numbers, offsets)[0].tolist() == figures[i].tolist()
-        assert len(aligner.groups) <= 20 + len(set(token_alignment.units_of(t)))
+        assert aligner.count <= 20 + len(set(token_alignment.units_of(t)))
     assert "x" * 500 not in aligner.index
 
 
