@@ -42,6 +42,27 @@ def page_error(raw_json: Column) -> Column:
     return F.when(read.isNull() | read["_bad"].isNotNull(), "malformed page").otherwise(told)
 
 
+def parse_landed_pages(pages: DataFrame) -> DataFrame:
+    """Landed pages parsed once, whether they can be read or not, one row for each different landing of these pages:
+    ``landed_at`` and ``page_hash`` (which landing it is), ``error`` (as ``page_error``) with the text of such a page,
+    ``n`` comments and the comments themselves.  Row-local but for the removal of equal landings.
+    """
+    read = F.from_json("raw_json", schemas.THREAD_PAGE_JSON[:-1] + ", _bad: string>",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    told = F.when(F.contains("raw_json", F.lit('"error"')), F.coalesce(
+        F.get_json_object("raw_json", "$.error.errors[0].reason"), F.get_json_object("raw_json", "$.error.message")))
+    landed_at = F.coalesce("ingested_at", F.lit("")).alias("landed_at")
+    once = pages.withColumn("page_hash", F.xxhash64("raw_json")).dropDuplicates(["video_id", "page_no", "ingested_at", "page_hash"])
+    parsed = once.select("video_id", "channel_handle", "page_no", "ingested_at", landed_at, "page_hash", "raw_json", read.alias("_page"))
+    bad = F.col("_page").isNull() | F.col("_page._bad").isNotNull()
+    judged = parsed.withColumn("error", F.when(bad, "malformed page").otherwise(told))
+    comments = F.when(F.col("error").isNull(), F.flatten(F.transform("_page.items", _thread))).cast(schemas.PAGE_COMMENTS)
+    return judged.withColumn("comments", comments).select(
+        "video_id", "channel_handle", "page_no", "ingested_at", "landed_at", "page_hash", "error",
+        F.when(F.col("error").isNotNull(), F.col("raw_json")).alias("bad_json"),
+        F.greatest(F.coalesce(F.size("comments"), F.lit(0)), F.lit(0)).cast("bigint").alias("n"), "comments")
+
+
 def parse_pages(pages: DataFrame, json_type: str = schemas.THREAD_PAGE_JSON) -> DataFrame:
     """Parse ``raw_json`` into ``page``; malformed text stops the job instead of losing a page."""
     parsed = F.from_json("raw_json", json_type, {"mode": "FAILFAST"})
@@ -107,21 +128,10 @@ def page_sizes(pages: DataFrame) -> DataFrame:
     return parsed.select("video_id", "page_no", F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
 
 
-def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) -> DataFrame:
-    """Flattened comments, at most the first ``limit`` per video (0 = all), replies counted.
-
-    Of a page that was landed several times the newest landing counts.
-
-    The cut is found on page sizes alone: one narrow row per page, summed per slice of pages and then
-    per video, so neither texts nor a hot video's pages meet in one task.  Whole pages before the cut
-    are kept, later ones dropped, and only the page holding the cut is trimmed, which can end a thread
-    between two replies.  The cuts (one row per video over the limit) are written out first, so the
-    comments are not shuffled for them unless there are too many to broadcast.
-    """
-    pages = newest_landing(pages)
-    if limit <= 0:
-        return flatten_threads(pages)
-    sizes = page_sizes(pages).withColumn("_slice", F.floor(F.col("page_no") / pages_per_slice))
+def page_cuts(sizes: DataFrame, limit: int, pages_per_slice: int = 1000) -> DataFrame:
+    """``video_id, _last_page, _room``: the page of each video that holds its ``limit``-th comment, and how many of that
+    page come before the cut.  ``sizes``: ``video_id, page_no, n``, one narrow row per page; videos below the limit have no row."""
+    sizes = sizes.withColumn("_slice", F.floor(F.col("page_no") / pages_per_slice))
     slices = sizes.groupBy("video_id", "_slice").agg(F.sum("n").alias("_n"))
     rows_to_here = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before_slice = F.sum("_n").over(rows_to_here(Window.partitionBy("video_id").orderBy("_slice"))) - F.col("_n")
@@ -131,20 +141,36 @@ def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) ->
     ).select("video_id", "_slice", "_before")
     seen = F.col("_before") + F.sum("n").over(
         rows_to_here(Window.partitionBy("video_id", "_slice").orderBy("page_no")))
-    cuts = (
+    return (
         sizes.join(reached, ["video_id", "_slice"])
         .select("video_id", "page_no", seen.alias("_seen"), (seen - F.col("n")).alias("_start"))
         .filter((F.col("_start") < limit) & (F.col("_seen") >= limit))
         .select("video_id", F.col("page_no").alias("_last_page"), (limit - F.col("_start")).alias("_room"))
     )
-    cuts = materialise(cuts, "cuts")
-    last, pos = F.col("_last_page"), F.col("page_pos")
-    before_cut = (F.col("page_no") < last) | ((F.col("page_no") == last) & (pos < F.col("_room")))
-    return (
-        flatten_threads(pages).join(cuts, "video_id", "left")
-        .filter(last.isNull() | before_cut)
-        .drop("_last_page", "_room")
-    )
+
+
+def before_cut() -> Column:
+    """Whether a comment of a video with a cut (see ``page_cuts``) comes before it; true for the others."""
+    last = F.col("_last_page")
+    return last.isNull() | (F.col("page_no") < last) | ((F.col("page_no") == last) & (F.col("page_pos") < F.col("_room")))
+
+
+def limit_comments(pages: DataFrame, limit: int, pages_per_slice: int = 1000) -> DataFrame:
+    """Flattened comments, at most the first ``limit`` per video (0 = all), replies counted.
+
+    Of a page that was landed several times the newest landing counts.
+
+    The cut is found on page sizes alone: one narrow row per page, summed per slice of pages and then
+    per video, so neither texts nor a hot video's pages meet in one task.  Whole pages before the cut
+    are kept, later ones dropped, and only the page holding the cut is trimmed, which can end a thread
+    between two replies.  The cuts (one row per video over the limit) are written out first, so the
+    comments are not shuffled for them unless there are too many to broadcast.
+    """
+    pages = newest_landing(pages)
+    if limit <= 0:
+        return flatten_threads(pages)
+    cuts = materialise(page_cuts(page_sizes(pages), limit, pages_per_slice), "cuts")
+    return flatten_threads(pages).join(cuts, "video_id", "left").filter(before_cut()).drop("_last_page", "_room")
 
 
 def flatten_video_ids(pages: DataFrame) -> DataFrame:
@@ -171,15 +197,16 @@ def video_records(pages: DataFrame) -> DataFrame:
     )
 
 
-def video_list(records: DataFrame) -> DataFrame:
-    """Landed video records to ``video_id, channel_handle, title, published_at, video_url``."""
+def video_list(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Landed video records to ``video_id, channel_handle, title, published_at, video_url`` (and the columns to ``keep``)."""
     raw = F.from_json("raw_json", schemas.VIDEO_ITEM_JSON, {"mode": "FAILFAST"})
-    return records.select("video_id", "channel_handle", raw.alias("raw")).select(
+    return records.select("video_id", "channel_handle", raw.alias("raw"), *(keep or [])).select(
         "video_id",
         "channel_handle",
         F.col("raw.snippet.title").alias("title"),
         F.col("raw.snippet.publishedAt").alias("published_at"),
         video_url(F.col("video_id")).alias("video_url"),
+        *(keep or []),
     )
 
 
@@ -199,6 +226,25 @@ def newest_videos(videos: DataFrame, limit: int, per_channel: bool = True) -> Da
     return videos.withColumn("_rn", rank).filter(F.col("_rn") <= limit).drop("_rn")
 
 
+FILE_ORDER = ["file_path", "block_start", "line_in_block"]
+
+
+def first_videos(records: DataFrame, limit: int, per_channel: bool = True) -> DataFrame:
+    """The first ``limit`` videos (0 = all) in the order of the landed files, per channel or overall, as ``video_list`` rows.
+
+    ``records`` come from ``read_video_records_in_order``.  A video that landed several times counts at its first place.
+    """
+    listed = video_list(records.filter("video_id IS NOT NULL"), FILE_ORDER)
+    first = F.min(F.struct(*FILE_ORDER, *[c for c in listed.columns if c not in ("video_id", *FILE_ORDER)])).alias("v")
+    once = listed.groupBy("video_id").agg(first).select("video_id", "v.*")
+    if limit > 0 and per_channel:
+        rank = F.row_number().over(Window.partitionBy("channel_handle").orderBy(*FILE_ORDER))
+        once = once.withColumn("_rn", rank).filter(F.col("_rn") <= limit).drop("_rn")
+    elif limit > 0:
+        once = once.orderBy(*FILE_ORDER).limit(limit)
+    return once.drop(*FILE_ORDER)
+
+
 def batch_videos(videos: DataFrame, size: int = VIDEO_BATCH_SIZE) -> DataFrame:
     """Add ``batch`` (``batch_0001`` ...): chunks of ``size`` videos per channel, newest first.
 

@@ -418,6 +418,51 @@ for _name, _body in _DASH.items():
 
 
 _SQL["run_end_to_end"] = _SQL["run_repeated"] = _GOLD_ROWS
+_SQL["run_documents_in_parts"] = _SQL["run_documents_repeated"]
+_SQL |= {
+    "run_pages_in_parts": _with(["raw"], f"""
+        SELECT comment_id, video_id, text, is_reply, parent_id, video_title FROM raw
+        UNION ALL SELECT comment_id, video_id, 'fresh', FALSE, NULL, 'Video #' || substring(video_id, 4) || ': intro & tips!' FROM {_FRESH}"""),
+    "src_stream_rescued": _with(["raw"], """
+        SELECT CASE WHEN i % 11 <> 0 THEN comment_id END AS comment_id,
+               CASE WHEN i % 11 <> 0 AND i % 5 <> 0 THEN like_count END AS like_count,
+               CASE WHEN i % 11 <> 0 THEN text END AS text,
+               CASE WHEN i % 11 <> 0 AND i % 7 = 0 THEN author_name END AS pinned_by,
+               CASE WHEN i % 11 <> 0 AND i % 5 = 0 THEN 'many' END AS like_text,
+               CASE WHEN i % 11 = 0 THEN 'broken ' || comment_id END AS corrupt
+        FROM (SELECT *, CAST(comment_id AS BIGINT) AS i FROM raw)"""),
+    "src_stream_schema_versions": """
+        SELECT CAST(v AS BIGINT) AS version, field, type, declared FROM (VALUES
+            (0, 'comment_id', 'string', TRUE), (0, 'video_id', 'string', TRUE), (0, 'channel_handle', 'string', TRUE),
+            (0, 'author_name', 'string', TRUE), (0, 'text', 'string', TRUE), (0, 'like_count', 'bigint', TRUE),
+            (0, 'reply_count', 'int', TRUE), (0, 'published_at', 'string', TRUE), (0, 'is_reply', 'boolean', TRUE),
+            (0, 'parent_id', 'string', TRUE), (0, 'video_title', 'string', TRUE), (0, 'video_url', 'string', TRUE),
+            (0, 'ingested_at', 'string', TRUE)) AS t (v, field, type, declared)
+        UNION ALL SELECT DISTINCT 1, field, type, FALSE FROM (
+            SELECT CASE WHEN event_id % 11 = 0 THEN '_corrupt_record' END AS field, 'STRING' AS type FROM events
+            UNION ALL SELECT CASE WHEN event_id % 11 <> 0 AND event_id % 5 = 0 THEN 'like_count' END, 'STRING' FROM events
+            UNION ALL SELECT CASE WHEN event_id % 11 <> 0 AND event_id % 7 = 0 THEN 'pinned' END, 'OBJECT<by: STRING>' FROM events)
+        WHERE field IS NOT NULL""",
+    "sink_document_files": f"""
+        SELECT channel_slug || '/' || file_name AS file, string_agg(body, chr(10) ORDER BY part) AS body
+        FROM ({_DOCUMENTS}) GROUP BY ALL""",
+    "sink_comment_file_per_video": _with(["raw"], "SELECT video_id || '.json' AS file, comment_id, text, parent_id FROM raw"),
+    "sink_batch_files": _with(["uploads"], """
+        SELECT ltrim(channel_handle, '@') || '/batch_' || CASE WHEN n < 1000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END
+                   || '.json' AS file,
+               string_agg(video_id, ',' ORDER BY published_at DESC, md5(video_id)) AS video_ids
+        FROM (SELECT *, (row_number() OVER (PARTITION BY channel_handle ORDER BY published_at DESC, md5(video_id)) - 1) // 50 + 1 AS n
+              FROM uploads) GROUP BY channel_handle, n"""),
+    "limit_newest_file_order": _with(["uploads"], """
+        SELECT video_id, channel_handle, title, published_at, video_url FROM
+            (SELECT *, CAST(substring(video_id, 4) AS BIGINT) AS i FROM uploads)
+        QUALIFY row_number() OVER (PARTITION BY channel_handle ORDER BY i % 13, i DESC) <= 7"""),
+    "dq_stream_quarantine": _with(["unclean"], """
+        SELECT CASE WHEN comment_id IS NULL THEN 'quarantine' ELSE 'kept' END AS went_to, comment_id, video_id, author_name,
+               replace(replace(published_at, 'T', ' '), 'Z', '') AS published_at,
+               CASE WHEN comment_id IS NULL THEN 'valid_comment_id' ELSE '' END AS violated
+        FROM unclean WHERE length(text) > 0"""),
+}
 _SQL["r_bm25_topk_relanded"] = _SQL["r_bm25_index_topk_relanded"] = _with(["unclean"], f"""
         , docs AS (SELECT *, list_filter({_TOKENS}, lambda t: t <> '') AS toks FROM
                    (SELECT text, video_title AS title FROM unclean UNION ALL SELECT text, video_title FROM unclean)),

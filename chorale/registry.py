@@ -18,8 +18,8 @@ from chorale.plans import analyst, dashboards
 from chorale.plans.pipeline import Params, Run, run_pipeline
 from chorale.schemas import COMMENT_FIELDS
 from chorale.session import materialise, pin_session, scratch_dir, use_scratch
-from chorale.sources import landed, sinks
-from chorale.streaming import layers
+from chorale.sources import landed, named_files, sinks
+from chorale.streaming import layers, rescue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +123,41 @@ def _(spark, sf):
     return spark.read.parquet(_stream_raw(spark, sf, None)).select(*COMMENT_FIELDS)
 
 
+def _odd_lines(spark: SparkSession, sf: str) -> str:
+    """Comment records of which some have a field nobody declared, some a like count in words, and some are no JSON."""
+    c = fx.landed_comments(spark, sf)
+    i = F.col("comment_id").cast("bigint")
+    rest = [F.col(n) for n in COMMENT_FIELDS if n != "like_count"]
+    pinned = F.when(i % 7 == 0, F.struct(F.col("author_name").alias("by"))).alias("pinned")
+    line = F.when(i % 11 == 0, F.concat(F.lit("broken "), "comment_id")).when(
+        i % 5 == 0, F.to_json(F.struct(*rest, F.lit("many").alias("like_count"), pinned))).otherwise(
+        F.to_json(F.struct(*rest, "like_count", pinned)))
+    path = scratch_dir(spark, "lines")
+    rows = c.select(F.concat(F.lit("part-"), (i % 6).cast("string"), F.lit(".json")).alias("file"), i.alias("i"), line.alias("body"))
+    named_files.write_named_text(rows, path, ["i"])
+    return path
+
+
+@query("src_stream_rescued")
+def _(spark, sf):
+    """Nothing of an odd record is lost: undeclared and mistyped fields and broken lines are in the column for them."""
+    raw, schema_at = scratch_dir(spark, "raw"), scratch_dir(spark, "schema")
+    rescue.run_raw_rescued(spark, _odd_lines(spark, sf), raw, scratch_dir(spark, "checkpoint"), schema_at, max_files=4)
+    lost = lambda path: F.get_json_object("_rescued", path)
+    return spark.read.parquet(raw).select(
+        "comment_id", "like_count", "text", lost("$.pinned.by").alias("pinned_by"), lost("$.like_count").alias("like_text"),
+        lost("$._corrupt_record").alias("corrupt"))
+
+
+@query("src_stream_schema_versions")
+def _(spark, sf):
+    """The declared fields as version 0, those the stream met as version 1; a second run over nothing new adds none."""
+    land, raw, checkpoint, schema_at = _odd_lines(spark, sf), *(scratch_dir(spark, n) for n in ("raw", "checkpoint", "schema"))
+    for _run in range(2):
+        rescue.run_raw_rescued(spark, land, raw, checkpoint, schema_at)
+    return rescue.schema_versions(spark, schema_at)
+
+
 @query("bronze_raw_comments")
 def _(spark, sf):
     """The raw table after several micro-batches, with its stamp reduced to "is set"."""
@@ -196,6 +231,31 @@ def _(spark, sf):
     )
 
 
+@query("sink_document_files")
+def _(spark, sf):
+    """Documents as files of their own names, read back by their places."""
+    path = scratch_dir(spark, "documents")
+    sinks.write_document_files(_documents(spark, sf), path)
+    return named_files.read_named_text(spark, path)
+
+
+@query("sink_comment_file_per_video")
+def _(spark, sf):
+    path = scratch_dir(spark, "comments")
+    sinks.write_comment_file_per_video(joins.attach_videos(_flat(spark, sf), _video_dim(spark, sf)), path)
+    lines = spark.read.schema("comment_id string, text string, parent_id string").json(path)
+    return lines.select(F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("file"), "comment_id", "text", "parent_id")
+
+
+@query("sink_batch_files")
+def _(spark, sf):
+    path = scratch_dir(spark, "batches")
+    sinks.write_batch_files(fx.video_records(spark, sf), path)
+    files = named_files.read_named_text(spark, path, ".json")
+    ids = F.transform(F.split("body", "\n"), lambda x: F.get_json_object(x, "$.video_id"))
+    return files.select("file", F.array_join(ids, ",").alias("video_ids"))
+
+
 @query("catalog_schemas")
 def _(spark, sf):
     """The four layer schemas under a name of this call, holding the tables of this run: what is there, and how many rows."""
@@ -345,6 +405,17 @@ def _(spark, sf):
     return landing.newest_videos(_video_rows(spark, sf), VIDEO_LIMIT)
 
 
+@query("limit_newest_file_order")
+def _(spark, sf):
+    """The first videos of each channel in the order of the landed files and their lines."""
+    records, path = fx.video_records(spark, sf), scratch_dir(spark, "videos")
+    i = F.substring("video_id", 4, 20).cast("bigint")
+    file = F.concat(tx.channel_slug(F.col("channel_handle")), F.lit("/batch_"), F.lpad((i % 13).cast("string"), 4, "0"), F.lit(".json"))
+    line = F.to_json(F.struct(*[c for c in records.columns if c != "published_at"]))
+    named_files.write_named_text(records.select(file.alias("file"), (-i).alias("i"), line.alias("body")), path, ["i"])
+    return landing.first_videos(landed.read_video_records_in_order(spark, path), VIDEO_LIMIT)
+
+
 @query("batch_of_50")
 def _(spark, sf):
     return landing.batch_videos(_video_rows(spark, sf)).select("channel_handle", "video_id", "batch")
@@ -455,9 +526,9 @@ def _(spark, sf):
 
 @query("run_repeated")
 def _(spark, sf):
-    """Runs that break off after steps that leave something behind, the last of them repeated, then one with nothing new."""
+    """Runs that break off after each step in turn, the last of them repeated, then one with nothing new."""
     places = _landed(spark, sf, fx.thread_pages(spark, sf))
-    names = ["pages", "landing", "raw", "scored", "gold"]
+    names = [name for name, _ in Run(spark, *places, Params(0)).steps()]
     for run_id, last in enumerate(names, start=1):
         for name, step in Run(spark, *places, Params(run_id)).steps():
             step()
@@ -467,6 +538,38 @@ def _(spark, sf):
     return _gold_rows(run_pipeline(spark, *places, Params(len(names) + 1)).gold)
 
 
+def _in_parts(spark: SparkSession, sf: str, limit: int = 0) -> tuple[DataFrame, str]:
+    """Small pages that land in three parts by their numbers, one run each (the second breaks off in the middle), and last
+    all of them again with a thread more; gives the metrics and the folder of the runs."""
+    first, again = fx.thread_pages(spark, sf, SMALL_PAGE), fx.thread_pages(spark, sf, SMALL_PAGE, later=True)
+    listed, pages_dir, out = _landed(spark, sf, first.filter("page_no % 3 = 1"))
+    run_pipeline(spark, listed, pages_dir, out, Params(1, max_comments_per_video=limit))
+    sinks.write_thread_pages(first.filter("page_no % 3 = 2"), f"{pages_dir}/more2")
+    for name, step in Run(spark, listed, pages_dir, out, Params(2, max_comments_per_video=limit)).steps():
+        step()
+        if name == "landing":
+            break
+    sinks.write_thread_pages(first.filter("page_no % 3 = 0"), f"{pages_dir}/more3")
+    run_pipeline(spark, listed, pages_dir, out, Params(3, max_comments_per_video=limit))
+    sinks.write_thread_pages(again, f"{pages_dir}/more4")
+    return run_pipeline(spark, listed, pages_dir, out, Params(4, max_comments_per_video=limit)).gold, out
+
+
+@query("run_pages_in_parts")
+def _(spark, sf):
+    """Comments of pages that landed bit by bit and again: each counts once."""
+    out = _in_parts(spark, sf)[1]
+    return spark.read.parquet(f"{out}/raw").select("comment_id", "video_id", "text", "is_reply", "parent_id", "video_title")
+
+
+@query("run_documents_in_parts")
+def _(spark, sf):
+    """The document files after these runs: those of the newest landings."""
+    return named_files.read_named_text(spark, f"{_in_parts(spark, sf)[1]}/documents").select(
+        F.substring_index("file", "/", -1).alias("file_name"),
+        F.size(F.split("body", "\n")).cast("bigint").alias("n_lines"), (F.size(F.split("body", "\n  -> ")) - 1).cast("bigint").alias("replies"))
+
+
 @query("run_documents_repeated")
 def _(spark, sf):
     """The documents of a run whose first attempt broke off behind them, pages landed twice meanwhile."""
@@ -476,11 +579,9 @@ def _(spark, sf):
         if name == "documents":
             break
     run_pipeline(spark, *places, Params(2))
-    files = spark.read.option("recursiveFileLookup", "true").text(f"{places[2]}/documents/run=2", wholetext=True)
-    name = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "file_name=([^/]+)", 1))
-    lines = F.size(F.split(F.regexp_replace("value", r"\n\z", ""), "\n"))
-    replies = F.size(F.split("value", "\n  -> ")) - 1
-    return files.groupBy(name.alias("file_name")).agg(F.sum(lines).cast("bigint").alias("n_lines"), F.sum(replies).cast("bigint").alias("replies"))
+    files = named_files.read_named_text(spark, f"{places[2]}/documents")
+    lines, replies = F.size(F.split("body", "\n")), F.size(F.split("body", "\n  -> ")) - 1
+    return files.select(F.substring_index("file", "/", -1).alias("file_name"), lines.cast("bigint").alias("n_lines"), replies.cast("bigint").alias("replies"))
 
 
 @query("run_outcomes")
@@ -567,6 +668,22 @@ def _(spark, sf):
     return n.select(*[F.lit(v).cast("bigint").alias(k) for k, v in {**seen.get, "kept_rows": left}.items()])
 
 
+@query("dq_stream_quarantine")
+def _(spark, sf):
+    """The cleaned stream and what a ``drop`` expectation takes out of it, over several micro-batches."""
+    lost = F.when(F.col("like_count") > 0, F.col("comment_id"))
+    rows = fx.landed_comments(spark, sf).withColumn("comment_id", lost)
+    land, raw, clean, bad = (scratch_dir(spark, n) for n in ("landing", "raw", "silver", "quarantine"))
+    sinks.write_comment_records(rows, land, spread=F.floor(F.col("slot") / 10_000))
+    layers.run_raw(spark, land, raw, scratch_dir(spark, "checkpoint"), 5)
+    rules = (quality.Expectation("valid_comment_id", quality.VALID_COMMENT_ID.predicate, "drop"), quality.HAS_TEXT)
+    layers.run_silver_split(spark, raw, clean, bad, scratch_dir(spark, "checkpoint"), expectations=rules, max_files=7)
+    columns = ["comment_id", "video_id", "author_name", "published_at"]
+    kept = spark.read.parquet(clean).select(F.lit("kept").alias("went_to"), *columns, F.lit("").alias("violated"))
+    gone = spark.read.parquet(bad).select(F.lit("quarantine").alias("went_to"), *columns, F.array_join("violated", ",").alias("violated"))
+    return kept.unionByName(gone)
+
+
 @query("dq_not_empty")
 def _(spark, sf):
     land = _land(spark, sf)

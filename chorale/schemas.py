@@ -33,6 +33,11 @@ THREAD_PAGE_JSON = (
     f" replies: struct<comments: {REPLY_LIST}>>>,"
     " nextPageToken: string>"
 )
+# The comments of a parsed page, threads one after the other.
+PAGE_COMMENTS = (
+    "array<struct<comment_id: string, author_name: string, text: string, like_count: bigint, reply_count: int, "
+    "published_at: string, parent_id: string, item_pos: int, reply_pos: int>>"
+)
 # Enough of a page to count its comments: texts are skipped while parsing.
 THREAD_PAGE_SIZES_JSON = (
     "struct<items: array<struct<id: string, replies: struct<comments: array<struct<id: string>>>>>>"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chorale.functions.text import channel_slug
 from chorale.operators.landing import batch_videos
 from chorale.schemas import COMMENT_FIELDS
+from chorale.sources.named_files import write_named_text
 
 ROWS_PER_FILE = 1_000_000
 ID_SPREAD = 64
@@ -71,6 +72,31 @@ def write_documents(parts: DataFrame, run_dir: str) -> None:
     )
 
 
+def write_document_files(parts: DataFrame, path: str) -> None:
+    """Documents as ``<channel>/<video>_<title>.txt``, each replaced as a whole; other files below ``path`` stay."""
+    file = F.concat_ws("/", "channel_slug", "file_name")
+    write_named_text(parts.select(file.alias("file"), "part", "body"), path, ["part"])
+
+
+def write_comment_file_per_video(comments: DataFrame, path: str) -> None:
+    """Comment records as ``<video>.json``, a line each, in the order of the pages; NULLs are written out."""
+    rows, _ = _records(comments, None)
+    order = ["page_no", "page_pos"] if "page_no" in comments.columns else ["published_at", "comment_id"]
+    line = F.to_json(F.struct(*COMMENT_FIELDS), {"ignoreNullFields": "false"})
+    write_named_text(rows.select(F.concat("video_id", F.lit(".json")).alias("file"), *order, line.alias("body")), path, order)
+
+
+def write_batch_files(records: DataFrame, path: str) -> None:
+    """Video records as ``<channel>/batch_0001.json`` ..., 50 lines each, newest first (needs ``published_at``)."""
+    batched = batch_videos(records)
+    file = F.concat(channel_slug(F.col("channel_handle")), F.lit("/"), F.col("batch"), F.lit(".json"))
+    kept = [c for c in records.columns if c != "published_at"]
+    line = F.to_json(F.struct(*kept), {"ignoreNullFields": "false"})
+    falling = F.coalesce(F.translate("published_at", "0123456789", "9876543210"), F.lit("~")).alias("falling")
+    rows = batched.select(file.alias("file"), falling, F.md5("video_id").alias("tie"), line.alias("body"))
+    write_named_text(rows, path, ["falling", "tie", "body"])
+
+
 def write_clustered(df: DataFrame, path: str, keys: list[str], spread: str, mode: str = "overwrite") -> None:
     """Parquet laid out by ``keys``: range-partitioned and sorted, so min/max statistics skip files.
 

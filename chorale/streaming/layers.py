@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from chorale import schemas
 from chorale.functions.sentiment import Scorer
 from chorale.operators.channels import channel_bucket
 from chorale.operators.gold import finish_metrics, merge_partials, partial_metrics, score_top_level
-from chorale.operators.quality import SILVER_EXPECTATIONS, Expectation, apply_expectations
+from chorale.operators.quality import SILVER_EXPECTATIONS, Expectation, apply_expectations, quarantine
 from chorale.operators.silver import clean_comments
 from chorale.schemas import GOLD_KEYS
 from chorale.session import exists, names_in, remove
@@ -60,11 +61,20 @@ def append_available(df: DataFrame, path: str, checkpoint: str, partition_by: li
 
     The query object keeps only its latest reports: as many as one run has, and they are gathered while it runs.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.trigger(availableNow=True).start(path)
+    keep_reports(df.sparkSession)
+    return run_to_end(writer.trigger(availableNow=True).start(path))
+
+
+def keep_reports(spark: SparkSession) -> None:
+    """Let a query started from now on keep the reports of all its micro-batches."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
+
+
+def run_to_end(query: StreamingQuery) -> list[dict]:
+    """Wait until a query has read what is available; gives one report per micro-batch."""
     seen: dict[int, dict] = {}
     finished = False
     while not finished:
@@ -109,6 +119,37 @@ def run_silver(
     return append_available(placed, silver, checkpoint, ["channel_bucket"])
 
 
+def run_silver_split(
+    spark: SparkSession,
+    raw: str,
+    silver: str,
+    quarantined: str,
+    checkpoint: str,
+    on_bad_timestamp: str = "raise",
+    expectations: tuple[Expectation, ...] = SILVER_EXPECTATIONS,
+    max_files: int | None = None,
+) -> list[dict]:
+    """Cleaned comments, and the rows that a ``drop`` expectation takes out of them in a table of their own, with the names of
+    the expectations they break (``violated``).
+
+    A micro-batch is written to both tables, each time into the directory of its number: repeated after a failure, it
+    replaces what the first attempt has left, so every row is in one of the tables, once.  Counts are reported as by ``run_silver``.
+    Tables written this way have no stream log of their own; the next layer reads them as plain files (``read_table_stream``).
+    """
+    dropping = [e for e in expectations if e.action == "drop"]
+    cleaned = clean_comments(read_table_stream(spark, raw, schemas.RAW_COMMENTS + BY_CHANNEL, max_files), on_bad_timestamp)
+    watched = apply_expectations(cleaned, [e for e in expectations if e.action != "drop"])
+    counted = watched.observe(SILVER_METRICS, F.count(F.lit(1)).alias("rows"), *[F.count_if(~e.holds).alias(e.name) for e in expectations])
+    placed = counted.withColumn("channel_bucket", channel_bucket(F.col("channel_handle")))
+
+    def put(batch: DataFrame, number: int) -> None:
+        for rows, path in ((apply_expectations(batch, dropping), silver), (quarantine(batch, dropping), quarantined)):
+            rows.write.mode("overwrite").partitionBy("channel_bucket").parquet(f"{path}/batch={number}")
+
+    keep_reports(spark)
+    return run_to_end(placed.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def expectation_counts(progress: list[dict]) -> dict[str, int]:
     """Violations per expectation (and ``rows``), summed over micro-batches."""
     totals: dict[str, int] = {}

@@ -158,7 +158,8 @@ def test_pipeline_two_runs_equal_batch(spark, sf, tmp_path):
     assert result.silver.count() == silver.clean_comments(raw).count()
     assert result.checks.filter("NOT passed").count() == 0
     assert result.expectations["valid_comment_id"] == 0
-    assert (tmp_path / "out/documents/run=1").is_dir()
+    names = [f"{r['video_id']}_Video_{r['video_id'][3:]}_intro_tips.txt" for r in dim.collect()]
+    assert sorted(f.name for f in (tmp_path / "out/documents").rglob("*.txt")) == sorted(names)
 
 
 def test_pipeline_limits(spark, sf, tmp_path):
