@@ -12,7 +12,8 @@ follow from the decoded bytes of the tokens, counted from the last cut.  A text
 end of a token, of A or B, closes exactly one.
 
 *Units*: neither tokenizer joins over a single space between two other characters, so a text is cut there, and every
-different unit is encoded and aligned once per worker (a bounded table).
+different unit is encoded once per worker (a bounded table).  The ids of both are written, document by document; links,
+groups and counts are made of them, in numpy, a batch of documents at a time.
 
 *Counts*: a pair of ids counts once per document.  Tasks add up what they have seen before it is shuffled; the pairs are a
 table over the two vocabularies, written once.  It goes to the workers if it has at most ``lookup_pairs`` rows; beyond
@@ -27,24 +28,26 @@ from __future__ import annotations
 
 import json
 import re
-import uuid
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import row_key, small_batches, text_chunks, tokenizer_path, worker_state
+from chorale.llm.common import small_batches, text_chunks, tokenizer_path, worker_state
 from chorale.session import materialise
 
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
-#: Units and links remembered by a worker; the table is emptied beyond that.
-MAX_UNITS, MAX_LINKS, MAX_UNIT_CHARS = 1_000_000, 8_000_000, 64
+#: Units and tokens (of each side) remembered by a worker; the table is emptied beyond that.
+MAX_UNITS, MAX_TOKENS, MAX_UNIT_CHARS = 1_500_000, 10_000_000, 64
 #: Units encoded in one call.
-UNITS_A_CALL = 4000
+UNITS_A_CALL = 1000
+#: Tokens of A whose links are made together; a longer document by itself.
+TOKENS_A_CHUNK = 1_000_000
 #: Pairs a task holds before it hands them on.
 HELD_PAIRS = 2_000_000
 #: Rows of the table of pairs that may go to the workers: 17 bytes each.
@@ -120,25 +123,22 @@ class Aligner:
             raise ValueError("pieces with a space mark behind another character are not handled")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b_is_byte[i] else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in v], dtype=np.int64) for v in (self.a_bytes, self.b_bytes))
-        self.n_b = n
+        self.n_a, self.n_b = len(self.a_bytes), n
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.count = 0
-        self.groups: list[str | None] = []  # made when they are asked for
-        self.tokens: list[tuple | None] = []
-        self.figures = np.zeros((1024, 4), dtype=np.int64)  # tokens of A and B, groups, links; -1 where bytes are lost
-        self.codes = np.zeros(4096, dtype=np.int64)  # a * n_b + b of the links of all units
-        self.ends = np.zeros(1025, dtype=np.int64)  # where the links of a unit end; one row ahead
-        self.scores = np.zeros((0, 2), dtype=np.int64)
-        self.scored_by = None
-
-    def _align(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """figures and link codes (unit by unit) of units that may stand in one text, and what their groups are made of."""
+        #: Tokens of all units, where each unit's end (one row ahead), and whether a unit loses bytes.
+        self.tokens = [np.zeros(4096, dtype=np.int32), np.zeros(4096, dtype=np.int32)]
+        self.ends = [np.zeros(1025, dtype=np.int64), np.zeros(1025, dtype=np.int64)]
+        self.lost = np.zeros(1024, dtype=bool)
+
+    def _encode(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+        """ids of A and B, how many each unit has, and which units lose bytes; the units may stand in one text."""
         text = " " + " ".join(units)
         raw = text.encode()
-        size = np.array([1 + len(u.encode()) for u in units], dtype=np.int64)
+        n, size = len(units), np.array([1 + len(u.encode()) for u in units], dtype=np.int64)
         unit_end = np.cumsum(size)
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
         byte_at = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800).astype(int) + (points >= 0x10000))])
@@ -152,71 +152,43 @@ class Aligner:
         b, b_end = np.fromiter(chain.from_iterable(spans), dtype=np.int64, count=2 * len(spans)).reshape(-1, 2).T
         b_end = b_end + 1  # the space that B puts in front is the first byte
         # Bytes of one character: the last of them carries its span.
-        is_byte = self.b_is_byte[b]
-        width = np.diff(np.concatenate([[0], b_end]))
+        is_byte, width = self.b_is_byte[b], np.diff(b_end, prepend=0)
         shared = np.append(is_byte[:-1] & is_byte[1:] & (width[:-1] == 0), False) if len(b) else np.zeros(0, dtype=bool)
         b_end = refined_ends(np.concatenate([[0], b_end[:-1]]), b_end, self.b_size[b], shared)
 
-        n = len(units)
-        unit = lambda ends: np.minimum(np.searchsorted(unit_end, ends, side="left"), n - 1)
-        a_unit, b_unit = unit(a_end), unit(b_end)
-        good = np.ones(n, dtype=bool)
-        for ids, of, table in ((a, a_unit, self.a_bytes), (b, b_unit, self.b_bytes)):
+        lost, counts = np.zeros(n, dtype=bool), []
+        for ids, end, table, sizes in ((a, a_end, self.a_bytes, self.a_size), (b, b_end, self.b_bytes, self.b_size)):
+            of = np.minimum(np.searchsorted(unit_end, end, side="left"), n - 1)
+            counts.append(np.bincount(of, minlength=n))
             parts = [table[i] for i in ids.tolist()]
-            if b"".join(parts) == raw:
+            if b"".join(parts) == raw and np.array_equal(np.cumsum(sizes[ids]), end):
                 continue
-            bounds = np.searchsorted(of, np.arange(n + 1))
+            bounds = np.concatenate([[0], np.cumsum(counts[-1])])
             for k in range(n):
-                good[k] &= b"".join(parts[bounds[k]:bounds[k + 1]]) == raw[unit_end[k] - size[k]:unit_end[k]]
-        if not good.all():
-            keep_a, keep_b = good[a_unit], good[b_unit]
-            a, a_end, a_unit, b, b_end, b_unit = a[keep_a], a_end[keep_a], a_unit[keep_a], b[keep_b], b_end[keep_b], b_unit[keep_b]
-        closing, common = _merged(a_end, b_end)
-        codes = a[np.searchsorted(a_end, closing)] * self.n_b + b[np.searchsorted(b_end, closing)] if len(closing) else closing
-        group_unit = unit(common)
-        figures = np.stack([np.bincount(v, minlength=n) for v in (a_unit, b_unit, group_unit, unit(closing))], axis=1)
-        figures[~good] = -1
-        to_a, to_b = np.searchsorted(a_end, common, side="right"), np.searchsorted(b_end, common, side="right")
-        return figures, codes, (a, b, to_a, to_b, np.searchsorted(group_unit, np.arange(n), side="right"))
-
-    @staticmethod
-    def _spelled(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray, to: np.ndarray) -> list[str]:
-        """The groups of each unit: ids of A and B up to each cut, and how many cuts there are up to each unit."""
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        each, at_a, at_b = [], 0, 0
-        for x, y in zip(to_a.tolist(), to_b.tolist()):
-            each.append(f"{sa[at_a] if x == at_a + 1 else ','.join(sa[at_a:x])}|{sb[at_b] if y == at_b + 1 else ','.join(sb[at_b:y])}")
-            at_a, at_b = x, y
-        to = to.tolist()
-        return [";".join(each[s:e]) for s, e in zip([0, *to], to)]
-
-    def spell(self) -> list[str]:
-        """The groups of all units in the table."""
-        for tokens in self.tokens:
-            self.groups += self._spelled(*tokens)
-        self.tokens = []
-        return self.groups
-
-    def _remember(self, units: list[str], figures: np.ndarray, codes: np.ndarray, tokens: tuple) -> None:
-        n, held = self.count, int(self.ends[self.count])
-        while len(self.figures) < n + len(units):
-            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        while len(self.codes) < held + len(codes):
-            self.codes = np.concatenate([self.codes, np.zeros_like(self.codes)])
-        self.index.update(zip(units, range(n, n + len(units))))
-        self.count += len(units)
-        self.tokens.append(tuple(v.astype(np.int32) for v in tokens))
-        self.figures[n:n + len(units)] = figures
-        self.codes[held:held + len(codes)] = codes
-        self.ends[n + 1:n + len(units) + 1] = held + np.cumsum(np.maximum(figures[:, 3], 0))
-
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the units of all texts, text by text, and where each text's begin (with the end of the last)."""
+                lost[k] |= b"".join(parts[bounds[k]:bounds[k + 1]]) != raw[unit_end[k] - size[k]:unit_end[k]]
+        return [a, b], counts, lost
+
+    def _remember(self, units: list[str], ids: list[np.ndarray], counts: list[np.ndarray], lost: np.ndarray) -> None:
+        n, to = self.count, self.count + len(units)
+        while len(self.lost) < to:
+            self.lost = np.concatenate([self.lost, np.zeros_like(self.lost)])
+            self.ends = [np.concatenate([e, np.zeros_like(e)]) for e in self.ends]
+        for side in (0, 1):
+            held = int(self.ends[side][n])
+            while len(self.tokens[side]) < held + len(ids[side]):
+                self.tokens[side] = np.concatenate([self.tokens[side], np.zeros_like(self.tokens[side])])
+            self.tokens[side][held:held + len(ids[side])] = ids[side]
+            self.ends[side][n + 1:to + 1] = held + np.cumsum(counts[side])
+        self.lost[n:to] = lost
+        self.index.update(zip(units, range(n, to)))
+        self.count = to
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: the ids of all texts, text by text, and where each text's begin (with the end of the last)."""
         parts = [units_of(t) if t else [] for t in texts]
         different = set().union(*parts)
         new = different - self.index.keys()
-        if self.count + len(new) > MAX_UNITS or self.ends[self.count] > MAX_LINKS:
+        if self.count + len(new) > MAX_UNITS or max(e[self.count] for e in self.ends) > MAX_TOKENS:
             self.clear()
             new = different
         plain, odd = [], []
@@ -224,55 +196,68 @@ class Aligner:
             (odd if _odd(u) else plain).append(u)
         for at in range(0, len(plain), UNITS_A_CALL):
             some = plain[at:at + UNITS_A_CALL]
-            self._remember(some, *self._align(some))
+            self._remember(some, *self._encode(some))
         for u in odd:
-            self._remember([u], *self._align([u]))
+            self._remember([u], *self._encode([u]))
         numbers = np.array(list(map(self.index.__getitem__, chain.from_iterable(parts))), dtype=np.int64)
         for u in new:
             if len(u) > MAX_UNIT_CHARS:
                 del self.index[u]  # its place is taken until the table is emptied
-        return numbers, np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-
-    def sums(self, values: np.ndarray, numbers: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Sum of the values of each text's units, none where one of them loses bytes."""
-        total = np.concatenate([np.zeros((1, values.shape[1]), dtype=np.int64), np.cumsum(values[numbers], axis=0)])
-        lost = np.concatenate([[0], np.cumsum(self.figures[numbers, 0] < 0)])
-        out = total[offsets[1:]] - total[offsets[:-1]]
-        out[lost[offsets[1:]] > lost[offsets[:-1]]] = 0
+        text = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
+        bad = np.zeros(len(texts), dtype=bool)
+        bad[text[self.lost[numbers]]] = True
+        keep = ~bad[text]
+        text, numbers = text[keep], numbers[keep]
+        out = []
+        for tokens, ends in zip(self.tokens, self.ends):
+            size = ends[numbers + 1] - ends[numbers]
+            place = np.repeat(ends[numbers + 1] - np.cumsum(size), size) + np.arange(size.sum())
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(text, weights=size, minlength=len(texts)))]).astype(np.int64)
+            out.append((tokens[place], offsets))
         return out
 
-    def links(self, numbers: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+class Links:
+    """Links and groups of a batch of texts, of the ids of both sides and the bytes that each id has."""
+
+    def __init__(self, a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray, a_size: np.ndarray, b_size: np.ndarray):
+        self.a, self.a_at, self.b, self.b_at, self.n = a, a_at, b, b_at, len(a_at) - 1
+        # Ends in the bytes of all texts together: both sides of a text have the same bytes.
+        self.a_end, self.b_end = np.cumsum(a_size[a]), np.cumsum(b_size[b])
+        self.closing, self.common = _merged(self.a_end, self.b_end)
+        self.of_a, self.of_b = np.searchsorted(self.a_end, self.closing), np.searchsorted(self.b_end, self.closing)
+        text_end = np.concatenate([[0], self.a_end])[a_at]
+        # Texts without tokens have no bytes here, so nothing ends in them.
+        self.link_at = np.searchsorted(self.closing, text_end, side="right")
+        self.group_at = np.searchsorted(self.common, text_end, side="right")
+
+    def figures(self) -> list[np.ndarray]:
+        return [np.diff(v) for v in (self.a_at, self.b_at, self.group_at, self.link_at)]
+
+    def codes(self, n_b: int) -> np.ndarray:
+        return self.a[self.of_a].astype(np.int64) * n_b + self.b[self.of_b]
+
+    def pairs(self, n_a: int, n_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """text number, code and number of links of every pair that a text has linked."""
-        n = len(offsets) - 1
-        text = np.repeat(np.arange(n), np.diff(offsets))
-        bad = np.zeros(n, dtype=bool)
-        bad[text[self.figures[numbers, 0] < 0]] = True
-        pairs, times = np.unique(text * np.int64(self.count + 1) + numbers, return_counts=True)
-        text, number = np.divmod(pairs, self.count + 1)
-        ok = ~bad[text]
-        text, number, times = text[ok], number[ok], times[ok]
-        size = self.ends[number + 1] - self.ends[number]
-        place = np.repeat(self.ends[number + 1] - np.cumsum(size), size) + np.arange(size.sum())
-        keys = np.repeat(text, size) * np.int64(len(self.a_bytes) * self.n_b) + self.codes[place]
-        keys, which = np.unique(keys, return_inverse=True)
-        weight = np.bincount(which, weights=np.repeat(times, size), minlength=len(keys)).astype(np.int64)
-        text, code = np.divmod(keys, len(self.a_bytes) * self.n_b)
-        return text, code, weight
-
-    def score(self, name: str, codes: np.ndarray, counts: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """(links with the best count, sum of counts) of every unit in the table."""
-        if self.scored_by != name:
-            self.scored_by, self.scores = name, np.zeros((0, 2), dtype=np.int64)
-        done, n = len(self.scores), self.count
-        if done < n:
-            own = self.codes[self.ends[done]:self.ends[n]]
-            at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
-            known = codes[at] == own if len(codes) else np.zeros(len(own), dtype=bool)
-            values = np.stack([np.where(known, best[at], 0), np.where(known, counts[at], 0)], axis=1) if len(own) else np.zeros((0, 2))
-            total = np.concatenate([np.zeros((1, 2), dtype=np.int64), np.cumsum(values, axis=0)]).astype(np.int64)
-            ends = self.ends[done:n + 1] - self.ends[done]
-            self.scores = np.concatenate([self.scores, total[ends[1:]] - total[ends[:-1]]])
-        return self.scores
+        text = np.repeat(np.arange(self.n), np.diff(self.link_at))
+        keys = text * np.int64(n_a * n_b) + self.codes(n_b)
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else keys
+        text, code = np.divmod(keys[first], n_a * n_b)
+        return text, code, np.diff(np.append(first, len(keys)))
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values)])[self.link_at]
+        return np.diff(total)
+
+    def groups(self) -> pa.Array:
+        """``a1,a2|b1;a3|b2,b3`` for each text, empty without tokens."""
+        sides = []
+        for ids, end in ((self.a, self.a_end), (self.b, self.b_end)):
+            to = np.concatenate([[0], np.searchsorted(end, self.common, side="right")]).astype(np.int32)
+            sides.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(to), pc.cast(pa.array(ids), pa.string())), ","))
+        each = pc.binary_join_element_wise(*sides, "|")
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(self.group_at.astype(np.int32)), each), ";")
 
 
 def _add(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,9 +277,47 @@ class Alignment:
         self.aligner = lambda: worker_state(name, lambda: Aligner(vocabulary, model))
         self.lookup_pairs = lookup_pairs
 
-    def pair_counts(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """a_id, b_id, n_docs (documents that hold the pair linked), best (the highest count of its a_id); a written table."""
+    def encode(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """doc_id, row (a number of the row), a_ids, b_ids (none where bytes are lost); a written table."""
         make = self.aligner
+        small_batches(docs.sparkSession)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            aligner = make()
+            for batch in batches:
+                at = 0
+                for texts in text_chunks(batch.column(2)):
+                    sides = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                             for ids, offsets in aligner.encode(texts.to_pylist())]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, len(texts)) for i in (0, 1)), *sides],
+                                                     ["doc_id", "row", "a_ids", "b_ids"])
+                    at += len(texts)
+
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+        return materialise(rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, row bigint, a_ids array<int>, b_ids array<int>"),
+                           "alignment-ids")
+
+    def _batches(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Links]]:
+        """Batches cut to about TOKENS_A_CHUNK tokens, with their links."""
+        aligner = self.aligner()
+        for batch in batches:
+            size = np.cumsum(pc.list_value_length(batch.column("a_ids")).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(size.searchsorted((size[at - 1] if at else 0) + TOKENS_A_CHUNK, side="right")))
+                some = batch.slice(at, to - at)
+                sides = []
+                for name in ("a_ids", "b_ids"):
+                    column = some.column(name)
+                    offsets = column.offsets.to_numpy().astype(np.int64)
+                    sides += [column.flatten().to_numpy(), offsets - offsets[0]]
+                yield some, Links(*sides, aligner.a_size, aligner.b_size)
+                at = to
+
+    def pair_counts(self, encoded: DataFrame) -> DataFrame:
+        """a_id, b_id, n_docs (documents that hold the pair linked), best (the highest count of its a_id); a written table."""
+        make, cut = self.aligner, self._batches
+        small_batches(encoded.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner, codes, counts, fresh = make(), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), []
@@ -303,104 +326,82 @@ class Alignment:
                 a, b = np.divmod(codes, aligner.n_b)
                 return pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(counts)], ["a_id", "b_id", "n_docs"])
 
-            for batch in batches:
-                for texts in text_chunks(batch.column(0)):
-                    fresh.append(aligner.links(*aligner.read(texts.to_pylist()))[1])
-                    if sum(map(len, fresh)) > HELD_PAIRS:
-                        every = np.concatenate(fresh)
-                        codes, counts = _add(np.concatenate([codes, every]), np.concatenate([counts, np.ones(len(every))]))
-                        fresh = []
-                        if len(codes) > HELD_PAIRS:
-                            yield rows()
-                            codes, counts = codes[:0], counts[:0]
+            for _, links in cut(batches):
+                fresh.append(links.pairs(aligner.n_a, aligner.n_b)[1])
+                if sum(map(len, fresh)) > HELD_PAIRS:
+                    every = np.concatenate(fresh)
+                    codes, counts = _add(np.concatenate([codes, every]), np.concatenate([counts, np.ones(len(every))]))
+                    fresh = []
+                    if len(codes) > HELD_PAIRS:
+                        yield rows()
+                        codes, counts = codes[:0], counts[:0]
             every = np.concatenate([*fresh, codes[:0]])
             codes, counts = _add(np.concatenate([codes, every]), np.concatenate([counts, np.ones(len(every))]))
             yield rows()
 
-        small_batches(docs.sparkSession)
-        seen = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "a_id int, b_id int, n_docs bigint")
+        seen = encoded.select("a_ids", "b_ids").mapInArrow(run, "a_id int, b_id int, n_docs bigint")
         pairs = materialise(seen.groupBy("a_id", "b_id").agg(F.sum("n_docs").alias("n_docs")), "alignment-pairs")
         best = pairs.groupBy("a_id").agg(F.max("n_docs").alias("most"))
         return materialise(pairs.join(best, "a_id").select("a_id", "b_id", "n_docs", (F.col("n_docs") == F.col("most")).alias("best")),
                            "alignment-best")
 
-    def align(self, docs: DataFrame, pairs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def align(self, encoded: DataFrame, pairs: DataFrame) -> DataFrame:
         """doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is the best of their A id), count_sum (of the counts
         of all links), groups (``a1,a2|b1;a3|b2,b3``)."""
-        spark, make = docs.sparkSession, self.aligner
-        small_batches(spark)
-        kind = dict(docs.dtypes)[id_col]
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        looked_up = pairs.count() <= self.lookup_pairs
+        make, cut = self.aligner, self._batches
+        small_batches(encoded.sparkSession)
         table = None
-        if looked_up:  # bounded: 17 bytes for each of at most lookup_pairs rows
+        if pairs.count() <= self.lookup_pairs:  # bounded: 17 bytes for each of at most lookup_pairs rows
             t = pairs.toArrow()
             a, b, n, best = (t.column(c).to_numpy() for c in ("a_id", "b_id", "n_docs", "best"))
             by = np.lexsort((b, a))
-            table = spark.sparkContext.broadcast((a[by], b[by], n[by], best[by]))
-        name = uuid.uuid4().hex
+            table = encoded.sparkSession.sparkContext.broadcast((a[by], b[by], n[by], best[by]))
+        names = ["doc_id", "row", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner = make()
             if table is not None:
                 a, b, n, best = table.value
-                codes = a.astype(np.int64) * aligner.n_b + b
-            for batch in batches:
-                at = 0
-                for texts in text_chunks(batch.column(1)):
-                    numbers, offsets = aligner.read(texts.to_pylist())
-                    figures = aligner.sums(aligner.figures, numbers, offsets)
-                    scores = np.zeros((len(texts), 2), dtype=np.int64)
-                    if table is not None:
-                        scores = aligner.sums(aligner.score(name, codes, n, best), numbers, offsets)
-                    groups = aligner.spell()
-                    joined = [";".join([groups[i] for i in numbers[s:e].tolist()]) if k else ""
-                              for s, e, k in zip(offsets[:-1].tolist(), offsets[1:].tolist(), figures[:, 0].tolist())]
-                    values = [pa.array(np.ascontiguousarray(v)) for v in (*figures.T, *scores.T)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), *values, pa.array(joined, pa.string())], names)
-                    at += len(texts)
+                known = a.astype(np.int64) * aligner.n_b + b
+            for batch, links in cut(batches):
+                scores = [np.zeros(links.n, dtype=np.int64)] * 2
+                if table is not None:
+                    at = np.searchsorted(known, links.codes(aligner.n_b))
+                    scores = [links.sums(best[at].astype(np.int64)), links.sums(n[at])]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id"), batch.column("row"), *map(pa.array, (*links.figures(), *scores)), links.groups()], names)
 
-        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
         longs = ", ".join(f"{c} bigint" for c in names[1:-1])
-        if looked_up:
-            return rows.mapInArrow(run, f"doc_id {kind}, {longs}, groups string")
-        keyed = rows.select(F.struct("doc_id", row_key("doc_id", "text").alias("row")).alias("doc_id"), "text")
-        struct = f"struct<doc_id:{kind},row:bigint>"
-        aligned = keyed.mapInArrow(run, f"doc_id {struct}, {longs}, groups string").drop("n_best", "count_sum")
-        sums = self._joined_sums(keyed, pairs, struct)
-        same = F.col("doc_id.doc_id").eqNullSafe(F.col("_key.doc_id")) & (F.col("doc_id.row") == F.col("_key.row"))
+        aligned = encoded.mapInArrow(run, f"doc_id {dict(encoded.dtypes)['doc_id']}, {longs}, groups string")
+        if table is not None:
+            return aligned.drop("row")
         zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-        return aligned.join(sums, same, "left").select("doc_id.doc_id", *names[1:5], zero("n_best"), zero("count_sum"), "groups")
+        return aligned.drop("n_best", "count_sum").join(self._joined_sums(encoded, pairs), "row", "left").select(
+            "doc_id", *names[2:6], zero("n_best"), zero("count_sum"), "groups")
 
-    def _joined_sums(self, keyed: DataFrame, pairs: DataFrame, struct: str) -> DataFrame:
-        """_key, n_best, count_sum by a join of the pairs of each document; equal rows are summed and divided again."""
-        make = self.aligner
+    def _joined_sums(self, encoded: DataFrame, pairs: DataFrame) -> DataFrame:
+        """row, n_best, count_sum by a join of the pairs of each document."""
+        make, cut = self.aligner, self._batches
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner = make()
-            for batch in batches:
-                at = 0
-                for texts in text_chunks(batch.column(1)):
-                    text, code, times = aligner.links(*aligner.read(texts.to_pylist()))
-                    keys = batch.column(0).slice(at, len(texts))
-                    at += len(texts)
-                    a, b = np.divmod(code, aligner.n_b)
-                    first = np.concatenate([[True], np.diff(text) != 0]) if len(text) else np.zeros(0, dtype=bool)
-                    yield pa.RecordBatch.from_arrays([
-                        keys.take(pa.array(text)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(times),
-                        pa.array(first.astype(np.int64))], ["_key", "a_id", "b_id", "times", "copies"])
+            for batch, links in cut(batches):
+                text, code, times = links.pairs(aligner.n_a, aligner.n_b)
+                a, b = np.divmod(code, aligner.n_b)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("row").take(pa.array(text)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(times)],
+                    ["row", "a_id", "b_id", "times"])
 
-        linked = keyed.mapInArrow(run, f"_key {struct}, a_id int, b_id int, times bigint, copies bigint")
-        counted = linked.join(pairs, ["a_id", "b_id"]).groupBy("_key").agg(
-            F.sum("copies").alias("copies"), F.sum(F.col("times") * F.col("best").cast("int")).alias("n_best"),
-            F.sum(F.col("times") * F.col("n_docs")).alias("count_sum"))
-        return counted.select("_key", *[F.expr(f"{c} div copies").alias(c) for c in ("n_best", "count_sum")])
+        linked = encoded.select("row", "a_ids", "b_ids").mapInArrow(run, "row bigint, a_id int, b_id int, times bigint")
+        return linked.join(pairs, ["a_id", "b_id"]).groupBy("row").agg(
+            F.sum(F.col("times") * F.col("best").cast("int")).alias("n_best"), F.sum(F.col("times") * F.col("n_docs")).alias("count_sum"))
 
 
 def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The alignment of all documents, with the counts of all of them."""
     own = Alignment(**how)
-    return own.align(docs, own.pair_counts(docs, text_col), id_col, text_col)
+    encoded = own.encode(docs, id_col, text_col)
+    return own.align(encoded, own.pair_counts(encoded))
 
 
 def digests(aligned: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ def rows(df):
 @pytest.mark.parametrize("lookup", [10 ** 6, 0])
 def test_odd_texts(spark, monkeypatch, lookup):
     monkeypatch.setattr(common, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(token_alignment, "TOKENS_A_CHUNK", 50)
     docs = odd_texts(5, 500) + [(7, "same row here"), (7, "same row here"), (None, "null id"), (None, None)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     found = token_alignment.align_documents(df, lookup_pairs=lookup)
@@ -37,11 +38,10 @@ def test_table_of_units_is_bounded(monkeypatch):
     own = token_alignment.Alignment()
     aligner = own.aligner()
     texts = [t for _, t in odd_texts(6, 60)] + ["x" * 500]
-    once, at = aligner.read(texts)
-    figures = aligner.sums(aligner.figures, once, at)
+    together = aligner.encode(texts)
     for i, t in enumerate(texts):
-        numbers, offsets = aligner.read([t])
-        assert aligner.sums(aligner.figures, numbers, offsets)[0].tolist() == figures[i].tolist()
+        for (ids, at), (own, own_at) in zip(together, aligner.encode([t])):
+            assert own_at.tolist() == [0, len(own)] and own.tolist() == ids[at[i]:at[i + 1]].tolist()
         assert aligner.count <= 20 + len(set(token_alignment.units_of(t)))
     assert "x" * 500 not in aligner.index
 
@@ -63,6 +63,7 @@ def test_empty_and_clashing(spark, edge_docs, lookup):
     clash = edge_docs.withColumnsRenamed({"lang": "a_id", "source": "groups", "n_chars": "times"})
     own = token_alignment.Alignment(lookup_pairs=lookup)
     none = clash.limit(0)
-    assert own.align(none, own.pair_counts(none)).count() == 0
-    assert own.align(clash, own.pair_counts(clash)).columns == [
+    encoded, full = own.encode(none), own.encode(clash)
+    assert own.align(encoded, own.pair_counts(encoded)).count() == 0
+    assert own.align(full, own.pair_counts(full)).columns == [
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
