@@ -43,11 +43,11 @@ from chorale.session import materialise
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 #: Units and tokens (of each side) remembered by a worker; the table is emptied beyond that.
-MAX_UNITS, MAX_TOKENS, MAX_UNIT_CHARS = 1_500_000, 10_000_000, 64
+MAX_UNITS, MAX_TOKENS, MAX_UNIT_CHARS = 700_000, 5_000_000, 64
 #: Units encoded in one call.
 UNITS_A_CALL = 1000
 #: Tokens of A whose links are made together; a longer document by itself.
-TOKENS_A_CHUNK = 1_000_000
+TOKENS_A_CHUNK = 500_000
 #: Pairs a task holds before it hands them on.
 HELD_PAIRS = 2_000_000
 #: Rows of the table of pairs that may go to the workers: 17 bytes each.
