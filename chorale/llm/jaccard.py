@@ -4,19 +4,21 @@
 Equal sets are one *class* from the start: copies never meet as pairs.
 
 *Sketches*: with ``percent`` p, linked sets of which the smaller has at most U members differ in at most
-D = U * (100 - p) / p members.  Sizes are cut into bands; in a band the hash range is cut into D + 1 blocks, and each
+D = U * (100 - p) / p members.  Sizes are cut into bands; in a band the hash range is cut into D + 1 + m blocks, and each
 block's members are XORed into one word.  A differing member changes one block, so the number of blocks that differ
-is a lower bound of the symmetric difference, and linked sets agree in at least one whole block (pigeonhole).  A set
-also enters every lower band that holds sets large enough to be linked with it, so linked sets always share a band.  Finer sketches (one
-parity bit per hash value modulo a power of two, about as many bits as members) give a Hamming distance that
-is a lower bound as well, and sort out candidates before texts are compared.
+is a lower bound of the symmetric difference, and linked sets agree in at least m + 1 whole blocks (pigeonhole).  Blocks
+without members say little and are shared by many; a set with at most m of them leaves them out, as one of the blocks that
+it shares has members then.  A set also enters every lower band that holds sets large enough to be linked with it, so linked sets always
+share a band.  Finer sketches (one parity bit per hash value modulo a power of two, at least four times as many bits as members) give a
+Hamming distance that is a lower bound as well, and sort out candidates before sets are compared.
 
-*Join*: blocks are shuffled once as (word, class).  Links are then verified on the texts:
+*Join*: blocks are shuffled once as (word, class).  Links are then verified on the members of the sets:
   1. every class with the class it agrees with in most blocks, of the least classes of its blocks;
-  2. blocks that hold several components after that: the closest pair (by sketch) of each two components;
-  3. all remaining pairs of different components that the sketch does not rule out.
-Pairs inside a component need no comparison, so a group of g near copies costs about g comparisons, and no link
-between components is lost.  Blocks of more than ``TILE`` classes are compared tile by tile in separate rows.
+  2. blocks that hold several components after that: a spanning forest of the pairs that the sketch does not rule out, closest first;
+  3. blocks that still do: classes with such a pair are compared, members with members, inside the task that holds the block, which
+     puts out a link only where it joins two components.
+No step makes more pairs than there are classes in the blocks, linked or not, and no link between components is lost.
+Blocks of more than ``TILE`` classes are compared tile by tile in separate rows.
 
 Defined results: null, empty and blank texts have no shingles and are components of their own; a null id is a document whose id
 is greater than any other; repeated rows are copies; an empty table gives no rows; very long texts are read
@@ -96,21 +98,24 @@ def blocks(members: np.ndarray, percent: int) -> np.ndarray:
     out = []
     with np.errstate(over="ignore"):
         for band in bands:
-            count = (edges[band + 1] - 1) * (100 - percent) // percent + 1
+            most = (edges[band + 1] - 1) * (100 - percent) // percent  # members that linked sets can differ in
+            spare = most // 10 + 3
+            count = most + 1 + spare
             at = ((members >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
             size = np.bincount(at, minlength=count)
             words = np.zeros(count, dtype=np.uint64)
             full = np.flatnonzero(size)
             words[full] = np.bitwise_xor.reduceat(members, (np.cumsum(size) - size)[full])
             tag = mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 40))
-            out.append(mix(words ^ mix(tag + size.astype(np.uint64))))
+            told = mix(words ^ mix(tag + size.astype(np.uint64)))
+            out.append(told[full] if count - len(full) <= spare else told)
     return np.concatenate(out)
 
 
 def bit_sketch(members: np.ndarray) -> np.ndarray:
-    """Parity of the members that fall on each bit; the number of bits is a power of two from 64 on, at least the size."""
-    bits = 64
-    while bits < len(members):
+    """Parity of the members that fall on each bit; the number of bits is a power of two from 256 on, at least four times the size."""
+    bits = 256
+    while bits < 4 * len(members):
         bits *= 2
     at = (members & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8))
@@ -151,68 +156,146 @@ def linked(a: int, b: int, both: int, percent: int) -> bool:
     return 100 * both >= percent * (a + b - both)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """pairs (a, b) of classes -> those that are linked; ``texts`` is class, text."""
-    one = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
+def members_table(texts: DataFrame, shingle: int) -> DataFrame:
+    """class, text -> class, members (sorted hashes), as a written table."""
+    small_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = shingle_sets(b.column(1), shingle)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary())], ["class", "members"])
+
+    return materialise(texts.select("class", "text").mapInArrow(run, "class bigint, members binary"), "jaccard-members")
+
+
+def in_both(a: np.ndarray, b: np.ndarray) -> int:
+    """Number of common values of two sorted arrays without repeats."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(small):
+        return 0
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int(np.count_nonzero(large[at] == small))
+
+
+def verify(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """pairs (a, b) of classes -> those that are linked."""
+    one = members.select(F.col("class").alias("a"), F.col("members").alias("of_a"))
+    two = members.select(F.col("class").alias("b"), F.col("members").alias("of_b"))
     both = pairs.select("a", "b").join(one.hint("merge"), "a").join(two.hint("merge"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            sides = []
-            for side in "ab":
-                keys = t[side].to_numpy()
-                different, first, which = np.unique(keys, return_index=True, return_inverse=True)
-                own = shingle_sets(t[f"text_{side}"].take(pa.array(first)), shingle)
-                sides.append((own, which))
-            (sa, wa), (sb, wb) = sides
-            yes = [linked(len(sa[i]), len(sb[j]), len(np.intersect1d(sa[i], sb[j], assume_unique=True)), percent)
-                   for i, j in zip(wa, wb)]
+            yes = []
+            for x, y in zip(t["of_a"], t["of_b"]):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                yes.append(linked(len(x), len(y), in_both(x, y), percent))
             yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-_POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+FAR = np.iinfo(np.uint16).max
 
 
-def close_pairs(nodes: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sketches: list[bytes], tiles: np.ndarray,
-                percent: int, best: bool) -> Iterator[tuple[int, int, int]]:
-    """Pairs (a, b, Hamming distance) of different components that the sketches do not rule out.
+def distances(roots: np.ndarray, sizes: np.ndarray, sketches: list[bytes], tiles: np.ndarray, percent: int) -> np.ndarray:
+    """Hamming distance of every two sets that the sketch does not rule out; FAR for the others, and for two of a component.
 
-    With ``best``, the closest of each two components.  ``tiles``: pairs lie across the two tiles given, if there are two.
+    Pairs lie across the two tiles given, if there are two.
     """
     raw = [np.frombuffer(s, np.uint8) for s in sketches]
     least = min(map(len, raw))
     # Folded to the least size, any two can be compared; sets that agree in a block have much the same size.
-    m = np.stack([fold(r, least) for r in raw])
-    two = len(np.unique(tiles)) > 1
-    seen: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for i in range(len(nodes) - 1):
+    m = np.stack([fold(r, least) for r in raw]).view(np.uint64)
+    g, two = len(roots), len(np.unique(tiles)) > 1
+    out = np.full((g, g), FAR, dtype=np.uint16)
+    for i in range(g - 1):
         rest = slice(i + 1, None)
-        maybe = (roots[rest] != roots[i]) & ((tiles[rest] != tiles[i]) if two else True)
+        maybe = roots[rest] != roots[i]
+        if two:
+            maybe &= tiles[rest] != tiles[i]
         # d <= (100 - p) / (100 + p) * (a + b), and the smaller at least p percent of the larger.
         total = sizes[rest] + sizes[i]
         maybe &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
-        at = np.flatnonzero(maybe) + i + 1
+        at = np.flatnonzero(maybe)
         if not len(at):
             continue
-        d = _POPCOUNT[m[at] ^ m[i]].sum(axis=1, dtype=np.int64)
-        ok = d * (100 + percent) <= (100 - percent) * total[at - i - 1]
-        for j, dist in zip(at[ok].tolist(), d[ok].tolist()):
-            pair = (int(min(nodes[i], nodes[j])), int(max(nodes[i], nodes[j])), dist)
-            if not best:
-                yield pair
-                continue
-            key = (int(min(roots[i], roots[j])), int(max(roots[i], roots[j])))
-            if key not in seen or (dist, *pair) < (seen[key][2], *seen[key]):
-                seen[key] = pair
-    yield from seen.values()
+        d = np.bitwise_count(m[at + i + 1] ^ m[i]).sum(axis=1, dtype=np.int64)
+        ok = d * (100 + percent) <= (100 - percent) * total[at]
+        at = at[ok] + i + 1
+        out[i, at] = out[at, i] = np.minimum(d[ok], FAR - 1)
+    return out
+
+
+def spanning_pairs(roots: np.ndarray, distance: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the components, closest pairs first (by Prim): at most one pair for each but one of them."""
+    g = len(roots)
+    near, by, open_, pairs = np.full(g, FAR, dtype=np.uint16), np.full(g, -1), np.ones(g, dtype=bool), []
+    while open_.any():
+        at = int(np.argmin(np.where(open_, near, FAR)))
+        if not open_[at] or near[at] == FAR:
+            at = int(np.flatnonzero(open_)[0])  # the next tree
+        elif by[at] >= 0:
+            pairs.append((int(by[at]), at))
+        # The whole component comes in with the first of its classes.
+        for k in np.flatnonzero(open_ & (roots == roots[at])):
+            open_[k] = False
+            closer = distance[k] < near
+            near[closer], by[closer] = distance[k][closer], k
+    return pairs
+
+
+def linked_pairs(roots: np.ndarray, distance: np.ndarray, members: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Linked pairs that join two components, by comparing members; what other links join is joined already."""
+    at = {r: i for i, r in enumerate(np.unique(roots).tolist())}
+    parent = list(range(len(at)))
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    i, j = np.nonzero(np.triu(distance != FAR, 1))
+    order = np.argsort(distance[i, j], kind="stable")
+    out = []
+    for a, b in zip(i[order].tolist(), j[order].tolist()):
+        x, y = find(at[int(roots[a])]), find(at[int(roots[b])])
+        if x != y and linked(len(members[a]), len(members[b]), in_both(members[a], members[b]), percent):
+            parent[x] = y
+            out.append((a, b))
+    return out
+
+
+def _by_tile(rows: DataFrame, columns: list[str], kernel, schema: str) -> DataFrame:
+    """``kernel`` over the rows of each (word, i, j), as lists of the columns; rows are dealt and sorted by tile."""
+    dealt = rows.select("word", "i", "j", *columns).repartition("word", "i", "j").sortWithinPartitions("word", "i", "j", columns[0])
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = {"bigint": pa.int64(), "int": pa.int32()}
+    types = [kinds[f.split()[1]] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+
+        def flush():
+            found = kernel(key, *zip(*held)) if len(held) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*found), types)], names)
+
+        for b in batches:
+            for w, i, j, *row in zip(*[b.column(x).to_pylist() for x in range(b.num_columns)]):
+                if (w, i, j) != key:
+                    yield from flush()
+                    held, key = [], (w, i, j)
+                held.append(row)
+        yield from flush()
+
+    return dealt.mapInArrow(run, schema)
 
 
-def candidates(held: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, best: bool) -> DataFrame | None:
-    """held (word, class), classes (class, n, sketch), roots (node, root) -> pairs a, b across components, if any are left."""
+def mixed_tiles(held: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """held (word, class), classes (class, n, sketch), roots (node, root) -> rows of the tiles of blocks that hold several
+    components (word, i, j, class, root, n, sketch, tile), or None if there are none."""
     known = roots.select(F.col("node").alias("class"), "root")
     at = held.join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
     mixed = at.groupBy("word").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("g"))
@@ -222,29 +305,41 @@ def candidates(held: DataFrame, classes: DataFrame, roots: DataFrame, percent: i
     rows = at.join(mixed, "word").join(classes.select("class", "n", "sketch").hint("merge"), "class")
     tile = F.pmod(F.xxhash64("class"), F.col("t")).cast("int")
     rows = rows.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
-    rows = rows.select("word", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "class", "root", "n", "sketch", "tile")
-    dealt = rows.repartition("word", "i", "j").sortWithinPartitions("word", "i", "j", "class")
+    return rows.select("word", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "class", "root", "n", "sketch", "tile")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_rows, key = [], None
 
-        def flush():
-            if len(held_rows) > 1:
-                c, r, n, s, t = zip(*held_rows)
-                found = list(close_pairs(np.array(c), np.array(r), np.array(n), list(s), np.array(t), percent, best))
-                if found:
-                    a, b, d = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _arrays(classes, roots, sizes, sketches, tiles) -> tuple:
+    return np.array(classes), np.array(roots), np.array(sizes), list(sketches), np.array(tiles)
 
-        for b in batches:
-            for w, i, j, c, r, n, s, t in zip(*[b.column(x).to_pylist() for x in range(8)]):
-                if (w, i, j) != key:
-                    yield from flush()
-                    held_rows, key = [], (w, i, j)
-                held_rows.append((c, r, n, s, t))
-        yield from flush()
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+def spanning_candidates(tiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of classes to be verified: a spanning forest of each tile."""
+    def kernel(key, *columns):
+        c, r, n, sketches, t = _arrays(*columns)
+        return [(int(min(c[a], c[b])), int(max(c[a], c[b]))) for a, b in spanning_pairs(r, distances(r, n, sketches, t, percent))]
+
+    return _by_tile(tiles, ["class", "root", "n", "sketch", "tile"], kernel, "a bigint, b bigint").distinct()
+
+
+def remaining_links(tiles: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that join components of a tile: classes with a pair that the sketch does not rule out get their members."""
+    def open_classes(key, *columns):
+        c, r, n, sketches, t = _arrays(*columns)
+        left = np.flatnonzero((distances(r, n, sketches, t, percent) != FAR).any(axis=1))
+        return [(*key, int(c[k]), int(r[k]), int(n[k]), int(t[k])) for k in left]
+
+    columns = ["class", "root", "n", "sketch", "tile"]
+    left = _by_tile(tiles, columns, open_classes, "word bigint, i int, j int, class bigint, root bigint, n bigint, tile int")
+    left = materialise(left, "jaccard-open")
+    both = left.join(members.hint("merge"), "class")
+
+    def kernel(key, c, r, n, t, raw):
+        sets = [np.frombuffer(x, np.uint64) for x in raw]
+        r = np.array(r)
+        found = linked_pairs(r, distances(r, np.array(n), [bit_sketch(x).tobytes() for x in sets], np.array(t), percent), sets, percent)
+        return [(min(c[a], c[b]), max(c[a], c[b])) for a, b in found]
+
+    return _by_tile(both, ["class", "root", "n", "tile", "members"], kernel, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
@@ -272,20 +367,20 @@ def near_duplicates(
         "class", F.col("doc_id").alias("of_id"), F.col("row_key").alias("of_row"))
     text = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
     texts = text.join(materialise(involved, "jaccard-involved").hint("merge"), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("row_key") == F.col("of_row")))
-    texts = materialise(texts.groupBy("class").agg(F.first("text").alias("text")), "jaccard-texts")
+    members = members_table(texts.groupBy("class").agg(F.first("text").alias("text")), shingle)
 
     sketches = rows.select(F.col("node").alias("class"), "n", "sketch").join(
         held.select("class").distinct().hint("merge"), "class", "left_semi")
     sketches = materialise(sketches, "jaccard-sketches")
-    links = materialise(verify(tried, texts, shingle, percent), "jaccard-links")
+    links = materialise(verify(tried, members, percent), "jaccard-links")
     roots = connected_components(links)
-    for best in (True, False):
-        pairs = candidates(held, sketches, roots, percent, best)
-        if pairs is None:
+    for exact in (False, True):
+        tiles = mixed_tiles(held, sketches, roots)
+        if tiles is None:
             break
-        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-tried")
-        links = links.unionByName(materialise(verify(new, texts, shingle, percent), "jaccard-links"))
-        tried = tried.unionByName(new)
+        found = remaining_links(tiles, members, percent) if exact else verify(
+            materialise(spanning_candidates(tiles, percent).join(tried, ["a", "b"], "left_anti"), "jaccard-tried"), members, percent)
+        links = links.unionByName(materialise(found, "jaccard-links"))
         roots = connected_components(links)
 
     classed = narrow.filter("n > 0").join(by_key, "set_key").join(roots.withColumnRenamed("node", "class"), "class", "left")

@@ -42,6 +42,58 @@ def test_sets_several_bands_apart(spark, percent):
     assert set(jaccard.blocks(large, percent).tolist()) & set(jaccard.blocks(small, percent).tolist())
 
 
+def unlinked_copies(g):
+    """Texts of one base, each with about a tenth of its words replaced: most pairs share blocks, hardly any is linked at 80 %."""
+    r = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(400)]
+    docs = []
+    for d in range(g):
+        words = list(base)
+        for k in r.choice(400, 14, replace=False):
+            words[k] = f"x{d}-{k}"
+        docs.append((d, " ".join(words)))
+    return docs
+
+
+def test_rows_grow_with_the_copies_and_not_their_square(spark, monkeypatch):
+    put, seen = jaccard.materialise, {}
+
+    def watched(df, name):
+        out = put(df, name)
+        if name in ("jaccard-tried", "jaccard-links"):
+            seen[g] = seen.get(g, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", watched)
+    for g in (80, 160):
+        docs = unlinked_copies(g)
+        found = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+        assert rows(found.select("doc_id", "n_shingles", "component_id")) == sorted(brute.components(docs, 5, 80))
+    assert seen[160] / 160 <= 1.3 * seen[80] / 80, seen
+
+
+def test_spanning_pairs_join_what_can_be_joined():
+    r = np.random.default_rng(1)
+    for _ in range(60):
+        g = int(r.integers(2, 30))
+        roots = r.integers(0, g, g)
+        d = np.full((g, g), jaccard.FAR, dtype=np.uint16)
+        for _ in range(int(r.integers(0, 40))):
+            a, b = r.integers(0, g, 2)
+            if roots[a] != roots[b]:
+                d[a, b] = d[b, a] = r.integers(0, 9)
+
+        def parts(pairs):
+            label = roots.copy()
+            for a, b in pairs:
+                label[label == label[a]] = label[b]
+            return len(set(label.tolist()))
+
+        pairs = jaccard.spanning_pairs(roots, d)
+        assert len(pairs) < len(set(roots.tolist())) and all(d[a, b] != jaccard.FAR for a, b in pairs)
+        assert parts(pairs) == parts(np.argwhere(d != jaccard.FAR).tolist())
+
+
 @pytest.mark.parametrize("percent", [0, 101])
 def test_percent_is_checked(edge_docs, percent):
     with pytest.raises(ValueError):
