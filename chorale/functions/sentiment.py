@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chorale.functions.text import term_frequencies, tokens
+from chorale.functions.text import tokens
 from chorale.session import materialise
 
 Scorer = Callable[[Column], Column]
@@ -67,20 +67,47 @@ def model_scorer(predict: Callable[[pd.Series], pd.Series]) -> Scorer:
     return lambda text: scored(text)
 
 
+#: Bits of the filter per word of the lexicon, and at most: a fuller filter lets more words through, none is lost.
+BITS_PER_WORD, MOST_BITS = 16, 1 << 24
+
+
+def word_filter(words: DataFrame) -> Column:
+    """A bitmap of the hashes of ``word`` as ``array<bigint>``: a scalar of two bytes a word, two megabytes at most.
+
+    One row per 64 bits is made by an aggregate that is combined map-side; all of them are one array of known length.
+    """
+    n = words.count()
+    bits = min(MOST_BITS, 64 << max(0, (n * BITS_PER_WORD // 64)).bit_length())
+    at = F.pmod(F.xxhash64("word"), F.lit(bits))
+    set_bits = words.select(F.floor(at / 64).cast("int").alias("slot"), F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int")).alias("bit"))
+    every = words.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("bigint").alias("bit"))
+    slots = set_bits.unionByName(every).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    return slots.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "bits"))), lambda s: s["bits"]).alias("f")).scalar()
+
+
+def may_hold(filter_bits: Column, word: Column) -> Column:
+    """False only for words that are not in the filter."""
+    at = F.pmod(F.xxhash64(word), F.size(filter_bits).cast("bigint") * 64)
+    return F.getbit(F.get(filter_bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63).cast("bigint")).cast("int")) == 1
+
+
 def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The same rule for long or weighted lists: ``comment_id, sentiment`` from ``lexicon(word, weight)``.
 
     One row per row of ``comments``, whatever its id: a text is scored under a hash of its own, and rows
-    find their score by it.  Words are counted inside the text, so a word crosses the shuffle once per
-    text at most; weights are summed before it.  (Copies add the same balance again, which leaves its
-    sign.)  The lexicon is written first, so Spark knows its size and broadcasts it only below its
+    find their score by it.  (Copies add the same balance again, which leaves its sign.)  A bitmap of the
+    lexicon sorts words out inside the row, so only words that are listed, and about one in a hundred others, leave
+    it and meet the lexicon.  The lexicon is written first, so Spark knows its size and broadcasts it only below its
     threshold.  Words of the lexicon must be unique.
     """
+    listed = materialise(lexicon.select("word", "weight"), "lexicon")
     keyed = comments.select("comment_id", "text", F.xxhash64("text").alias("_text"))
-    counted = keyed.select("_text", F.explode(term_frequencies(F.col("text"), tokens)).alias("t"))
-    hits = counted.select("_text", F.col("t.term").alias("word"), F.col("t.tf").alias("tf")).join(
-        materialise(lexicon.select("word", "weight"), "lexicon"), "word")
-    balance = hits.groupBy("_text").agg(F.sum(F.col("weight") * F.col("tf")).alias("_balance"))
+    # The filter stands in a column, as lambdas cannot hold a subquery; the split of the text is bound, to be done once.
+    with_filter = keyed.filter(F.col("text").isNotNull()).select("_text", "text", word_filter(listed).alias("_filter"))
+    kept = F.transform(F.array(tokens(F.col("text"))), lambda toks: F.filter(toks, lambda t: may_hold(F.col("_filter"), t)))[0]
+    hits = with_filter.select("_text", F.explode(kept).alias("word")).join(listed, "word")
+    balance = hits.groupBy("_text").agg(F.sum("weight").alias("_balance"))
     rows = keyed.select("comment_id", "_text", F.when(F.col("text").isNotNull(), F.lit("")).alias("_known"))
     scored = rows.join(balance, "_text", "left")
     label = _label(F.col("_known"), F.coalesce("_balance", F.lit(0)))
