@@ -72,15 +72,29 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def wrapped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc`` (the whole row), ``own_id`` and ``own_row`` (its row_key): no column of the input can clash with another."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(id_col).alias("own_id"),
+                       row_key(id_col, text_col).alias("own_row"))
+
+
+def one_of_equal(rows: DataFrame) -> DataFrame:
+    """Of wrapped rows with one id and text a single one: that with the largest hash over all its columns, on every run."""
+    rest = [c for c in rows.columns if c not in ("own_id", "own_row")]
+    best = F.max_by(F.struct(*rest), F.xxhash64(F.to_json("doc")))
+    return rows.groupBy("own_id", "own_row").agg(best.alias("best")).select("own_id", "own_row", *[F.col(f"best.{c}").alias(c) for c in rest])
+
+
 def keep_once(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows of ``docs`` named by ``kept`` (id, row_key, times), all columns as they were.
 
-    ``kept`` must be a written table.  Only rows that occur several times are looked at for repeats.
+    ``kept`` must be a written table.  Only rows that occur several times are looked at for repeats; of those that differ in
+    other columns the same one is kept on every run.
     """
-    k = kept.select(F.col("id").alias("__kept_id"), F.col("row_key").alias("__kept_row"), F.col("times").alias("__times"))
-    own = docs.withColumn("__row", row_key(id_col, text_col))
-    on = F.col(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__row") == F.col("__kept_row"))
+    k = kept.select(F.col("id").alias("kept_id"), F.col("row_key").alias("kept_row"), "times")
+    own = wrapped(docs, id_col, text_col)
+    on = F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_row") == F.col("kept_row"))
     # Merged at every size, as both sides grow with the corpus.
-    single = own.join(k.filter("__times = 1").hint("merge"), on, "left_semi")
-    repeated = own.join(k.filter("__times > 1"), on, "left_semi").dropDuplicates([id_col, "__row"])
-    return single.unionByName(repeated).select(*docs.columns)
+    single = own.join(k.filter("times = 1").hint("merge"), on, "left_semi")
+    repeated = one_of_equal(own.join(k.filter("times > 1"), on, "left_semi"))
+    return single.select("doc.*").unionByName(repeated.select("doc.*"))

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chorale.llm.common import WORD, text_or_empty
+from chorale.llm.common import WORD, one_of_equal, row_key, text_or_empty, wrapped
 from chorale.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -178,14 +178,14 @@ def mix(
 
 def take_mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """``docs`` as the mix takes them: rows taken twice occur twice, others once or not at all; same columns."""
-    mixed = mix(docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row")).alias("__who"),
-                            F.col(text_col).alias("__text"), F.col(source_col).alias("__source")),
-                "__who", "__text", "__source", **how)
-    taken = materialise(mixed.groupBy(F.col("doc_id.id").alias("__taken_id"), F.col("doc_id.row").alias("__taken_row")).agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")).filter("__copies > 0"), "mix-taken")
-    own = docs.withColumn("__row", F.xxhash64(id_col, text_col))
-    joined = own.join(taken.hint("merge"), F.col(id_col).eqNullSafe(F.col("__taken_id")) & (F.col("__row") == F.col("__taken_row")))
+    mixed = mix(docs.select(F.struct(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("row")).alias("who"),
+                            F.col(text_col).alias("text"), F.col(source_col).alias("source")), "who", "text", "source", **how)
+    taken = materialise(mixed.groupBy(F.col("doc_id.id").alias("taken_id"), F.col("doc_id.row").alias("taken_row")).agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n_rows")).filter("copies > 0"), "mix-taken")
+    joined = wrapped(docs, id_col, text_col).join(
+        taken.hint("merge"), F.col("own_id").eqNullSafe(F.col("taken_id")) & (F.col("own_row") == F.col("taken_row")))
+    joined = joined.select("own_id", "own_row", "doc", "copies", "n_rows")
     # Equal rows are one document here: it comes out as often as all of them are taken.
-    equal = joined.filter("__rows > 1").dropDuplicates([id_col, "__row"])
-    out = joined.filter("__rows = 1").unionByName(equal)
-    return out.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    equal = one_of_equal(joined.filter("n_rows > 1"))
+    out = joined.filter("n_rows = 1").unionByName(equal)
+    return out.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
