@@ -67,8 +67,7 @@ class Encoder:
             self.shorter[i] = next((ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in ids), -1)
         self.chars = chars
         self.gap = next(c for c in map(chr, range(0x10FFFF)) if c not in chars)
-        self.words: dict[str, str] = {}
-        self.odd: dict[str, str] = {}  # words whose ids decode to something else
+        self.words: dict[str, tuple[str, str]] = {}  # ids, and what they decode to
         self.pairs: dict[int, bool] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -99,12 +98,12 @@ class Encoder:
         """Pieces of the characters start..end, all of which occur in pieces."""
         size, shorter, pairs = self.size, self.shorter, self.pairs
         tokens: list[int] = []
-        failed, at, token = 0, start, longest[start]
+        failed, at, token = bytearray(end - start + 1), start, longest[start]
         while at < end:
             last = tokens[-1] if tokens else -1
             while True:
                 to = at + size[token]
-                if not failed >> (to - start) & 1:
+                if not failed[to - start]:
                     ok = last < 0 or pairs.get(last << 32 | token)
                     if ok is None:
                         ok = self.compatible(last, token)
@@ -116,7 +115,7 @@ class Encoder:
                         break
                 token = shorter[token]
                 if token < 0:
-                    failed |= 1 << (at - start)
+                    failed[at - start] = 1
                     token = tokens.pop()
                     at -= size[token]
                     break
@@ -180,28 +179,23 @@ class Encoder:
         if len(self.words) + len(new) > MAX_WORDS:
             self.words.clear()
             new = list(set().union(*parts))
-        words, odd = self.words, {}
+        words = self.words
         chunks = [p if p[0] in "\n" + SPACE else SPACE + p for p in new]
-        for p, chunk, ids in zip(new, chunks, self.encode_words(chunks)):
-            words[p] = ",".join(map(str, ids))
-            decoded = self.decode(ids)
-            if decoded != chunk.replace(SPACE, " "):  # the ids do not give back the word
-                odd[p] = decoded
-        self.odd.update(odd)
-        for text, own in zip(texts, parts):
+        for p, ids in zip(new, self.encode_words(chunks)):
+            words[p] = ",".join(map(str, ids)), self.decode(ids)
+        for own in parts:
             if not own:
                 yield 0, "", ""
                 continue
-            ids = ",".join(map(words.__getitem__, own))
-            if self.odd and not self.odd.keys().isdisjoint(own):
-                decoded = "".join(self.odd.get(p) or (p if p[0] in "\n" + SPACE else SPACE + p) for p in own)[1:]
-            else:
-                decoded = text
-            yield ids.count(",") + 1, ids, decoded.replace(SPACE, " ")
+            found = [words[p] for p in own]
+            ids = ",".join([i for i, _ in found])
+            # The space mark that encoding puts in front is not part of the text.
+            yield ids.count(",") + 1, ids, "".join([d for _, d in found])[1:]
         for p in new:
             if len(p) > MAX_WORD_CHARS:
                 del words[p]
 
+
 def encode(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = None
 ) -> DataFrame:
@@ -223,6 +217,24 @@ def encode(
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens bigint, ids string, decoded string")
 
 
+def decode(
+    encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", model_path: str | None = None
+) -> DataFrame:
+    """doc_id, text: what ids (decimals joined by commas, as ``encode`` gives them) stand for; a null or empty value is the empty text."""
+    with open(model_path or tokenizer_path(MODEL), "rb") as f:
+        model = f.read()
+    small_batches(encoded.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_state(f"sentencepiece_{hash(model)}", lambda: Encoder(model))
+        for b in batches:
+            texts = [encoder.decode(list(map(int, ids.split(","))))[1:] if ids else "" for ids in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, text string")
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
