@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,30 @@ def test_index_of_several_runs_with_repeated_and_missing_ids(spark, corpus, tmp_
     found = text_index.search_index(spark, str(tmp_path / "ix"), ["alpha"], 9).select("score", "comment_id").collect()
     expected = retrieval.bm25_top_k(rows.unionByName(rows), ["alpha"], 9).select("score", "comment_id").collect()
     assert found == expected
+
+
+@pytest.mark.parametrize("query", [["alpha"], ["alpha", "beta", "nothere"], ["gamma", "alpha"]])
+@pytest.mark.parametrize("k", [1, 7, 500])
+def test_blocks_are_skipped_without_a_change_of_the_ranking(spark, corpus, tmp_path, monkeypatch, query, k):
+    monkeypatch.setattr(text_index, "FIRST_BLOCKS", 1)
+    text_index.write_index(corpus, str(tmp_path / "ix"), block_docs=9)
+    assert spark.read.parquet(str(tmp_path / "ix/postings")).select("block").distinct().count() > 5
+    found = text_index.search_index(spark, str(tmp_path / "ix"), query, k)
+    assert [(r["comment_id"], r["score"]) for r in found.collect()] == brute_force(corpus.collect(), query, k)
+
+
+def test_packed_rows_hold_every_count():
+    rnd = random.Random(2)
+    docs = [(i * 3 + (10 ** 11 if i > 60 else 0), i % 3, [rnd.choice("abcdefg") for _ in range(rnd.randrange(1, 30))]) for i in range(90)]
+    columns = lambda rows: pa.RecordBatch.from_arrays([
+        pa.array([d for d, _, _ in rows], pa.int64()), pa.array([len(w) for *_, w in rows], pa.int32()),
+        pa.array([c for _, c, _ in rows], pa.int64()), pa.array([w for *_, w in rows], pa.list_(pa.string()))], ["doc", "len", "channel", "words"])
+    got, blocks = {}, set()
+    for b in text_index.pack(iter([columns(docs[:50]), columns(docs[50:])]), block_docs=20):
+        for r in b.to_pylist():
+            blocks.add(r["block"])
+            assert (r["n"], r["max_tf"], r["min_len"]) == (len(r["docs"]), max(r["tfs"]), min(r["lens"]))
+            for d, tf, length in zip(r["docs"], r["tfs"], r["lens"]):
+                got[r["term"], r["block"] + d] = (tf, length, r["channel"])
+    assert got == {(w, d): (ws.count(w), len(ws), c) for d, c, ws in docs for w in set(ws)}
+    assert len(blocks) == 6  # 20, 20, 20, one before the gap in the numbers, 20 and 9 behind it
