@@ -9,14 +9,14 @@ block's members are XORed into one word.  A differing member changes one block,
 is a lower bound of the symmetric difference, and linked sets agree in at least m + 1 whole blocks (pigeonhole).  Blocks
 without members say little and are shared by many; a set with at most m of them leaves them out, as one of the blocks that
 it shares has members then.  A set also enters every lower band that holds sets large enough to be linked with it, so linked sets always
-share a band.  Finer sketches (one parity bit per hash value modulo a power of two, at least four times as many bits as members) give a
+share a band.  Finer sketches (one parity bit per hash value modulo a power of two, at least twice as many bits as members) give a
 Hamming distance that is a lower bound as well, and sort out candidates before sets are compared.
 
 *Join*: blocks are shuffled once as (word, class).  Links are then verified on the members of the sets:
   1. every class with the class it agrees with in most blocks, of the least classes of its blocks;
   2. blocks that hold several components after that: a spanning forest of the pairs that the sketch does not rule out, closest first;
-  3. blocks that still do: classes with such a pair are compared, members with members, inside the task that holds the block, which
-     puts out a link only where it joins two components.
+  3. blocks that still do: their classes with such a pair are compared, members with members, inside the task that holds the
+     block, which puts out a link only where it joins two components.
 No step makes more pairs than there are classes in the blocks, linked or not, and no link between components is lost.
 Blocks of more than ``TILE`` classes are compared tile by tile in separate rows.
 
@@ -113,9 +113,9 @@ def blocks(members: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bit_sketch(members: np.ndarray) -> np.ndarray:
-    """Parity of the members that fall on each bit; the number of bits is a power of two from 256 on, at least four times the size."""
-    bits = 256
-    while bits < 4 * len(members):
+    """Parity of the members that fall on each bit; the number of bits is a power of two from 128 on, at least twice the size."""
+    bits = 128
+    while bits < 2 * len(members):
         bits *= 2
     at = (members & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8))
@@ -312,25 +312,26 @@ def _arrays(classes, roots, sizes, sketches, tiles) -> tuple:
     return np.array(classes), np.array(roots), np.array(sizes), list(sketches), np.array(tiles)
 
 
-def spanning_candidates(tiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of classes to be verified: a spanning forest of each tile."""
+def tile_candidates(tiles: DataFrame, percent: int) -> DataFrame:
+    """What the sketches leave of each tile: its classes that have a pair left (word, i, j, class, n, tile), and rows with a
+    partner ``b`` as well for the pairs of a spanning forest; a written table."""
     def kernel(key, *columns):
         c, r, n, sketches, t = _arrays(*columns)
-        return [(int(min(c[a], c[b])), int(max(c[a], c[b]))) for a, b in spanning_pairs(r, distances(r, n, sketches, t, percent))]
+        d = distances(r, n, sketches, t, percent)
+        left = np.flatnonzero((d != FAR).any(axis=1))
+        return [(*key, int(c[k]), int(n[k]), int(t[k]), None) for k in left] + [
+            (*key, int(min(c[a], c[b])), 0, 0, int(max(c[a], c[b]))) for a, b in spanning_pairs(r, d)]
 
-    return _by_tile(tiles, ["class", "root", "n", "sketch", "tile"], kernel, "a bigint, b bigint").distinct()
+    return materialise(_by_tile(tiles, ["class", "root", "n", "sketch", "tile"], kernel,
+                                "word bigint, i int, j int, class bigint, n bigint, tile int, b bigint"), "jaccard-open")
 
 
-def remaining_links(tiles: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links a, b that join components of a tile: classes with a pair that the sketch does not rule out get their members."""
-    def open_classes(key, *columns):
-        c, r, n, sketches, t = _arrays(*columns)
-        left = np.flatnonzero((distances(r, n, sketches, t, percent) != FAR).any(axis=1))
-        return [(*key, int(c[k]), int(r[k]), int(n[k]), int(t[k])) for k in left]
-
-    columns = ["class", "root", "n", "sketch", "tile"]
-    left = _by_tile(tiles, columns, open_classes, "word bigint, i int, j int, class bigint, root bigint, n bigint, tile int")
-    left = materialise(left, "jaccard-open")
+def remaining_links(open_: DataFrame, roots: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links a, b that join components of a tile; the classes of tiles that still hold several get their members."""
+    known = roots.select(F.col("node").alias("class"), "root")
+    at = open_.join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    mixed = at.groupBy("word", "i", "j").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+    left = materialise(at.join(mixed.select("word", "i", "j").hint("merge"), ["word", "i", "j"], "left_semi"), "jaccard-left")
     both = left.join(members.hint("merge"), "class")
 
     def kernel(key, c, r, n, t, raw):
@@ -374,14 +375,15 @@ def near_duplicates(
     sketches = materialise(sketches, "jaccard-sketches")
     links = materialise(verify(tried, members, percent), "jaccard-links")
     roots = connected_components(links)
-    for exact in (False, True):
-        tiles = mixed_tiles(held, sketches, roots)
-        if tiles is None:
-            break
-        found = remaining_links(tiles, members, percent) if exact else verify(
-            materialise(spanning_candidates(tiles, percent).join(tried, ["a", "b"], "left_anti"), "jaccard-tried"), members, percent)
-        links = links.unionByName(materialise(found, "jaccard-links"))
+    tiles = mixed_tiles(held, sketches, roots)
+    if tiles is not None:
+        found = tile_candidates(tiles, percent)
+        new = found.filter("b IS NOT NULL").select(F.col("class").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(materialise(verify(materialise(new, "jaccard-tried"), members, percent), "jaccard-links"))
         roots = connected_components(links)
+        more = materialise(remaining_links(found.filter("b IS NULL").drop("b"), roots, members, percent), "jaccard-links")
+        links = links.unionByName(more)
+        roots = roots if more.isEmpty() else connected_components(links)
 
     classed = narrow.filter("n > 0").join(by_key, "set_key").join(roots.withColumnRenamed("node", "class"), "class", "left")
     classed = classed.select("node", "doc_id", "row_key", "n", F.coalesce("root", "class").alias("root"))
