@@ -42,8 +42,8 @@ from chorale.session import materialise
 
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
-#: Units and tokens (of each side) remembered by a worker; the table is emptied beyond that.
-MAX_UNITS, MAX_TOKENS, MAX_UNIT_CHARS = 700_000, 5_000_000, 64
+#: Units and tokens (of each side) remembered by a worker; beyond that only units that were seen again stay.
+MAX_UNITS, MAX_TOKENS, MAX_UNIT_CHARS = 350_000, 3_000_000, 64
 #: Units encoded in one call.
 UNITS_A_CALL = 1000
 #: Tokens of A whose links are made together; a longer document by itself.
@@ -133,6 +133,20 @@ class Aligner:
         self.tokens = [np.zeros(4096, dtype=np.int32), np.zeros(4096, dtype=np.int32)]
         self.ends = [np.zeros(1025, dtype=np.int64), np.zeros(1025, dtype=np.int64)]
         self.lost = np.zeros(1024, dtype=bool)
+        self.again = np.zeros(1024, dtype=bool)  # seen more than once since the table was made smaller
+
+    def shrink(self) -> None:
+        """Forget the units that were not seen again; all of them, if that would leave the table half full."""
+        kept = [(u, n) for u, n in self.index.items() if self.again[n]]
+        if 2 * len(kept) > MAX_UNITS:
+            kept = []
+        numbers = np.array([n for _, n in kept], dtype=np.int64)
+        tokens, ends, lost = self.tokens, self.ends, self.lost[numbers]
+        self.clear()
+        if kept:
+            sizes = [e[numbers + 1] - e[numbers] for e in ends]
+            places = [np.repeat(e[numbers + 1] - np.cumsum(k), k) + np.arange(k.sum()) for e, k in zip(ends, sizes)]
+            self._remember([u for u, _ in kept], [t[p] for t, p in zip(tokens, places)], sizes, lost)
 
     def _encode(self, units: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
         """ids of A and B, how many each unit has, and which units lose bytes; the units may stand in one text."""
@@ -171,7 +185,7 @@ class Aligner:
     def _remember(self, units: list[str], ids: list[np.ndarray], counts: list[np.ndarray], lost: np.ndarray) -> None:
         n, to = self.count, self.count + len(units)
         while len(self.lost) < to:
-            self.lost = np.concatenate([self.lost, np.zeros_like(self.lost)])
+            self.lost, self.again = (np.concatenate([v, np.zeros_like(v)]) for v in (self.lost, self.again))
             self.ends = [np.concatenate([e, np.zeros_like(e)]) for e in self.ends]
         for side in (0, 1):
             held = int(self.ends[side][n])
@@ -189,8 +203,9 @@ class Aligner:
         different = set().union(*parts)
         new = different - self.index.keys()
         if self.count + len(new) > MAX_UNITS or max(e[self.count] for e in self.ends) > MAX_TOKENS:
-            self.clear()
-            new = different
+            self.shrink()
+            new = different - self.index.keys()
+        before = self.count
         plain, odd = [], []
         for u in new:
             (odd if _odd(u) else plain).append(u)
@@ -203,6 +218,9 @@ class Aligner:
         for u in new:
             if len(u) > MAX_UNIT_CHARS:
                 del self.index[u]  # its place is taken until the table is emptied
+        times = np.bincount(numbers, minlength=self.count)
+        self.again[:before] |= times[:before] > 0
+        self.again[before:self.count] = times[before:] > 1
         text = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
         bad = np.zeros(len(texts), dtype=bool)
         bad[text[self.lost[numbers]]] = True

@@ -43,6 +43,11 @@ def test_table_of_units_is_bounded(monkeypatch):
         for (ids, at), (own, own_at) in zip(together, aligner.encode([t])):
             assert own_at.tolist() == [0, len(own)] and own.tolist() == ids[at[i]:at[i + 1]].tolist()
         assert aligner.count <= 20 + len(set(token_alignment.units_of(t)))
+    # What was seen again stays.
+    aligner.clear()
+    for i in range(12):
+        aligner.encode([f"often x{i} y{i} z{i}"])
+    assert "often" in aligner.index and "x1" not in aligner.index
     assert "x" * 500 not in aligner.index
 
 
