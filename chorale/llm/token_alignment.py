@@ -49,7 +49,7 @@ UNITS_A_CALL = 1000
 #: Tokens of A whose links are made together; a longer document by itself.
 TOKENS_A_CHUNK = 500_000
 #: Pairs a task holds before it hands them on.
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 300_000
 #: Rows of the table of pairs that may go to the workers: 17 bytes each.
 LOOKUP_PAIRS = 4_000_000
 
@@ -339,6 +339,7 @@ class Alignment:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             aligner, codes, counts, fresh = make(), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), []
+            aligner.clear()  # the units are not needed any more
 
             def rows():
                 a, b = np.divmod(codes, aligner.n_b)
