@@ -327,12 +327,23 @@ def tile_candidates(tiles: DataFrame, percent: int) -> DataFrame:
 
 
 def remaining_links(open_: DataFrame, roots: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links a, b that join components of a tile; the classes of tiles that still hold several get their members."""
+    """Links a, b that join components; the classes of tiles that still hold several get their members.
+
+    Classes that hang together by such tiles are one group, and meet there once, however many blocks they share; a group of more
+    than TILE classes is compared tile by tile.  That two classes of a group share no block does no harm, as members are compared.
+    """
     known = roots.select(F.col("node").alias("class"), "root")
     at = open_.join(known, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = at.groupBy("word", "i", "j").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    left = materialise(at.join(mixed.select("word", "i", "j").hint("merge"), ["word", "i", "j"], "left_semi"), "jaccard-left")
-    both = left.join(members.hint("merge"), "class")
+    mixed = at.groupBy("word", "i", "j").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("class").alias("hub")).filter("lo <> hi")
+    left = at.join(mixed.select("word", "i", "j", "hub").hint("merge"), ["word", "i", "j"])
+    left = materialise(left.select("class", "root", "n", "hub").distinct(), "jaccard-left")
+    groups = connected_components(left.select(F.col("class").alias("a"), F.col("hub").alias("b")))
+    one = left.select("class", "root", "n").distinct().join(groups.select(F.col("node").alias("class"), F.col("root").alias("word")), "class")
+    sizes = one.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / F.lit(TILE)).cast("int").alias("t"))
+    rows = one.join(sizes, "word").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("t")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
+    rows = rows.select("word", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "class", "root", "n", "tile")
+    both = rows.join(members.hint("merge"), "class")
 
     def kernel(key, c, r, n, t, raw):
         sets = [np.frombuffer(x, np.uint64) for x in raw]
