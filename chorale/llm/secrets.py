@@ -9,8 +9,8 @@ random characters of that alphabet it is tested for
   - runs above and below the middle of the alphabet (two-sided),
   - serial correlation at distance one (two-sided),
   - the likelihood ratio against words: its probability as random characters over that by a model of pairs of letters.  By
-    Markov's inequality this is a p-value as it stands.  The model is fitted to the different runs of under 16 characters in
-    about ``MODEL_ROWS`` documents, which are never candidates themselves; every candidate is tested.
+    Markov's inequality this is a p-value as it stands.  The model is fitted to the different runs of under 16 characters of
+    the whole table, which are never candidates themselves; they are combined per task before they are shuffled.
 The p-value is four times the smallest.  All candidates of the corpus are then put through the procedure of Benjamini and
 Hochberg with weights proportional to length (a long string has more power, so it gets a larger share of the error):
 strings found *not* to be random, at a false-discovery rate of ``rate``, are let go, the others are secrets.  So
@@ -50,8 +50,8 @@ ENCODINGS = [
     ("base62", "^[0-9A-Za-z]+$", UP + LOW + DIGITS), ("base64", "^[0-9A-Za-z+/]+$", UP + LOW + DIGITS + "+/"),
     ("base64url", "^.*$", UP + LOW + DIGITS + "-_+/"),
 ]
-#: Characters of the model of words, without case, and the documents it is fitted to.
-SYMBOLS, MODEL_ROWS = LOW + DIGITS + "+/_-", 20_000
+#: Characters of the model of words, without case.
+SYMBOLS = LOW + DIGITS + "+/_-"
 #: Chance of the case of a letter after an upper-case letter, a lower-case one, and anything else: (upper, lower).
 CASE = ((0.5, 0.5), (0.1, 0.9), (0.5, 0.5))
 FALSE_DISCOVERY_RATE = 0.01
@@ -76,13 +76,11 @@ def _one_sided(z: Column) -> Column:
     return F.when(z >= 0, _upper_tail(z)).otherwise(1 - _upper_tail(-z))
 
 
-def word_model(docs: DataFrame, text_col: str = "text", rows: int = MODEL_ROWS) -> list[float]:
+def word_model(docs: DataFrame, text_col: str = "text") -> list[float]:
     """log2 of the chance of each symbol after each symbol (after the start last), in rows of len(SYMBOLS)."""
     size, start = len(SYMBOLS), len(SYMBOLS)
-    text = text_or_empty(text_col)
-    step = max(1, docs.count() // rows)
-    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(SHORT), F.lit(0)))
-    words = docs.filter(F.pmod(F.xxhash64(text), F.lit(step)) == 0).select(F.explode(runs).alias("w")).distinct()
+    runs = F.array_distinct(F.regexp_extract_all(text_or_empty(text_col), F.lit(SHORT), F.lit(0)))
+    words = docs.select(F.explode(runs).alias("w")).distinct()
     after = F.transform(F.sequence(F.lit(1), F.char_length("w")), lambda i: F.struct(
         F.when(i > 1, F.substring(F.lower("w"), i - 1, F.lit(1))).otherwise("").alias("a"), F.substring(F.lower("w"), i, F.lit(1)).alias("b")))
     seen = words.select(F.explode(after).alias("s")).groupBy("s.a", "s.b").count()
