@@ -231,6 +231,10 @@ _SQL: dict[str, str] = {
     "sink_ndjson_roundtrip": _RAW_ROWS,
     "silver_comments": _SILVER_ROWS,
     "silver_comments_stream": _SILVER_ROWS,
+    "silver_compacted": _SILVER_ROWS,
+    "silver_compacted_channel": f"SELECT * FROM ({_SILVER_ROWS}) WHERE channel_handle = '@ch1'",
+    "silver_dedup_runs": f"""SELECT * REPLACE (CAST(like_count + CAST(comment_id AS BIGINT) % 3 AS BIGINT) AS like_count)
+        FROM ({_SILVER_ROWS})""",
     "src_landed_videos": _with(["uploads"], "SELECT video_id, channel_handle, title, published_at, video_url FROM uploads"),
     "src_thread_pages": _with(["raw"], """
         SELECT comment_id, video_id, channel_handle, author_name, text, like_count,

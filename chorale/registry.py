@@ -19,7 +19,7 @@ from chorale.plans.pipeline import Params, Run, run_pipeline
 from chorale.schemas import COMMENT_FIELDS
 from chorale.session import materialise, pin_session, scratch_dir, use_scratch
 from chorale.sources import landed, named_files, sinks
-from chorale.streaming import layers, rescue
+from chorale.streaming import compaction, layers, rescue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,6 +172,39 @@ def _(spark, sf):
     return _silver_rows(spark.read.parquet(out)).drop("channel_bucket")
 
 
+@query("silver_compacted")
+def _(spark, sf):
+    """The compact copy after two rounds of several micro-batches each, the second of which finds nothing new."""
+    out, copy, progress = (scratch_dir(spark, n) for n in ("silver", "compacted", "checkpoint"))
+    layers.run_silver(spark, _stream_raw(spark, sf, 8), out, scratch_dir(spark, "checkpoint"))
+    for _round in range(2):
+        compaction.run_compaction(spark, out, copy, progress, max_files=2)
+    return _silver_rows(compaction.read_compacted(spark, copy))
+
+
+@query("silver_compacted_channel")
+def _(spark, sf):
+    out, copy = scratch_dir(spark, "silver"), scratch_dir(spark, "compacted")
+    layers.run_silver(spark, _stream_raw(spark, sf, None), out, scratch_dir(spark, "checkpoint"))
+    compaction.run_compaction(spark, out, copy, scratch_dir(spark, "checkpoint"))
+    return _silver_rows(compaction.read_compacted(spark, copy, channel=CHANNEL))
+
+
+@query("silver_dedup_runs")
+def _(spark, sf):
+    """Three runs; a third of the comments lands in all, a third in the last two, with as many more likes as the run's
+    number: of each comment the first landing stays, though it came in an earlier run."""
+    land, raw, out, raw_at, silver_at = (scratch_dir(spark, n) for n in ("landing", "raw", "silver", "checkpoint", "checkpoint"))
+    third = F.col("comment_id").cast("bigint") % 3
+    comments = fx.landed_comments(spark, sf)
+    for run in range(3):
+        more = comments.filter(third <= run).withColumn("like_count", F.col("like_count") + run)
+        sinks.write_comment_records(more, f"{land}/run={run}", spread=F.floor(F.col("slot") / 10_000))
+        layers.run_raw(spark, land, raw, raw_at)
+        layers.run_silver(spark, raw, out, silver_at, dedup_within="7 days")
+    return _silver_rows(spark.read.parquet(out)).drop("channel_bucket")
+
+
 @query("src_landed_videos")
 def _(spark, sf):
     path = scratch_dir(spark, "videos")

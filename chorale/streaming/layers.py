@@ -7,6 +7,9 @@ and a lost driver a resumed micro-batch, never a row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,11 @@ BY_CHANNEL = ", channel_bucket int"
 PROGRESS_SECONDS = 5
 KEPT_REPORTS = 100_000
 KEPT_STATES = 3
+#: State of a stream on the disks of the executors, its changes in the checkpoint; the heap holds none of it.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 #: What the metrics need of a scored comment; its text stays in the cleaned table.
 SCORED_COLUMNS = ["comment_id", *GOLD_KEYS, "like_count", "reply_count", "published_at", "sentiment"]
 
@@ -73,6 +81,19 @@ def keep_reports(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the streams started inside; a stream keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_to_end(query: StreamingQuery) -> list[dict]:
     """Wait until a query has read what is available; gives one report per micro-batch."""
     seen: dict[int, dict] = {}
@@ -107,8 +128,11 @@ def run_silver(
     max_files: int | None = None,
 ) -> list[dict]:
     """Cleaned comments, laid out by channel.  ``dedup_within`` (say ``'7 days'``) drops a repeated ``comment_id`` landed
-    within that time; its state is bounded by the watermark on ``processed_at``.  Rows without an id are
-    not duplicates of each other and stay."""
+    within that time, in this run or an earlier one; the first one stays.  An id is forgotten when the watermark (on
+    ``processed_at``, as far behind the newest row) is that time past it, so the state holds the ids of the last two times
+    ``dedup_within`` (``state_rows``), on disk.
+    Rows without an id are not duplicates of each other and stay.  A row that lands with a stamp older than the watermark
+    is not compared any more and would be lost; ``late_rows`` counts them."""
     cleaned = clean_comments(read_table_stream(spark, raw, schemas.RAW_COMMENTS + BY_CHANNEL, max_files), on_bad_timestamp)
     if dedup_within:
         marked = cleaned.withWatermark("processed_at", dedup_within)
@@ -116,7 +140,22 @@ def run_silver(
         cleaned = unique.unionByName(marked.filter(F.col("comment_id").isNull()))
     checked = apply_expectations(cleaned, expectations, SILVER_METRICS)
     placed = checked.withColumn("channel_bucket", channel_bucket(F.col("channel_handle")))
-    return append_available(placed, silver, checkpoint, ["channel_bucket"])
+    with settings(spark, STATE_ON_DISK if dedup_within else {}):
+        return append_available(placed, silver, checkpoint, ["channel_bucket"])
+
+
+def _of_state(progress: list[dict], name: str) -> list[int]:
+    return [sum(int(s[name]) for s in p.get("stateOperators") or []) for p in progress]
+
+
+def state_rows(progress: list[dict]) -> list[int]:
+    """Ids in the state after each micro-batch."""
+    return _of_state(progress, "numRowsTotal")
+
+
+def late_rows(progress: list[dict]) -> int:
+    """Rows that came behind the watermark."""
+    return sum(_of_state(progress, "numRowsDroppedByWatermark"))
 
 
 def run_silver_split(

@@ -1,0 +1,124 @@
+"""Compact copies of stream-written tables, and repeated comments taken out across runs."""
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from frames import plan
+from pyspark.sql import functions as F
+
+from chorale import schemas
+from chorale.sources.segments import BUCKETS, FAN
+from chorale.streaming import compaction, layers
+
+RAW = schemas.RAW_COMMENTS + layers.BY_CHANNEL
+START = dt.datetime(2024, 1, 1, 12)
+
+
+def raw_row(comment, day, channel="@a", video="v", likes=0):
+    return (comment, video, channel, "au", f"text of {comment}", likes, 0, "2024-01-01T00:00:00Z", False, None, "t", "u",
+            "x", START + dt.timedelta(days=day), 0)
+
+
+def land(spark, path, *rows):
+    spark.createDataFrame(list(rows), RAW).coalesce(1).write.mode("append").parquet(path)
+
+
+def silver_row(i, channel):
+    return (f"c{i}", f"v{i % 5}", "t", "u", channel, "au", "x", i, 0, START, False, None, START, 0)
+
+
+SILVER = schemas.SILVER_COMMENTS + layers.BY_CHANNEL
+
+
+def copy_ids(df):
+    return Counter(r[0] for r in df.select("comment_id").collect())
+
+
+@pytest.fixture
+def paths(tmp_path):
+    return [str(tmp_path / n) for n in ("table", "copy", "checkpoint")]
+
+
+def test_copy_stays_small_and_whole(spark, paths):
+    """Fifty small files become a few per bucket, also when the copy is made in several rounds and one batch is repeated."""
+    table, copy, checkpoint = paths
+    rows = [silver_row(i, ["@a", "@b", None][i % 3]) for i in range(100)]
+    for i in range(0, 60, 2):
+        spark.createDataFrame(rows[i:i + 2], SILVER).coalesce(1).write.mode("append").parquet(table)
+    compaction.run_compaction(spark, table, copy, checkpoint, max_files=1)
+    for i in range(60, 100, 2):
+        spark.createDataFrame(rows[i:i + 2], SILVER).coalesce(1).write.mode("append").parquet(table)
+    compaction.run_compaction(spark, table, copy, checkpoint, max_files=1)
+    store = compaction._copy(spark, copy, compaction.SILVER)
+    assert len(store.live()) <= 2 * (FAN - 1) + 1
+    got = compaction.read_compacted(spark, copy)
+    assert copy_ids(got) == Counter(r[0] for r in rows)
+    per_bucket = Counter(f.split("bucket=")[1].split("/")[0] for f in got.inputFiles())
+    assert max(per_bucket.values()) <= 2 * (FAN - 1) + 1 and len(per_bucket) <= min(3, BUCKETS)
+    assert sorted(got.columns) == sorted(c.split()[0] for c in schemas.SILVER_COMMENTS.split(", "))
+    one = compaction.read_compacted(spark, copy, channel="@b")
+    assert copy_ids(one) == Counter(r[0] for r in rows if r[4] == "@b")
+    assert "bucket" in plan(one) and "PushedFilters" in plan(one)
+
+
+def test_files_are_sorted_by_channel_and_video(spark, paths):
+    table, copy, checkpoint = paths
+    spark.createDataFrame([silver_row(i * 7 % 40, f"@{i % 4}") for i in range(40)], SILVER).write.parquet(table)
+    compaction.run_compaction(spark, table, copy, checkpoint)
+    rows = spark.read.parquet(copy).select("channel_handle", "video_id", F.col("_metadata.file_path").alias("f"), F.col(
+        "_metadata.file_block_start")).collect()
+    for f in {r["f"] for r in rows}:
+        own = [(r["channel_handle"], r["video_id"]) for r in rows if r["f"] == f]
+        assert own == sorted(own)
+
+
+def test_a_batch_that_broke_off_is_not_counted_twice(spark, paths, monkeypatch):
+    """The segment is written, the batch is not committed: the repeated batch replaces it."""
+    table, copy, checkpoint = paths
+    spark.createDataFrame([silver_row(i, "@a") for i in range(6)], SILVER).write.parquet(table)
+    real = compaction.Segments.write
+
+    def breaks(self, rows, number):
+        real(self, rows, number)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(compaction.Segments, "write", breaks)
+    with pytest.raises(Exception, match="executor lost"):
+        compaction.run_compaction(spark, table, copy, checkpoint)
+    monkeypatch.setattr(compaction.Segments, "write", real)
+    compaction.run_compaction(spark, table, copy, checkpoint)
+    assert copy_ids(compaction.read_compacted(spark, copy)) == Counter(f"c{i}" for i in range(6))
+
+
+def test_empty_copy(spark, paths):
+    table, copy, checkpoint = paths
+    spark.createDataFrame([], SILVER).write.parquet(table)
+    compaction.run_compaction(spark, table, copy, checkpoint)
+    assert compaction.read_compacted(spark, copy).count() == 0
+    assert compaction.read_compacted(spark, copy, channel="@a").count() == 0
+
+
+def test_repeats_across_runs_with_bounded_state(spark, paths):
+    """Every day ten new ids and those of the day before again: only the first landings stay, and the state holds the ids of
+    the last days, not those of the history.  An id that lands again after the time is a new comment; NULL ids stay."""
+    raw, out, checkpoint = paths
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    sizes, late = [], 0
+    for day in range(8):
+        again = [raw_row(f"c{d}-{i}", day, likes=1) for d in (day - 1,) if d >= 0 for i in range(10)]
+        land(spark, raw, *[raw_row(f"c{day}-{i}", day) for i in range(10)], *again, raw_row(None, day))
+        if day == 7:
+            land(spark, raw, raw_row("c0-0", day, likes=2))
+        progress = layers.run_silver(spark, raw, out, checkpoint, dedup_within="2 days")
+        sizes.append(layers.state_rows(progress)[-1])
+        late += layers.late_rows(progress)
+    rows = spark.read.parquet(out).select("comment_id", "like_count").collect()
+    want = Counter({(f"c{d}-{i}", 0): 1 for d in range(8) for i in range(10)})
+    want[("c0-0", 2)] = 1
+    want[(None, 0)] = 8
+    assert Counter(map(tuple, rows)) == want and late == 0
+    # An id of day e goes once the watermark (the newest day less two) reaches e + 2: four days of ten ids stay, and c0-0 on the last.
+    assert sizes == [10, 20, 30, 40, 40, 40, 40, 41]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == provider
+    assert layers.state_rows([{"stateOperators": []}, {}]) == [0, 0]
