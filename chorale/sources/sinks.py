@@ -39,14 +39,17 @@ def _records(comments: DataFrame, spread: Column | None) -> tuple[DataFrame, lis
     return comments, [F.col("video_id"), spread]
 
 
-def write_comment_records(comments: DataFrame, run_dir: str, spread: Column | None = None, compression: str | None = None) -> None:
+def write_comment_records(
+    comments: DataFrame, run_dir: str, spread: Column | None = None, compression: str | None = None, dealt: bool = False
+) -> None:
     """Comment records as NDJSON in one directory per video, an export; NULLs are written out.
 
     ``spread`` (by default the page of the comment, else its id) divides the rows of a video over tasks,
     so a hot video becomes several files in its directory instead of one slow task.  ``compression``: say ``gzip``.
+    ``dealt``: the tasks that have the rows write them, a file per task and video, and no text is shuffled.
     """
     comments, keys = _records(comments, spread)
-    rows = comments.repartition(*keys).select(*COMMENT_FIELDS, F.col("video_id").alias("video_dir"))
+    rows = (comments if dealt else comments.repartition(*keys)).select(*COMMENT_FIELDS, F.col("video_id").alias("video_dir"))
     (
         rows.write.partitionBy("video_dir").option("ignoreNullFields", "false")
         .option("maxRecordsPerFile", ROWS_PER_PACKED_FILE if compression else ROWS_PER_FILE).json(run_dir, compression=compression)

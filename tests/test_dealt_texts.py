@@ -10,6 +10,7 @@ from chorale import fixtures as fx
 from chorale import registry
 from chorale.operators import documents, landing
 from chorale.operators.joins import attach_videos
+from chorale.sources import landed, sinks
 
 
 def moved(df):
@@ -102,3 +103,25 @@ def test_one_pass_counts_pages_and_their_landings(spark):
     pages = pages_frame(spark, [("v", 1, [thread("A", 2), thread("B")])])
     row = landing.page_sizes(pages.unionByName(pages)).first()
     assert (row["n"], row["_same"], row["_n"]) == (4, 2, 2)
+
+
+def test_dealt_records_are_written_by_the_tasks_that_have_them(spark, odd, tmp_path, monkeypatch):
+    monkeypatch.setattr(fx, "TASK_ROWS", 200)
+    rows = fx.dealt_comments(spark, odd, F.col("event_id"), 10)
+    sinks.write_comment_records(rows, str(tmp_path / "landing"), compression="gzip", dealt=True)
+    back = landed.read_comment_records(spark, str(tmp_path / "landing"))
+    names = [c for c in back.columns if c != "_ingested_at"]
+    assert sorted(map(str, back.select(*names).collect())) == sorted(map(str, fx.landed_comments(spark, odd).select(*names).collect()))
+    of_task = {}
+    for f in (tmp_path / "landing").rglob("*.json.gz"):
+        of_task.setdefault(f.name.split("-")[1], set()).add(f.parent.name)
+    # Dealt by video, a task would hold few of them; these tasks hold lots of documents, with comments of most videos.
+    assert max(map(len, of_task.values())) >= fx.VIDEOS
+
+
+def test_the_round_trip_shuffles_no_comment(spark, odd, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sinks, "write_comment_records", lambda rows, path, *a, **k: seen.append((rows, k)) or rows.limit(1).write.json(path))
+    registry.all_queries()["sink_ndjson_roundtrip"](spark, odd)
+    rows, options = seen[0]
+    assert options["dealt"] and not [m for m in moved(rows) if m.startswith("video_id")]
