@@ -96,7 +96,7 @@ def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The same rule for long or weighted lists: ``comment_id, sentiment`` from ``lexicon(word, weight)``.
 
     One row per row of ``comments``, whatever its id: a text is scored under a hash of its own, and rows
-    find their score by it.  (Copies add the same balance again, which leaves its sign.)  A bitmap of the
+    find their score by it.  Copies of a text are combined before it is split, so each text is split once.  A bitmap of the
     lexicon sorts words out inside the task, so only words that are listed, and about one in a hundred others, leave
     it and meet the lexicon.  The lexicon is written first, so Spark knows its size and broadcasts it only below its
     threshold.  Words of the lexicon must be unique.
@@ -104,7 +104,8 @@ def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame) -> DataFrame:
     listed = materialise(lexicon.select("word", "weight"), "lexicon")
     keyed = comments.select("comment_id", "text", F.xxhash64("text").alias("_text"))
     # Words are sorted out as rows, by compiled code: a lambda over the array would be interpreted for each word.
-    words = keyed.filter(F.col("text").isNotNull()).select("_text", F.explode(tokens(F.col("text"))).alias("word"))
+    texts = keyed.filter(F.col("text").isNotNull()).select("_text", "text").distinct()
+    words = texts.select("_text", F.explode(tokens(F.col("text"))).alias("word"))
     hits = words.filter(may_hold(word_filter(listed), F.col("word"))).join(listed, "word")
     balance = hits.groupBy("_text").agg(F.sum("weight").alias("_balance"))
     rows = keyed.select("comment_id", "_text", F.when(F.col("text").isNotNull(), F.lit("")).alias("_known"))
@@ -115,3 +116,13 @@ def score_by_lexicon_join(comments: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 def add_sentiment(df: DataFrame, scorer: Scorer | None = None, text: str = "text") -> DataFrame:
     return df.withColumn("sentiment", (scorer or lexicon_scorer())(F.col(text)))
+
+
+def score_once(df: DataFrame, scorer: Scorer | None = None, text: str = "text") -> DataFrame:
+    """``add_sentiment`` for texts that repeat: each different text is scored once, and rows find its label by a digest of the text.
+
+    Copies are combined map-side, so what is shuffled are the different texts; the rows travel without theirs if it is not asked for.
+    """
+    labels = add_sentiment(df.select(text).filter(F.col(text).isNotNull()).distinct(), scorer, text)
+    labels = materialise(labels.select(F.unhex(F.sha2(text, 256)).alias("_text"), "sentiment"), "labels")
+    return df.withColumn("_text", F.unhex(F.sha2(text, 256))).join(labels, "_text", "left").drop("_text")

@@ -44,19 +44,29 @@ def follow_up_requests(
     return for_channel(silver, channel).filter(holds_any(F.col("text"), phrases)).select(*CITATION)
 
 
-def term_counts(comments: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """``term, occurrences`` without stop words.
+def counted_texts(comments: DataFrame) -> DataFrame:
+    """``text, copies``: each different text and how many comments have it.
+
+    ``text`` is bound to the count, so that no filter on what is made of it goes before the grouping, to every comment.
+    """
+    counted = comments.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
+    return counted.select(F.when(F.col("copies") > 0, F.col("text")).alias("text"), "copies")
+
+
+def term_counts(comments: DataFrame, stop_words: Sequence[str] = STOP_WORDS, copies: str | None = None) -> DataFrame:
+    """``term, occurrences`` without stop words; ``copies``: the column that says for how many comments a row stands.
 
     Counts are combined map-side, so a term that is in every comment costs one row per task.
     """
-    kept = comments.select(F.explode(words(F.col("text"))).alias("term")).filter(~F.col("term").isin(list(stop_words)))
-    return kept.groupBy("term").agg(F.count(F.lit(1)).alias("occurrences"))
+    n = F.lit(1).cast("bigint") if copies is None else F.col(copies)
+    kept = comments.select(n.alias("n"), F.explode(words(F.col("text"))).alias("term")).filter(~F.col("term").isin(list(stop_words)))
+    return kept.groupBy("term").agg(F.sum("n").alias("occurrences"))
 
 
 def top_terms(
-    comments: DataFrame, k: int, stop_words: Sequence[str] = STOP_WORDS, channel: str | None = None
+    comments: DataFrame, k: int, stop_words: Sequence[str] = STOP_WORDS, channel: str | None = None, copies: str | None = None
 ) -> DataFrame:
-    return term_counts(for_channel(comments, channel), stop_words).orderBy(F.col("occurrences").desc(), "term").limit(k)
+    return term_counts(for_channel(comments, channel), stop_words, copies).orderBy(F.col("occurrences").desc(), "term").limit(k)
 
 
 def _occurrences(toks: Column, word: str) -> Column:
