@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chorale.functions.text import holds_any, search_words, words
 from chorale.operators.channels import for_channel
+from chorale.session import materialise
 
 # Words too common to be a complaint, and phrases that ask for more content.
 STOP_WORDS = [
@@ -80,7 +81,7 @@ def bm25_part(tf: Column, length: Column, df: Column, n: Column, avg_len: Column
 
 
 def bm25_scores(
-    comments: DataFrame, query: Sequence[str], text: str = "text", k1: float = 1.2, b: float = 0.75
+    comments: DataFrame, query: Sequence[str], text: str = "text", k1: float = 1.2, b: float = 0.75, copies: str | None = None
 ) -> DataFrame:
     """``comments`` with ``score``: Okapi BM25 (Robertson and Zaragoza 2009) of the query words.
 
@@ -88,7 +89,7 @@ def bm25_scores(
     each row, so texts are never shuffled: the corpus needs one aggregate of a single row (document
     count, mean length, document frequency per query word), read back as a scalar subquery.  Both scans
     read the texts; for many queries over the same comments use the index in
-    :mod:`chorale.operators.text_index`.
+    :mod:`chorale.operators.text_index`.  ``copies``: the column that says for how many comments a row stands.
     """
     terms = search_words(query)
     # Binding the token array to a lambda variable keeps tokenising to once per row.
@@ -100,12 +101,14 @@ def bm25_scores(
         ),
     )[0]
     # The statistics ask for lengths and presence only, which compiled code finds in a column of the words.
-    docs = comments.select(words(F.col(text)).alias("_words"))
+    rows_of = F.lit(1).cast("bigint") if copies is None else F.col(copies)
+    docs = comments.select(words(F.col(text)).alias("_words"), rows_of.alias("_n"))
+    counted_if = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0)).cast("double")
     stats = docs.agg(
         F.struct(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.avg(F.size("_words")).alias("avg_len"),
-            *[F.count_if(F.array_contains("_words", w)).cast("double").alias(f"df{i}") for i, w in enumerate(terms)],
+            counted_if(F.lit(True)).alias("n"),
+            F.try_divide(F.sum(F.array_size("_words") * F.col("_n")).cast("double"), counted_if(F.col("_words").isNotNull())).alias("avg_len"),
+            *[counted_if(F.array_contains("_words", w)).alias(f"df{i}") for i, w in enumerate(terms)],
         ).alias("s")
     )
     rows = comments.filter(holds_any(F.col(text), terms)).withColumn("_d", counted)
@@ -117,10 +120,27 @@ def bm25_scores(
     return rows.withColumn("score", score).drop("_d", "_s")
 
 
-def bm25_top_k(comments: DataFrame, query: Sequence[str], k: int, channel: str | None = None, **options) -> DataFrame:
+def bm25_top_k(
+    comments: DataFrame, query: Sequence[str], k: int, channel: str | None = None, repeated: bool = False, **options
+) -> DataFrame:
     """The ``k`` best comments with citation; scores rounded to 6 digits, ties by ``comment_id``.
 
-    With ``channel`` the ranking and its statistics are those of that channel alone.
+    With ``channel`` the ranking and its statistics are those of that channel alone.  ``repeated`` is for texts that repeat: each
+    different text is shuffled, split and scored once, and comments without theirs find its score by a digest.  Only the
+    ``k`` best get it back.
     """
-    scored = bm25_scores(for_channel(comments, channel), query, **options).select(*CITATION, F.round("score", 6).alias("score"))
-    return scored.orderBy(F.col("score").desc(), "comment_id").limit(k)
+    comments = for_channel(comments, channel)
+    best_first = [F.col("score").desc(), F.col("comment_id")]
+    if not repeated:
+        scored = bm25_scores(comments, query, **options).select(*CITATION, F.round("score", 6).alias("score"))
+        return scored.orderBy(*best_first).limit(k)
+    text = options.pop("text", "text")
+    digest = F.unhex(F.sha2(text, 256)).alias("_text")
+    texts = materialise(counted_texts(comments.select(F.col(text).alias("text"))), "counted-texts")
+    found = bm25_scores(texts, query, copies="copies", **options).select(
+        F.unhex(F.sha2("text", 256)).alias("_text"), F.col("text").alias("_found"), F.round("score", 6).alias("score"))
+    found = materialise(found, "bm25-texts")
+    # A text that holds no search word has no score, and its rows need no digest.
+    rows = comments.filter(holds_any(F.col(text), search_words(query))).select(*[c for c in CITATION if c != text], digest)
+    best = rows.join(found.select("_text", "score"), "_text").orderBy(*best_first).limit(k)
+    return best.join(found.select("_text", F.col("_found").alias(text)), "_text").select(*CITATION, "score").orderBy(*best_first)
