@@ -100,7 +100,7 @@ def _words(text: np.ndarray) -> np.ndarray:
 def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Larsson-Sadakane: suffixes sorted by eight bytes, then groups of equals by the rank of what follows."""
     n = len(text)
-    sa = np.argsort(words, kind="stable")
+    sa = np.argsort(words)
     sorted_words = words[sa]
     new = np.concatenate([[True], sorted_words[1:] != sorted_words[:-1]])
     head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -113,11 +113,12 @@ def suffix_array(text: np.ndarray, words: np.ndarray) -> np.ndarray:
         at = sa[slots]
         behind = at + h
         follow = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
-        group = rank[at]
-        order = np.lexsort((follow, group))
-        at, group, follow = at[order], group[order], follow[order]
+        # One number for group and follower: equal ones need no order, which a later round gives them.
+        key = rank[at] * (n + 1) + follow
+        order = np.argsort(key)
+        at, key = at[order], key[order]
         sa[slots] = at
-        new = np.concatenate([[True], (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])])
+        new = np.concatenate([[True], key[1:] != key[:-1]])
         rank[at] = np.maximum.accumulate(np.where(new, slots, 0))
         alone = new & np.concatenate([new[1:], [True]])
         slots = slots[~alone]

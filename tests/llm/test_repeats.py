@@ -68,3 +68,15 @@ def test_suffix_array_and_prefixes():
                 while max(a, b) + k < len(raw) and raw[a + k] == raw[b + k]:
                     k += 1
                 assert (before[b], size[b]) == (a, k)
+
+
+def test_suffix_array_sorts_by_one_number(monkeypatch):
+    """Groups and followers of many suffixes fit one sorted number."""
+    monkeypatch.setattr(np, "lexsort", None)
+    r = random.Random(4)
+    unit = bytes(r.choice(b"abcd") for _ in range(40_000))
+    raw = unit + b"x" + unit + b"\xff"
+    text = np.frombuffer(raw, np.uint8)
+    sa = repeats.suffix_array(text, repeats._words(text)).tolist()
+    assert sorted(sa) == list(range(len(raw)))
+    assert all(raw[a:] < raw[b:] for a, b in zip(sa, sa[1:]))
