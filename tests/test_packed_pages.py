@@ -1,0 +1,42 @@
+"""Lines that are dealt as packed pages make the files that lines dealt one by one make."""
+
+import gzip
+
+from frames import pages_frame, plan, thread, videos_frame
+from pyspark.sql import functions as F
+
+from chorale.operators import landing
+from chorale.operators.joins import attach_videos
+from chorale.sources import named_files, sinks
+
+
+def test_pages_in_many_tasks_come_together(spark, tmp_path):
+    """Lines of a page that are spread over tasks, line breaks in them, NULLs, and equal places."""
+    rows = [(f"d/{f}.txt", p if p else None, i if i % 6 else None, f"{f} {p} {i}\n  more" if i % 5 else None)
+            for f in "ab" for p in range(4) for i in range(450)]
+    rows += [("d/a.txt", 2, 7, "z"), ("d/a.txt", 2, 7, "é"), ("d/one.txt", 1, 1, None)]
+    pieces = spark.createDataFrame(rows, "file string, page_no int, pos int, body string").repartition(7, F.hash("pos", "body"))
+    order = ["page_no", "pos", "body"]
+    named_files.write_named_text(pieces, str(tmp_path / "plain"), order)
+    named_files.write_named_text(pieces, str(tmp_path / "pages"), order, page=1)
+    read = lambda d: {f: (tmp_path / d / "d" / f).read_bytes() for f in ("a.txt", "b.txt", "one.txt")}
+    assert read("plain") == read("pages")
+
+
+def test_comment_files(spark, tmp_path, monkeypatch):
+    pages = pages_frame(spark, [("v1", 2, [thread("t3")]), ("v1", 1, [thread("t1", 2), thread("t2")]), ("v2", 1, [thread("u", 1)])])
+    dim = videos_frame(spark, [(v, "@c", v.upper(), "2024-01-01T00:00:00Z", f"url {v}") for v in ("v1", "v2")])
+    comments = attach_videos(landing.flatten_threads(pages), dim)
+    sinks.write_comment_file_per_video(comments, str(tmp_path / "plain"))
+    sinks.write_comment_file_per_video(comments, str(tmp_path / "packed"), packed=True)
+    for v, n in (("v1", 5), ("v2", 2)):
+        plain = (tmp_path / "plain" / f"{v}.json").read_bytes().splitlines()
+        packed = gzip.decompress((tmp_path / "packed" / f"{v}.json.gz").read_bytes()).splitlines()
+        stamp = lambda line: line[:line.index(b'"ingested_at"')]
+        assert len(plain) == n and [stamp(x) for x in plain] == [stamp(x) for x in packed]
+    dealt = []
+    # What is shuffled for the files are packed pages.
+    sort = type(comments).sortWithinPartitions
+    monkeypatch.setattr(type(comments), "sortWithinPartitions", lambda df, *by: dealt.append(sort(df, *by)) or dealt[-1])
+    sinks.write_comment_file_per_video(comments, str(tmp_path / "again"))
+    assert [d.columns for d in dealt] == [["file", "page_no", "lines"]] and "MapInArrow" in plan(dealt[0])
